@@ -6,7 +6,7 @@ from importlib import import_module
 
 from ..registry import CHECK_SQL, QUERIES, Query
 
-MODULES = ("scans", "rules", "joins", "aggregates")
+MODULES = ("scans", "rules", "joins", "aggregates", "windows")
 
 
 def _load() -> None:
