@@ -6,7 +6,7 @@ from importlib import import_module
 
 from ..registry import CHECK_SQL, QUERIES, Query
 
-MODULES = ("scans", "rules", "joins", "aggregates", "windows", "features")
+MODULES = ("scans", "rules", "joins", "aggregates", "windows", "features", "evaluation", "semistructured")
 
 
 def _load() -> None:
