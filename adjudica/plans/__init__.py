@@ -6,7 +6,9 @@ from importlib import import_module
 
 from ..registry import CHECK_SQL, QUERIES, Query
 
-MODULES = ("scans", "rules", "joins", "aggregates", "windows", "features", "evaluation", "semistructured")
+MODULES = (
+    "scans", "rules", "joins", "aggregates", "windows", "features", "evaluation", "semistructured", "streams",
+)
 
 
 def _load() -> None:
