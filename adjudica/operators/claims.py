@@ -11,6 +11,8 @@ from ..functions import expressions as X
 from .skew import HOT_ROWS, chunked_lists
 
 CLAIM, MEMBER, PROVIDER = "claim_request_bundle_id", "patient_key", "provider_license_key"
+# Columns that tell the items of one claim apart.
+ITEM_PARTS = ("line_no", "service_key", "provider_license_key")
 AMOUNT, DATE, DIAGNOSIS = "payer_share_amount", "max_serviced_date", "principal_diagnosis_code"
 
 
@@ -76,14 +78,14 @@ def claim_diagnosis(
     header: DataFrame, items: DataFrame, dimension: DataFrame, chunk_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Claims with their list of known diagnosis codes (sorted; null where a claim has no items)."""
-    codes = claim_diag_list(known_diagnoses(items, dimension, (CLAIM, "line_no")), "code", chunk_rows)
+    codes = claim_diag_list(known_diagnoses(items, dimension, (CLAIM, *ITEM_PARTS)), "code", chunk_rows)
     return header.join(codes, CLAIM, "left")
 
 
 def claim_diag_list(items: DataFrame, code: str = DIAGNOSIS, chunk_rows: int = HOT_ROWS) -> DataFrame:
     """List of codes per claim; nulls drop out, very long lists come in chunks."""
     return chunked_lists(
-        items, [CLAIM], "line_no", [F.sort_array(F.collect_list(code)).alias("diagnosis_codes_list")], chunk_rows
+        items, [CLAIM], [*ITEM_PARTS, code], [F.sort_array(F.collect_list(code)).alias("diagnosis_codes_list")], chunk_rows
     )
 
 
@@ -206,10 +208,15 @@ def pre_auth_rejected_claimed(header: DataFrame, pre_auth: DataFrame) -> DataFra
 
 
 def pre_auth_service_mismatch(items: DataFrame, header: DataFrame, pre_auth: DataFrame) -> DataFrame:
-    """Billed items whose procedure differs from the pre-authorised one."""
-    asked = pre_auth.select("pre_auth_ref", F.col("procedure_code").alias("approved_procedure"))
-    linked = header.select(CLAIM, "pre_auth_ref").join(asked, "pre_auth_ref", "inner")
-    return items.join(linked, CLAIM, "inner").filter(F.col("procedure_code") != F.col("approved_procedure"))
+    """Billed items whose procedure is none of those their pre-authorisation names.
+
+    An anti-join on reference and procedure: items are never paired with every
+    authorised service.
+    """
+    asked = pre_auth.filter(F.col("procedure_code").isNotNull()).select("pre_auth_ref", "procedure_code").distinct()
+    linked = header.select(CLAIM, "pre_auth_ref").join(asked.select("pre_auth_ref").distinct(), "pre_auth_ref")
+    billed = items.filter(F.col("procedure_code").isNotNull()).join(linked, CLAIM)
+    return billed.join(asked, ["pre_auth_ref", "procedure_code"], "left_anti")
 
 
 def member_profitability(policies: DataFrame, header: DataFrame) -> DataFrame:

@@ -53,15 +53,14 @@ def history_lists(
 ) -> DataFrame:
     """The history lists themselves, for callers that feed the list features.
 
-    Cost and date lists are parallel and cut into chunks for members with very many
-    claims; the code and practitioner sets are bounded by their dimensions and stand
-    on chunk 0.
+    Cost and date lists are parallel. Lists and sets of members with very many elements
+    are cut into chunks, one row each; a set's chunks share no element.
     """
     owner = header.select(CLAIM, MEMBER)
     visits = chunked_lists(
         header.select(CLAIM, MEMBER, AMOUNT, DATE),
         [MEMBER],
-        CLAIM,
+        [CLAIM],
         [F.sort_array(F.collect_list(F.struct(F.col(DATE).alias("d"), F.col(AMOUNT).alias("c")))).alias("_v")],
         chunk_rows,
     ).select(
@@ -70,19 +69,19 @@ def history_lists(
         F.transform("_v", lambda v: v["c"]).alias("claim_costs_list"),
         F.transform("_v", lambda v: v["d"]).alias("service_dates_list"),
     )
-    codes = (
-        items.join(owner, CLAIM).select(MEMBER, DIAGNOSIS).distinct().groupBy(MEMBER)
-        .agg(F.sort_array(F.collect_set(DIAGNOSIS)).alias("diagnosis_codes_list"))
-    )
-    people = (
-        team.join(owner, CLAIM).select(MEMBER, "practitioner_license", "practice_desc").distinct().groupBy(MEMBER)
-        .agg(
-            F.sort_array(F.collect_set(F.col("practitioner_license").cast("string"))).alias("providers_visited_list"),
-            F.sort_array(F.collect_set("practice_desc")).alias("practitioner_specialty_list"),
-        )
-    )
-    sets = codes.join(people, MEMBER, "full").withColumn("chunk_no", F.lit(0).cast("long"))
-    joined = visits.join(sets, [MEMBER, "chunk_no"], "left")
+
+    def members_set(source: DataFrame, column: str, name: str) -> DataFrame:
+        values = source.join(owner, CLAIM).select(MEMBER, F.col(column).cast("string").alias("_v")).distinct()
+        elements = F.sort_array(F.collect_list("_v")).alias(name)
+        return chunked_lists(values, [MEMBER], ["_v"], [elements], chunk_rows)
+
+    joined = visits
+    for source, column, name in (
+        (items, DIAGNOSIS, "diagnosis_codes_list"),
+        (team, "practitioner_license", "providers_visited_list"),
+        (team, "practice_desc", "practitioner_specialty_list"),
+    ):
+        joined = joined.join(members_set(source, column, name), [MEMBER, "chunk_no"], "full")
     empty = [c for c in joined.columns if c.endswith("_list")]
     types = {f.name: f.dataType for f in joined.schema}
     return joined.select(

@@ -106,9 +106,12 @@ def auc(df: DataFrame, actual: str, score: str, bins: int = 1000) -> DataFrame:
         .agg(F.sum(F.when(F.col(actual) == 1, 1).otherwise(0)).alias("_p"),
              F.sum(F.when(F.col(actual) == 1, 0).otherwise(1)).alias("_n"))
     )
-    low, high = scores.agg(F.min("_v")).scalar(), scores.agg(F.max("_v")).scalar()
-    place = F.when(high > low, F.least(F.lit(bins - 1), F.floor((F.col("_v") - low) / (high - low) * bins)))
-    binned = scores.withColumn("_bin", F.coalesce(place, F.lit(0)).cast("int"))
+    ends = scores.agg(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high"))).scalar()
+    low, width = F.col("_ends.low"), F.col("_ends.high") - F.col("_ends.low")
+    place = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("_v") - low) / width * bins)))
+    binned = (
+        scores.withColumn("_ends", ends).withColumn("_bin", F.coalesce(place, F.lit(0)).cast("int")).drop("_ends")
+    )
     # At most `bins` rows, so ordering them together is safe.
     below = Window.partitionBy("_one").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     totals = (

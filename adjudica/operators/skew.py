@@ -166,14 +166,14 @@ def _percentiles_by_rank(
 def chunked_lists(
     df: DataFrame,
     keys: Sequence[str],
-    spread: str,
+    spread: Sequence[str],
     lists: Sequence[Column],
     chunk_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Collected lists per group, cut into chunks so that no list grows without bound.
 
     Groups up to ``chunk_rows`` rows give one row with ``chunk_no`` 0. Larger groups are
-    spread over several rows by a hash of the ``spread`` column; together their
+    spread over several rows by a hash of the ``spread`` columns; together their
     chunks hold every element.
     """
     sizes = (
@@ -185,7 +185,7 @@ def chunked_lists(
     )
     # Bounded by rows / chunk_rows, as in hot_keys.
     marked = df.join(F.broadcast(sizes), list(keys), "left").withColumn(
-        "chunk_no", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_chunks")), F.lit(0)).cast("long")
+        "chunk_no", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_chunks")), F.lit(0)).cast("long")
     )
     return marked.groupBy(*keys, "chunk_no").agg(*lists)
 

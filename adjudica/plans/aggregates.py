@@ -123,7 +123,7 @@ def chronic_weights(spark, sf_dir):
     "specialty_costs",
     using(
         "line provider",
-        """SELECT specialty, ROUND(AVG(payer_share_amount), 4) AS avg_cost FROM line
+        """SELECT specialty, ROUND(AVG(payer_share_amount), 6) AS avg_cost FROM line
         JOIN provider USING (provider_license_key) GROUP BY 1""",
     ),
 )
@@ -136,7 +136,7 @@ def specialty_costs(spark, sf_dir):
     "provider_stats",
     using(
         "line provider",
-        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 4) AS avg_cost,
+        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 6) AS avg_cost,
         COUNT(DISTINCT claim_request_bundle_id) AS claim_count, specialty, provider_type FROM line
         LEFT JOIN provider USING (provider_license_key) GROUP BY 1, 4, 5""",
     ),
@@ -162,8 +162,8 @@ FWA_CTE = f""", fwa AS (SELECT provider_license_key, COALESCE(AVG(payer_share_am
     using(
         "line",
         FWA_CTE
-        + """ SELECT provider_license_key, ROUND(avg_cost_per_claim, 4) AS avg_cost_per_claim, claim_count,
-        ROUND(std_cost_per_claim, 4) AS std_cost_per_claim, ROUND(weekend_billing_ratio, 6) AS weekend_billing_ratio,
+        + """ SELECT provider_license_key, ROUND(avg_cost_per_claim, 6) AS avg_cost_per_claim, claim_count,
+        ROUND(std_cost_per_claim, 6) AS std_cost_per_claim, ROUND(weekend_billing_ratio, 6) AS weekend_billing_ratio,
         ROUND(high_cost_claim_ratio, 6) AS high_cost_claim_ratio FROM fwa""",
     ),
 )
@@ -181,7 +181,7 @@ def provider_fwa_features(spark, sf_dir):
     "provider_value_features",
     using(
         "line",
-        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 4) AS avg_cost_per_claim,
+        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 6) AS avg_cost_per_claim,
         COUNT(DISTINCT claim_request_bundle_id) AS claim_count FROM line GROUP BY 1""",
     ),
 )
@@ -340,7 +340,7 @@ def denial_reason_rollup(spark, sf_dir):
         """, c AS (SELECT patient_key, SUM(payer_share_amount) AS cost FROM header GROUP BY 1)
         SELECT patient_key, premium, ROUND(COALESCE(cost, 0), 2) AS claim_cost,
         ROUND(premium - COALESCE(cost, 0), 2) AS profit,
-        ROUND(COALESCE(cost, 0) / NULLIF(premium, 0), 4) AS loss_ratio FROM policy LEFT JOIN c USING (patient_key)""",
+        ROUND(COALESCE(cost, 0) / NULLIF(premium, 0), 6) AS loss_ratio FROM policy LEFT JOIN c USING (patient_key)""",
     ),
 )
 def member_profitability(spark, sf_dir):
@@ -377,7 +377,7 @@ def provider_duplicate_ratio(spark, sf_dir):
         p AS (SELECT specialty, AVG(payer_share_amount) AS specialty_avg FROM line
         JOIN provider USING (provider_license_key) GROUP BY 1)
         SELECT provider_license_key, ROUND(specialty_avg / avg_cost, 6) AS efficiency, ROUND(quality, 6) AS quality,
-        ROUND((quality + specialty_avg / avg_cost) / avg_cost * 1e6, 4) AS value_per_million
+        ROUND((quality + specialty_avg / avg_cost) / avg_cost * 1e6, 6) AS value_per_million
         FROM s JOIN p USING (specialty)""",
     ),
 )
@@ -416,7 +416,7 @@ def manual_adjudication_rate(spark, sf_dir):
         + """ SELECT COUNT(*) AS n_claims, ROUND(AVG(CASE WHEN final_decision = 'AUTO_APPROVED' THEN 1.0 ELSE 0.0 END), 6)
         AS stp_rate, ROUND(SUM(CASE WHEN final_decision = 'AUTO_APPROVED' THEN 5.5 ELSE 0 END)::DOUBLE, 2)
         AS review_savings, ROUND(SUM(CASE WHEN final_decision = 'AUTO_DENIED' THEN payer_share_amount ELSE 0 END) * 0.8,
-        2) AS prevented_amount, ROUND(AVG(payer_share_amount), 4) AS mean_amount FROM triaged""",
+        2) AS prevented_amount, ROUND(AVG(payer_share_amount), 6) AS mean_amount FROM triaged""",
     ),
 )
 def business_value(spark, sf_dir):

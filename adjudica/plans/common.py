@@ -10,7 +10,7 @@ from ..sources.files import load_artifact, save_artifact
 from ..session import scratch_path
 
 
-def r(column: Column | str, digits: int = 4) -> Column:
+def r(column: Column | str, digits: int = 6) -> Column:
     return F.round(F.col(column) if isinstance(column, str) else column, digits)
 
 

@@ -42,14 +42,14 @@ def scored_costs(spark, sf_dir):
 
 @query(
     "mae",
-    using("header line provider", PREDICTED_CTE + " SELECT ROUND(AVG(ABS(actual - champion)), 4) AS mae FROM scored"),
+    using("header line provider", PREDICTED_CTE + " SELECT ROUND(AVG(ABS(actual - champion)), 6) AS mae FROM scored"),
 )
 def mae(spark, sf_dir):
     return E.mae(scored_costs(spark, sf_dir), "actual", "champion").select(r("mae").alias("mae"))
 
 
 CC_BODY = """, e AS (SELECT AVG(ABS(actual - champion)) AS a, AVG(ABS(actual - challenger)) AS b FROM scored)
-    SELECT ROUND(a, 4) AS champion_mae, ROUND(b, 4) AS challenger_mae, ROUND((a - b) / a, 6) AS improvement, """
+    SELECT ROUND(a, 6) AS champion_mae, ROUND(b, 6) AS challenger_mae, ROUND((a - b) / a, 6) AS improvement, """
 
 
 def _rounded_errors(df):
@@ -90,7 +90,7 @@ def perf_gate(spark, sf_dir):
         PREDICTED_CTE
         + """, t AS (SELECT AVG(ABS(actual - champion)) AS t FROM scored),
         g AS (SELECT gender, AVG(ABS(actual - champion)) AS m FROM scored GROUP BY 1)
-        SELECT gender, ROUND(m, 4) AS mae, ROUND(ABS(m - t) / t, 6) AS disparity, ABS(m - t) / t <= 0.15 AS passed
+        SELECT gender, ROUND(m, 6) AS mae, ROUND(ABS(m - t) / t, 6) AS disparity, ABS(m - t) / t <= 0.15 AS passed
         FROM g, t""",
     ),
 )
@@ -194,7 +194,7 @@ DRIFT_LIMITS = [("age", 0.10), ("payer_share_amount", 0.20)]
         m AS (SELECT 'age' AS metric, 0.10 AS lim, AVG(age) FILTER (WHERE live) AS a, AVG(age) FILTER (WHERE NOT live)
         AS b FROM rows UNION ALL SELECT 'payer_share_amount', 0.20, AVG(payer_share_amount) FILTER (WHERE live),
         AVG(payer_share_amount) FILTER (WHERE NOT live) FROM rows)
-        SELECT metric, ROUND(a, 4) AS live_mean, ROUND(b, 4) AS base_mean, ROUND(ABS(a - b) / b, 6) AS relative_move,
+        SELECT metric, ROUND(a, 6) AS live_mean, ROUND(b, 6) AS base_mean, ROUND(ABS(a - b) / b, 6) AS relative_move,
         ABS(a - b) / b > lim AS drifted FROM m""",
     ),
 )
@@ -242,7 +242,7 @@ DISTANCE_SQL = (
     + ", ".join(f"AVG({c}) AS m{i}, STDDEV_SAMP({c}) AS s{i}" for i, c in enumerate(PROVIDER_FEATURES))
     + " FROM fwa), scored AS (SELECT fwa.*, ROUND(-("
     + " + ".join(f"ABS(COALESCE(({c} - m{i}) / NULLIF(s{i}, 0), 0))" for i, c in enumerate(PROVIDER_FEATURES))
-    + f") / {len(PROVIDER_FEATURES)}, 4) AS anomaly_score FROM fwa, m)"
+    + f") / {len(PROVIDER_FEATURES)}, 6) AS anomaly_score FROM fwa, m)"
 )
 
 

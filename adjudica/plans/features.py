@@ -39,7 +39,7 @@ def member_conditions(spark, sf_dir):
     using(
         "header item patient",
         LISTED_CTE
-        + """ SELECT patient_key, ROUND(COALESCE(score, 0), 4)::DOUBLE AS self_reported_chronic_score FROM patient
+        + """ SELECT patient_key, ROUND(COALESCE(score, 0), 6)::DOUBLE AS self_reported_chronic_score FROM patient
         LEFT JOIN scored USING (patient_key)""",
     ),
 )
@@ -54,7 +54,7 @@ def self_reported_score(spark, sf_dir):
     using(
         "header item patient",
         LISTED_CTE
-        + """ SELECT patient_key, ROUND(age * COALESCE(score, 0), 4)::DOUBLE AS age_x_chronic_score FROM patient
+        + """ SELECT patient_key, ROUND(age * COALESCE(score, 0), 6)::DOUBLE AS age_x_chronic_score FROM patient
         LEFT JOIN scored USING (patient_key)""",
     ),
 )
@@ -67,7 +67,7 @@ def age_x_chronic(spark, sf_dir):
     "data_driven_risk",
     using(
         "header item",
-        STAGE_CTE + f" SELECT patient_key, ROUND({RISK_SQL}, 4) AS data_driven_risk_score FROM members",
+        STAGE_CTE + f" SELECT patient_key, ROUND({RISK_SQL}, 6) AS data_driven_risk_score FROM members",
     ),
 )
 def data_driven_risk(spark, sf_dir):
@@ -88,12 +88,12 @@ def _grain_sql(grain: str, body: str) -> str:
 
 
 IQR_BODY = """SELECT patient_key, ROUND(QUANTILE_CONT(payer_share_amount, 0.75)
-    - QUANTILE_CONT(payer_share_amount, 0.25), 4) AS cost_volatility_iqr FROM base GROUP BY 1"""
+    - QUANTILE_CONT(payer_share_amount, 0.25), 6) AS cost_volatility_iqr FROM base GROUP BY 1"""
 GAP_BODY = """, g AS (SELECT patient_key, CAST(max_serviced_date - LAG(max_serviced_date) OVER (PARTITION BY patient_key
     ORDER BY max_serviced_date) AS DOUBLE) AS gap FROM base)
-    SELECT patient_key, ROUND(COALESCE(STDDEV_POP(gap), 0), 4) AS days_between_visits_std FROM g GROUP BY 1"""
+    SELECT patient_key, ROUND(COALESCE(STDDEV_POP(gap), 0), 6) AS days_between_visits_std FROM g GROUP BY 1"""
 SLOPE_BODY = """, d AS (SELECT *, max_serviced_date - MIN(max_serviced_date) OVER (PARTITION BY patient_key) AS x FROM base)
-    SELECT patient_key, ROUND(CASE WHEN COUNT(DISTINCT x) < 2 THEN 0 ELSE REGR_SLOPE(payer_share_amount, x) END, 4)
+    SELECT patient_key, ROUND(CASE WHEN COUNT(DISTINCT x) < 2 THEN 0 ELSE REGR_SLOPE(payer_share_amount, x) END, 6)
     AS cost_trend_slope FROM d GROUP BY 1"""
 
 
@@ -202,7 +202,7 @@ def provider_features(spark, sf_dir):
     using(
         "header line provider",
         PROVIDER_RISK
-        + """ SELECT patient_key, ROUND(AVG(COALESCE(score, (SELECT MAX(overall) FROM known))), 4)
+        + """ SELECT patient_key, ROUND(AVG(COALESCE(score, (SELECT MAX(overall) FROM known))), 6)
         AS avg_provider_risk_score FROM pairs LEFT JOIN z USING (provider_license_key) GROUP BY 1""",
     ),
 )

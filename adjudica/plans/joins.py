@@ -260,7 +260,7 @@ FRAUD_SCORES = """, stats AS (SELECT provider_license_key, AVG(payer_share_amoun
     using(
         "line",
         FRAUD_SCORES
-        + """ SELECT provider_license_key, ROUND(avg_cost_per_claim, 4) AS avg_cost_per_claim, claim_count,
+        + """ SELECT provider_license_key, ROUND(avg_cost_per_claim, 6) AS avg_cost_per_claim, claim_count,
         ROUND(CASE WHEN high > 0.1 THEN high ELSE 0 END, 6) AS provider_fraud_score FROM stats""",
     ),
 )
@@ -364,8 +364,8 @@ OOP_SQL = """CASE WHEN premium = 0 THEN CASE WHEN COALESCE(cost, 0) > 0 THEN 2.0
     using(
         "header item policy",
         STAGE_CTE
-        + f""" SELECT patient_key, ROUND({RISK_SQL}, 4) AS data_driven_risk_score,
-        ROUND(age * ({RISK_SQL}), 4) AS age_x_chronic_score, ROUND(COALESCE(denial, 0), 6) AS pre_auth_denial_rate,
+        + f""" SELECT patient_key, ROUND({RISK_SQL}, 6) AS data_driven_risk_score,
+        ROUND(age * ({RISK_SQL}), 6) AS age_x_chronic_score, ROUND(COALESCE(denial, 0), 6) AS pre_auth_denial_rate,
         ROUND({OOP_SQL}, 6) AS out_of_pocket_ratio FROM policy LEFT JOIN members USING (patient_key)""",
     ),
 )

@@ -33,6 +33,10 @@ def stored(spark, df, name):
     return read_abt(spark, path, df.schema)
 
 
+def stored_provider_features(spark, sf_dir):
+    return stored(spark, P.provider_fwa_features(M.claim_line(spark, sf_dir), HIGH_COST), "provider-features")
+
+
 def _scored(df, key, features, contamination, k):
     scores = I.forest_scores(df, I.fit_forest(df, key, features, contamination))
     return P.top_k(scores.withColumn("anomaly_score", r("anomaly_score", 6)), "anomaly_score", key, k)
@@ -41,7 +45,7 @@ def _scored(df, key, features, contamination, k):
 @query("isolation_forest_score")
 def isolation_forest_score(spark, sf_dir):
     """Anomaly score of every provider."""
-    features = P.provider_fwa_features(M.claim_line(spark, sf_dir), HIGH_COST)
+    features = stored_provider_features(spark, sf_dir)
     forest = I.fit_forest(features, C.PROVIDER, PROVIDER_FEATURES, 0.05)
     return I.forest_scores(features, forest)
 
@@ -63,13 +67,13 @@ def isolation_forest_patients(spark, sf_dir):
     profile = W.unique_providers(visits, 30).join(W.patient_velocity(visits), C.MEMBER).select(
         C.MEMBER, "unique_providers_30d", "claim_velocity_7d"
     )
-    return _scored(profile, C.MEMBER, ["unique_providers_30d", "claim_velocity_7d"], 0.005, 20)
+    return _scored(stored(spark, profile, "patient-profile"), C.MEMBER, ["unique_providers_30d", "claim_velocity_7d"], 0.005, 20)
 
 
 @query("score_new_providers")
 def score_new_providers(spark, sf_dir):
     """Providers with odd keys scored by a forest that only saw the even ones."""
-    features = P.provider_fwa_features(M.claim_line(spark, sf_dir), HIGH_COST)
+    features = stored_provider_features(spark, sf_dir)
     market = features.filter(F.col(C.PROVIDER) % 2 == 0)
     forest = I.fit_forest(market, C.PROVIDER, PROVIDER_FEATURES, 0.05)
     return I.forest_scores(features.filter(F.col(C.PROVIDER) % 2 == 1), forest)
@@ -83,7 +87,7 @@ def tier_table(spark, sf_dir):
     scores = P.provider_fwa_features(lines, HIGH_COST).select(
         C.PROVIDER, F.col("high_cost_claim_ratio").alias("provider_fraud_score")
     )
-    return P.fraud_score_join(P.provider_value_features(lines), scores)
+    return stored(spark, P.fraud_score_join(P.provider_value_features(lines), scores), "provider-value")
 
 
 @query("provider_tiers")
@@ -252,9 +256,7 @@ def churn_drivers(spark, sf_dir):
 @query("fwa_model")
 def fwa_model(spark, sf_dir):
     """Classifier over provider features, taught by the lowest quarter of the forest scores."""
-    features = stored(
-        spark, P.provider_fwa_features(M.claim_line(spark, sf_dir), HIGH_COST), "provider-features"
-    )
+    features = stored_provider_features(spark, sf_dir)
     scores = I.forest_scores(features, I.fit_forest(features, C.PROVIDER, PROVIDER_FEATURES, 0.05))
     labelled = E.quantile_label(stored(spark, scores, "provider-scores"), "anomaly_score")
     return _binary(spark, labelled, C.PROVIDER, PROVIDER_FEATURES, "is_fraud", "fwa-training")

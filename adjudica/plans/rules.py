@@ -179,9 +179,9 @@ def auto_pay_gate(spark, sf_dir):
         "line",
         """, m AS (SELECT AVG(discount) AS mean_discount, AVG(tax) AS mean_tax,
         AVG(CASE WHEN payer_share_amount > 50000 THEN 1.0 ELSE 0.0 END) AS high_cost FROM line)
-        SELECT 'high_cost_ratio' AS metric, ROUND(high_cost, 4) AS value, high_cost >= 0.6 AS passed FROM m
-        UNION ALL SELECT 'mean_discount', ROUND(mean_discount, 4), mean_discount <= 0.15 FROM m
-        UNION ALL SELECT 'mean_tax', ROUND(mean_tax, 4), mean_tax >= 0.01 AND mean_tax <= 0.05 FROM m""",
+        SELECT 'high_cost_ratio' AS metric, ROUND(high_cost, 6) AS value, high_cost >= 0.6 AS passed FROM m
+        UNION ALL SELECT 'mean_discount', ROUND(mean_discount, 6), mean_discount <= 0.15 FROM m
+        UNION ALL SELECT 'mean_tax', ROUND(mean_tax, 6), mean_tax >= 0.01 AND mean_tax <= 0.05 FROM m""",
     ),
 )
 def threshold_gate(spark, sf_dir):

@@ -89,8 +89,8 @@ WEIGHTS_SQL = using(
         LEFT JOIN flags f ON h.claim_request_bundle_id = f.claim_request_bundle_id)
     """
     + " UNION ALL ".join(
-        f"SELECT '{n}' AS condition, ROUND(GREATEST(1.0, AVG(c) FILTER (WHERE c{i}) / AVG(c)), 4) AS cost_weight,"
-        f" ROUND(GREATEST(1.0, AVG(c) FILTER (WHERE c{i}) / AVG(c)), 4) AS freq_weight FROM rows"
+        f"SELECT '{n}' AS condition, ROUND(GREATEST(1.0, AVG(c) FILTER (WHERE c{i}) / AVG(c)), 6) AS cost_weight,"
+        f" ROUND(GREATEST(1.0, AVG(c) FILTER (WHERE c{i}) / AVG(c)), 6) AS freq_weight FROM rows"
         for i, n in enumerate(M.CONDITIONS)
     ),
 )
@@ -127,9 +127,9 @@ def read_prediction_log(spark, sf_dir):
     "write_worklist",
     using(
         "line",
-        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 4) AS avg_cost_per_claim,
+        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 6) AS avg_cost_per_claim,
         COUNT(DISTINCT claim_request_bundle_id) AS claim_count FROM line GROUP BY 1
-        ORDER BY ROUND(AVG(payer_share_amount), 4) DESC, provider_license_key LIMIT 20""",
+        ORDER BY ROUND(AVG(payer_share_amount), 6) DESC, provider_license_key LIMIT 20""",
     ),
 )
 def write_worklist(spark, sf_dir):

@@ -30,7 +30,7 @@ def yearly_premiums(spark, sf_dir):
         "header",
         """, y AS (SELECT patient_key, CAST(YEAR(max_serviced_date) AS INTEGER) AS year, SUM(payer_share_amount) / 10
         AS premium FROM header GROUP BY 1, 2), p AS (SELECT *, LAG(premium) OVER (PARTITION BY patient_key ORDER BY year)
-        AS previous FROM y) SELECT patient_key, year, ROUND(premium, 4) AS premium,
+        AS previous FROM y) SELECT patient_key, year, ROUND(premium, 6) AS premium,
         ROUND(COALESCE((premium - previous) / previous, 0), 6) AS premium_increase_percentage FROM p""",
     ),
 )
@@ -184,8 +184,8 @@ Z_CTE = """, s AS (SELECT provider_license_key, specialty, AVG(payer_share_amoun
     using(
         "line provider",
         Z_CTE
-        + """ SELECT provider_license_key, specialty, ROUND(avg_cost, 4) AS avg_cost, ROUND(peer_avg, 4) AS peer_avg,
-        ROUND(COALESCE((avg_cost - peer_avg) / NULLIF(peer_std, 0), 0), 4) AS peer_zscore FROM z""",
+        + """ SELECT provider_license_key, specialty, ROUND(avg_cost, 6) AS avg_cost, ROUND(peer_avg, 6) AS peer_avg,
+        ROUND(COALESCE((avg_cost - peer_avg) / NULLIF(peer_std, 0), 0), 6) AS peer_zscore FROM z""",
     ),
 )
 def peer_group_zscore(spark, sf_dir):
@@ -206,7 +206,7 @@ WORKLIST_SQL = using(
     + ", ".join(f"AVG({c}) AS m{i}, STDDEV_SAMP({c}) AS s{i}" for i, c in enumerate(PROVIDER_FEATURES))
     + " FROM fwa), scored AS (SELECT provider_license_key, ROUND(-("
     + " + ".join(f"ABS(COALESCE(({c} - m{i}) / NULLIF(s{i}, 0), 0))" for i, c in enumerate(PROVIDER_FEATURES))
-    + f") / {len(PROVIDER_FEATURES)}, 4) AS anomaly_score FROM fwa, m)"
+    + f") / {len(PROVIDER_FEATURES)}, 6) AS anomaly_score FROM fwa, m)"
     + " SELECT provider_license_key, anomaly_score FROM scored ORDER BY anomaly_score, provider_license_key LIMIT 20",
 )
 
@@ -239,9 +239,9 @@ def provider_worklist(spark, sf_dir):
     using(
         "header line",
         MEMBER_LINES
-        + """, providers AS (SELECT provider_license_key AS id, ROUND(-AVG(payer_share_amount), 4) AS score FROM line
+        + """, providers AS (SELECT provider_license_key AS id, ROUND(-AVG(payer_share_amount), 6) AS score FROM line
         GROUP BY 1 ORDER BY 2, 1 LIMIT 20),
-        claims AS (SELECT claim_request_bundle_id AS id, ROUND(-payer_share_amount, 4) AS score FROM header
+        claims AS (SELECT claim_request_bundle_id AS id, ROUND(-payer_share_amount, 6) AS score FROM header
         ORDER BY 2, 1 LIMIT 50),
         patients AS (SELECT patient_key AS id, -COUNT(DISTINCT provider_license_key)::DOUBLE AS score FROM visits
         GROUP BY 1 ORDER BY 2, 1 LIMIT 20)
