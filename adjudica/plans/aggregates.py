@@ -123,20 +123,20 @@ def chronic_weights(spark, sf_dir):
     "specialty_costs",
     using(
         "line provider",
-        """SELECT specialty, ROUND(AVG(payer_share_amount), 6) AS avg_cost FROM line
+        """SELECT specialty, ROUND(AVG(payer_share_amount), 4) AS avg_cost FROM line
         JOIN provider USING (provider_license_key) GROUP BY 1""",
     ),
 )
 def specialty_costs(spark, sf_dir):
     costs = C.specialty_costs(M.claim_line(spark, sf_dir), M.provider(spark, sf_dir))
-    return costs.select("specialty", r("avg_cost").alias("avg_cost"))
+    return costs.select("specialty", r("avg_cost", 4).alias("avg_cost"))
 
 
 @query(
     "provider_stats",
     using(
         "line provider",
-        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 6) AS avg_cost,
+        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 4) AS avg_cost,
         COUNT(DISTINCT claim_request_bundle_id) AS claim_count, specialty, provider_type FROM line
         LEFT JOIN provider USING (provider_license_key) GROUP BY 1, 4, 5""",
     ),
@@ -144,7 +144,7 @@ def specialty_costs(spark, sf_dir):
 def provider_stats(spark, sf_dir):
     stats = P.provider_stats(M.claim_line(spark, sf_dir), M.provider(spark, sf_dir))
     return stats.select(
-        C.PROVIDER, r("avg_cost").alias("avg_cost"), "claim_count", "specialty", "provider_type"
+        C.PROVIDER, r("avg_cost", 4).alias("avg_cost"), "claim_count", "specialty", "provider_type"
     )
 
 
@@ -162,7 +162,7 @@ FWA_CTE = f""", fwa AS (SELECT provider_license_key, COALESCE(AVG(payer_share_am
     using(
         "line",
         FWA_CTE
-        + """ SELECT provider_license_key, ROUND(avg_cost_per_claim, 6) AS avg_cost_per_claim, claim_count,
+        + """ SELECT provider_license_key, ROUND(avg_cost_per_claim, 4) AS avg_cost_per_claim, claim_count,
         ROUND(std_cost_per_claim, 6) AS std_cost_per_claim, ROUND(weekend_billing_ratio, 6) AS weekend_billing_ratio,
         ROUND(high_cost_claim_ratio, 6) AS high_cost_claim_ratio FROM fwa""",
     ),
@@ -170,7 +170,7 @@ FWA_CTE = f""", fwa AS (SELECT provider_license_key, COALESCE(AVG(payer_share_am
 def provider_fwa_features(spark, sf_dir):
     features = P.provider_fwa_features(M.claim_line(spark, sf_dir), HIGH_COST)
     return features.select(
-        C.PROVIDER, r("avg_cost_per_claim").alias("avg_cost_per_claim"), "claim_count",
+        C.PROVIDER, r("avg_cost_per_claim", 4).alias("avg_cost_per_claim"), "claim_count",
         r("std_cost_per_claim").alias("std_cost_per_claim"),
         r("weekend_billing_ratio", 6).alias("weekend_billing_ratio"),
         r("high_cost_claim_ratio", 6).alias("high_cost_claim_ratio"),
@@ -181,13 +181,13 @@ def provider_fwa_features(spark, sf_dir):
     "provider_value_features",
     using(
         "line",
-        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 6) AS avg_cost_per_claim,
+        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 4) AS avg_cost_per_claim,
         COUNT(DISTINCT claim_request_bundle_id) AS claim_count FROM line GROUP BY 1""",
     ),
 )
 def provider_value_features(spark, sf_dir):
     return P.provider_value_features(M.claim_line(spark, sf_dir)).select(
-        C.PROVIDER, r("avg_cost_per_claim").alias("avg_cost_per_claim"), "claim_count"
+        C.PROVIDER, r("avg_cost_per_claim", 4).alias("avg_cost_per_claim"), "claim_count"
     )
 
 

@@ -260,7 +260,7 @@ FRAUD_SCORES = """, stats AS (SELECT provider_license_key, AVG(payer_share_amoun
     using(
         "line",
         FRAUD_SCORES
-        + """ SELECT provider_license_key, ROUND(avg_cost_per_claim, 6) AS avg_cost_per_claim, claim_count,
+        + """ SELECT provider_license_key, ROUND(avg_cost_per_claim, 4) AS avg_cost_per_claim, claim_count,
         ROUND(CASE WHEN high > 0.1 THEN high ELSE 0 END, 6) AS provider_fraud_score FROM stats""",
     ),
 )
@@ -271,7 +271,7 @@ def fraud_score_join(spark, sf_dir):
         C.PROVIDER, F.col("high_cost_claim_ratio").alias("provider_fraud_score")
     )
     return P.fraud_score_join(P.provider_value_features(lines), scores).select(
-        C.PROVIDER, r("avg_cost_per_claim").alias("avg_cost_per_claim"), "claim_count",
+        C.PROVIDER, r("avg_cost_per_claim", 4).alias("avg_cost_per_claim"), "claim_count",
         r("provider_fraud_score", 6).alias("provider_fraud_score"),
     )
 

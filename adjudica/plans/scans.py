@@ -127,15 +127,15 @@ def read_prediction_log(spark, sf_dir):
     "write_worklist",
     using(
         "line",
-        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 6) AS avg_cost_per_claim,
+        """SELECT provider_license_key, ROUND(AVG(payer_share_amount), 4) AS avg_cost_per_claim,
         COUNT(DISTINCT claim_request_bundle_id) AS claim_count FROM line GROUP BY 1
-        ORDER BY ROUND(AVG(payer_share_amount), 6) DESC, provider_license_key LIMIT 20""",
+        ORDER BY ROUND(AVG(payer_share_amount), 4) DESC, provider_license_key LIMIT 20""",
     ),
 )
 def write_worklist(spark, sf_dir):
     """The 20 most expensive providers written as CSV and read back."""
     features = P.provider_value_features(M.claim_line(spark, sf_dir)).withColumn(
-        "avg_cost_per_claim", r("avg_cost_per_claim")
+        "avg_cost_per_claim", r("avg_cost_per_claim", 4)
     )
     worklist = P.top_k(features, "avg_cost_per_claim", C.PROVIDER, 20, ascending=False)
     path = scratch_path(spark, "worklist")

@@ -184,14 +184,14 @@ Z_CTE = """, s AS (SELECT provider_license_key, specialty, AVG(payer_share_amoun
     using(
         "line provider",
         Z_CTE
-        + """ SELECT provider_license_key, specialty, ROUND(avg_cost, 6) AS avg_cost, ROUND(peer_avg, 6) AS peer_avg,
+        + """ SELECT provider_license_key, specialty, ROUND(avg_cost, 4) AS avg_cost, ROUND(peer_avg, 6) AS peer_avg,
         ROUND(COALESCE((avg_cost - peer_avg) / NULLIF(peer_std, 0), 0), 6) AS peer_zscore FROM z""",
     ),
 )
 def peer_group_zscore(spark, sf_dir):
     stats = P.provider_stats(M.claim_line(spark, sf_dir), M.provider(spark, sf_dir))
     return P.peer_group_zscore(stats).select(
-        C.PROVIDER, "specialty", r("avg_cost").alias("avg_cost"), r("peer_avg").alias("peer_avg"),
+        C.PROVIDER, "specialty", r("avg_cost", 4).alias("avg_cost"), r("peer_avg").alias("peer_avg"),
         r("peer_zscore").alias("peer_zscore"),
     )
 
@@ -239,7 +239,7 @@ def provider_worklist(spark, sf_dir):
     using(
         "header line",
         MEMBER_LINES
-        + """, providers AS (SELECT provider_license_key AS id, ROUND(-AVG(payer_share_amount), 6) AS score FROM line
+        + """, providers AS (SELECT provider_license_key AS id, ROUND(-AVG(payer_share_amount), 4) AS score FROM line
         GROUP BY 1 ORDER BY 2, 1 LIMIT 20),
         claims AS (SELECT claim_request_bundle_id AS id, ROUND(-payer_share_amount, 6) AS score FROM header
         ORDER BY 2, 1 LIMIT 50),
@@ -252,7 +252,7 @@ def provider_worklist(spark, sf_dir):
 def worklist_topk(spark, sf_dir):
     """Providers, claims and patients to review: 20, 50 and 20 rows by ascending score."""
     providers = P.provider_value_features(M.claim_line(spark, sf_dir)).select(
-        F.col(C.PROVIDER).alias("id"), r(-F.col("avg_cost_per_claim")).alias("score")
+        F.col(C.PROVIDER).alias("id"), r(-F.col("avg_cost_per_claim"), 4).alias("score")
     )
     claims = M.claim_header(spark, sf_dir).select(F.col(C.CLAIM).alias("id"), r(-F.col(C.AMOUNT)).alias("score"))
     patients = W.unique_providers(member_lines(spark, sf_dir)).select(
