@@ -45,17 +45,25 @@ def local_session(cores: str | int = "*", app: str = "adjudica", memory: str = "
     return spark
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for tables that cut lineage: the cluster's shared checkpoint folder.
+    """Folder for tables that cut lineage: the shared checkpoint folder named in the session.
 
-    Only a session that names none (a local test) gets a temporary one, and it is
-    remembered in the session so that later calls share it.
+    Only a local session that names none (a test) gets a temporary folder, once per
+    application. A cluster without the setting is refused, since a folder of one machine
+    would not be seen by the others.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="adjudica-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if context.applicationId not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="adjudica-")
+    return _LOCAL_SCRATCH[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
