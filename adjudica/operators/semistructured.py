@@ -68,4 +68,5 @@ def flatten_claim_items(dump: DataFrame) -> DataFrame:
              "Billed Net Amount (Service Items)"),
         item("Medication", "Product Code (Medications)", "Diagnosis Code (Medications)", "Net Amount (Medications)"),
     )
-    return dump.select(claim.alias("claim_id"), F.inline(F.filter(items, lambda i: i["code"].isNotNull())))
+    # Filtering after the generator, not inside it, keeps both in generated code.
+    return dump.select(claim.alias("claim_id"), F.inline(items)).filter(F.col("code").isNotNull())

@@ -125,13 +125,24 @@ def _percentiles_by_rank(
     rows: DataFrame, keys: Sequence[str], quantiles: Sequence[float], outs: Sequence[str], bins: int
 ) -> DataFrame:
     keys = list(keys)
-    one = [] if keys else [F.lit(0).alias("_all")]
+    counts = rows.groupBy(*keys, "_v").agg(F.sum("_w").alias("_c"))
+    span = F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.sum("_c").alias("n")).alias("_s")
+    if keys:
+        spanned = join_null_safe(counts, counts.groupBy(*keys).agg(span), keys)
+    else:
+        spanned = counts.withColumn("_s", counts.agg(span).scalar())
+    low, width = F.col("_s.lo"), F.col("_s.hi") - F.col("_s.lo")
+    bin_no = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("_v") - low) / width * bins)))
+    # Without keys one constant stands for the single group; it only ever meets `bins` rows.
     group = keys or ["_all"]
-    counts = rows.select(*one, *rows.columns).groupBy(*group, "_v").agg(F.sum("_w").alias("_c"))
-    span = counts.groupBy(*group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n"))
-    width = F.col("_hi") - F.col("_lo")
-    bin_no = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("_v") - F.col("_lo")) / width * bins)))
-    binned = join_null_safe(counts, span, group).withColumn("_bin", F.coalesce(bin_no, F.lit(0)))
+    binned = spanned.select(
+        *keys,
+        *([] if keys else [F.lit(0).alias("_all")]),
+        "_v",
+        "_c",
+        F.col("_s.n").alias("_n"),
+        F.coalesce(bin_no, F.lit(0)).alias("_bin"),
+    )
 
     def position(q: float) -> Column:
         return F.lit(float(q)) * (F.col("_n") - 1)

@@ -64,6 +64,19 @@ def rolling_claims(claims: DataFrame, keys: Sequence[str], days: int = 7, out: s
     return join_null_safe(dated, rolled, [*keys, DATE])
 
 
+def refill_frequency(visits: DataFrame, keys: Sequence[str], days: int = 7) -> DataFrame:
+    """Most repeats of the keys within ``days`` days, and the visits that had an earlier repeat in reach.
+
+    Both follow from the day counts, so visits are not joined back.
+    """
+    counts = visits.filter(F.col(DATE).isNotNull()).groupBy(*keys, DATE).agg(F.count(F.lit(1)).alias("_n"))
+    rolled = _rolling(counts, keys, days, "_n", "_reach")
+    return rolled.groupBy(*keys).agg(
+        F.max("_reach").alias("most_in_a_week"),
+        F.sum(F.when(F.col("_reach") > 1, F.col("_n")).otherwise(0)).alias("n_repeats"),
+    )
+
+
 def patient_velocity(claims: DataFrame, days: int = 7) -> DataFrame:
     """Claims per member in the ``days`` days up to the member's last visit."""
     counts = claims.filter(F.col(DATE).isNotNull()).groupBy(MEMBER, DATE).agg(F.count(F.lit(1)).alias("_n"))

@@ -167,10 +167,7 @@ def refill_frequency(spark, sf_dir):
     """Most repeats of one procedure for one member within seven days."""
     owner = M.claim_header(spark, sf_dir).select(C.CLAIM, C.MEMBER)
     visits = M.claim_item(spark, sf_dir).select(C.CLAIM, "procedure_code", C.DATE).join(owner, C.CLAIM)
-    rolled = W.rolling_claims(visits, [C.MEMBER, "procedure_code"], 7, "n")
-    return rolled.groupBy(C.MEMBER, "procedure_code").agg(
-        F.max("n").alias("most_in_a_week"), F.count_if(F.col("n") > 1).alias("n_repeats")
-    )
+    return W.refill_frequency(visits, [C.MEMBER, "procedure_code"], 7)
 
 
 Z_CTE = """, s AS (SELECT provider_license_key, specialty, AVG(payer_share_amount) AS avg_cost FROM line
