@@ -103,7 +103,8 @@ def visit_gaps(weighted: DataFrame) -> DataFrame:
     Repeats on one day only add zero gaps, so the order of days alone decides: the
     window sees one row per member and day.
     """
-    days = weighted.filter(F.col(DATE).isNotNull()).groupBy(MEMBER, DATE).agg(F.sum("weight").alias("_n"))
+    dated = F.when(F.col(DATE).isNotNull(), F.col("weight")).otherwise(0)
+    days = weighted.groupBy(MEMBER, DATE).agg(F.sum(dated).alias("_n"))
     order = Window.partitionBy(MEMBER).orderBy(DATE)
     gap = F.datediff(F.col(DATE), F.lag(DATE).over(order)).cast("double")
     sums = days.withColumn("_gap", gap).groupBy(MEMBER).agg(
@@ -121,15 +122,15 @@ def cost_trend(weighted: DataFrame) -> DataFrame:
     a fixed start replaces the lookup of each member's first date.
     """
     x = F.datediff(F.col(DATE), F.lit("2000-01-01").cast("date")).cast("double")
-    w, y = F.col("weight"), F.col(AMOUNT)
-    rows = weighted.filter(F.col(DATE).isNotNull() & F.col(AMOUNT).isNotNull())
-    sums = rows.groupBy(MEMBER).agg(
+    complete = F.col(DATE).isNotNull() & F.col(AMOUNT).isNotNull()
+    w, y, day = F.when(complete, F.col("weight")), F.col(AMOUNT), F.when(complete, F.col(DATE))
+    sums = weighted.groupBy(MEMBER).agg(
         F.sum(w).alias("_w"),
         F.sum(w * x).alias("_x"),
         F.sum(w * y).alias("_y"),
         F.sum(w * x * x).alias("_xx"),
         F.sum(w * x * y).alias("_xy"),
-        (F.min(DATE) < F.max(DATE)).alias("_spread"),
+        (F.min(day) < F.max(day)).alias("_spread"),
     )
     top = F.col("_w") * F.col("_xy") - F.col("_x") * F.col("_y")
     bottom = F.col("_w") * F.col("_xx") - F.col("_x") * F.col("_x")

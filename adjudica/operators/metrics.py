@@ -171,6 +171,12 @@ def business_value(
     )
 
 
+def retention_value(members: DataFrame, churn_probability: str, keep_below: float = 0.5, value: float = 1200.0) -> DataFrame:
+    """Members expected to stay and what they are worth."""
+    kept = F.sum(F.when(F.col(churn_probability) < keep_below, 1).otherwise(0))
+    return members.agg(kept.alias("retained_members"), (kept * value).alias("retained_value"))
+
+
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null and total counts of all columns in one pass, one row per column."""
     parts = [

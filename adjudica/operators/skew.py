@@ -18,9 +18,16 @@ HOT_ROWS = 1_000_000
 BINS = 4096
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where null matches null; the left keys are kept."""
+def join_null_safe(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", bounded: bool = False
+) -> DataFrame:
+    """Equi-join on ``keys`` where null matches null; the left keys are kept.
+
+    ``bounded`` marks a right side whose size is limited by construction, which may be
+    broadcast.
+    """
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    renamed = F.broadcast(renamed) if bounded else renamed
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
@@ -102,22 +109,23 @@ def exact_percentiles(
     values in one buffer. Groups above ``hot_rows`` rows are resolved by rank: values are
     counted, a histogram finds the bins that hold the wanted ranks, and only those bins
     are ordered. With no keys the whole table is one group and takes the second way.
+    Null values do not count; a group without any value gives no row.
     """
     rows = df.filter(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("_w")
     )
     if not keys:
         return _percentiles_by_rank(rows, keys, quantiles, outs, bins)
-    # Bounded by rows / hot_rows, see hot_keys.
-    hot = F.broadcast(hot_keys(rows, keys, hot_rows))
+    hot = hot_keys(rows, keys, hot_rows)
     probs = F.array(*[F.lit(float(q)) for q in quantiles])
     cold = (
-        rows.join(hot, list(keys), "left_anti")
+        join_null_safe(rows, hot, keys, "left_anti", bounded=True)
         .groupBy(*keys)
         .agg(F.percentile("_v", probs, F.col("_w")).alias("_p"))
         .select(*keys, *[F.col("_p")[i].alias(o) for i, o in enumerate(outs)])
     )
-    ranked = _percentiles_by_rank(rows.join(hot, list(keys), "left_semi"), keys, quantiles, outs, bins)
+    heavy = join_null_safe(rows, hot, keys, "left_semi", bounded=True)
+    ranked = _percentiles_by_rank(heavy, keys, quantiles, outs, bins)
     return cold.unionByName(ranked)
 
 
@@ -194,8 +202,8 @@ def chunked_lists(
         .withColumn("_chunks", F.ceil(F.col("_n") / chunk_rows) * 2)
         .drop("_n")
     )
-    # Bounded by rows / chunk_rows, as in hot_keys.
-    marked = df.join(F.broadcast(sizes), list(keys), "left").withColumn(
+    # At most rows / chunk_rows keys, as in hot_keys.
+    marked = join_null_safe(df, sizes, keys, "left", bounded=True).withColumn(
         "chunk_no", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_chunks")), F.lit(0)).cast("long")
     )
     return marked.groupBy(*keys, "chunk_no").agg(*lists)

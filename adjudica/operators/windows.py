@@ -54,14 +54,13 @@ def _rolling(days: DataFrame, keys: Sequence[str], back: int, value: str, out: s
 
 
 def rolling_claims(claims: DataFrame, keys: Sequence[str], days: int = 7, out: str = "claim_velocity_7d") -> DataFrame:
-    """Each claim with the number of claims of the same keys in the last ``days`` days.
+    """Each claim with the number of claims of the same keys in the last ``days`` days; 0 without a date.
 
     All claims of one day share the same frame, so the window runs over day counts.
     """
-    dated = claims.filter(F.col(DATE).isNotNull())
-    counts = dated.groupBy(*keys, DATE).agg(F.count(F.lit(1)).alias("_n"))
+    counts = claims.filter(F.col(DATE).isNotNull()).groupBy(*keys, DATE).agg(F.count(F.lit(1)).alias("_n"))
     rolled = _rolling(counts, keys, days, "_n", out).select(*keys, DATE, out)
-    return join_null_safe(dated, rolled, [*keys, DATE])
+    return join_null_safe(claims, rolled, [*keys, DATE], "left").withColumn(out, F.coalesce(out, F.lit(0)))
 
 
 def refill_frequency(visits: DataFrame, keys: Sequence[str], days: int = 7) -> DataFrame:
@@ -78,8 +77,8 @@ def refill_frequency(visits: DataFrame, keys: Sequence[str], days: int = 7) -> D
 
 
 def patient_velocity(claims: DataFrame, days: int = 7) -> DataFrame:
-    """Claims per member in the ``days`` days up to the member's last visit."""
-    counts = claims.filter(F.col(DATE).isNotNull()).groupBy(MEMBER, DATE).agg(F.count(F.lit(1)).alias("_n"))
+    """Claims per member in the ``days`` days up to the member's last visit; 0 without any date."""
+    counts = claims.groupBy(MEMBER, DATE).agg(F.count(F.lit(1)).alias("_n"))
     last = counts.groupBy(MEMBER).agg(F.max(DATE).alias("_last"))
     inside = F.datediff(F.col("_last"), F.col(DATE)).between(0, days)
     return join_null_safe(counts, last, [MEMBER]).groupBy(MEMBER).agg(

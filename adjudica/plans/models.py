@@ -21,8 +21,9 @@ from ..sources.files import read_abt, write_abt
 from .aggregates import HIGH_COST, member_lines
 from .common import r
 from .features import medical_table, plan_limits, provider_features
-from .joins import COST_WEIGHTS, FREQ_WEIGHTS, financial_table
+from .joins import COST_WEIGHTS, FREQ_WEIGHTS, RISK_SQL, STAGE_CTE, financial_table
 from .rules import labelled_claims
+from .views import using
 from .windows import PROVIDER_FEATURES, churn_table
 
 
@@ -148,11 +149,56 @@ def featured_members(spark, sf_dir):
     )
 
 
-@query("pricing_features")
+PRICING_SQL = using(
+    "header item careteam policy line provider",
+    STAGE_CTE
+    + """, v AS (SELECT patient_key, l.* FROM line l JOIN header h USING (claim_request_bundle_id)),
+    q AS (SELECT patient_key, QUANTILE_CONT(payer_share_amount, 0.75) - QUANTILE_CONT(payer_share_amount, 0.25) AS iqr,
+    COUNT(*) FILTER (WHERE adjudication_reason = '1-URGENT') AS urgent FROM header GROUP BY 1),
+    g AS (SELECT patient_key, STDDEV_POP(gap) AS gaps FROM (SELECT patient_key, CAST(max_serviced_date
+    - LAG(max_serviced_date) OVER (PARTITION BY patient_key ORDER BY max_serviced_date) AS DOUBLE) AS gap FROM header)
+    GROUP BY 1),
+    d AS (SELECT patient_key, payer_share_amount AS y, max_serviced_date - MIN(max_serviced_date)
+    OVER (PARTITION BY patient_key) AS x FROM header),
+    sl AS (SELECT patient_key, CASE WHEN COUNT(DISTINCT x) < 2 THEN 0 ELSE REGR_SLOPE(y, x) END AS slope FROM d GROUP BY 1),
+    t AS (SELECT patient_key, COUNT(DISTINCT practice_desc) AS team FROM header JOIN careteam
+    USING (claim_request_bundle_id) GROUP BY 1),
+    a AS (SELECT patient_key, AVG(CASE WHEN activity_type = 'PROMO' THEN 1.0 ELSE 0.0 END) AS med,
+    AVG(CASE WHEN activity_type = 'LARGE' THEN 1.0 ELSE 0.0 END) AS img FROM header
+    JOIN item USING (claim_request_bundle_id) GROUP BY 1),
+    st AS (SELECT provider_license_key, AVG(payer_share_amount) AS avg_cost, COUNT(DISTINCT claim_request_bundle_id) AS n
+    FROM line GROUP BY 1),
+    sp AS (SELECT specialty, AVG(payer_share_amount) AS spec FROM line JOIN provider USING (provider_license_key) GROUP BY 1),
+    k AS (SELECT *, AVG(avg_cost) OVER () AS overall FROM st WHERE n >= 10),
+    z AS (SELECT k.provider_license_key, provider_type, n / (n + 20.0) * avg_cost + (1 - n / (n + 20.0))
+    * COALESCE(spec, overall) AS score FROM k LEFT JOIN provider USING (provider_license_key)
+    LEFT JOIN sp USING (specialty)),
+    pr AS (SELECT patient_key, AVG(COALESCE(score, (SELECT MAX(overall) FROM k))) AS risk,
+    AVG(CASE WHEN LOWER(provider_type) LIKE '%hospital%' THEN 1.0 ELSE 0.0 END) AS hosp
+    FROM (SELECT DISTINCT patient_key, provider_license_key FROM v) LEFT JOIN z USING (provider_license_key) GROUP BY 1)
+    SELECT patient_key, gender, city, classname, age, """
+    + f"ROUND({RISK_SQL}, 6)::DOUBLE AS data_driven_risk_score, "
+    + f"ROUND({RISK_SQL}, 6)::DOUBLE AS self_reported_chronic_score, "
+    + f"ROUND(age * ({RISK_SQL}), 6)::DOUBLE AS age_x_chronic_score, "
+    + """ROUND(COALESCE(iqr, 0), 6) AS cost_volatility_iqr, ROUND(COALESCE(denial, 0), 6) AS pre_auth_denial_rate,
+    ROUND(COALESCE(gaps, 0), 6) AS days_between_visits_std, ROUND(COALESCE(slope, 0), 4) AS cost_trend_slope,
+    COALESCE(team, 0) AS care_team_complexity, ROUND(COALESCE(med, 0), 6) AS medication_ratio,
+    ROUND(COALESCE(img, 0), 6) AS imaging_ratio, COALESCE(urgent, 0) AS medical_necessity_denial_count,
+    ROUND(COALESCE(risk, 0), 4) AS avg_provider_risk_score, ROUND(COALESCE(hosp, 0), 6) AS hospital_visit_ratio,
+    ROUND(COALESCE(cost, 0), 2) AS annualized_cost FROM policy LEFT JOIN members USING (patient_key)
+    LEFT JOIN q USING (patient_key) LEFT JOIN g USING (patient_key) LEFT JOIN sl USING (patient_key)
+    LEFT JOIN t USING (patient_key) LEFT JOIN a USING (patient_key) LEFT JOIN pr USING (patient_key)""",
+)
+ROUNDED = {"cost_trend_slope": 4, "avg_provider_risk_score": 4}
+WHOLE = ["age", "care_team_complexity", "medical_necessity_denial_count"]
+
+
+@query("pricing_features", PRICING_SQL)
 def pricing_features(spark, sf_dir):
     """The featured member table that the cost models read."""
     return featured_members(spark, sf_dir).select(
-        C.MEMBER, *CATEGORIES, *[r(c, 6).alias(c) for c in dict.fromkeys([*ONBOARDING, *CHAMPION])],
+        C.MEMBER, *CATEGORIES, *WHOLE,
+        *[r(c, ROUNDED.get(c, 6)).alias(c) for c in dict.fromkeys([*ONBOARDING, *CHAMPION]) if c not in WHOLE],
         r("annualized_cost", 2).alias("annualized_cost"),
     )
 

@@ -314,6 +314,19 @@ def retention_worklist(spark, sf_dir):
     )
 
 
+@query(
+    "retention_value",
+    using(
+        "header policy",
+        CHURN_CTE
+        + """ SELECT COUNT(*) FILTER (WHERE churn_probability < 0.5) AS retained_members,
+        (COUNT(*) FILTER (WHERE churn_probability < 0.5) * 1200.0)::DOUBLE AS retained_value FROM churn""",
+    ),
+)
+def retention_value(spark, sf_dir):
+    return E.retention_value(churn_table(spark, sf_dir), "churn_probability")
+
+
 @query("distinct_members", "SELECT DISTINCT o_custkey AS patient_key FROM orders")
 def distinct_members(spark, sf_dir):
     return C.distinct_members(M.claim_header(spark, sf_dir))

@@ -77,9 +77,9 @@ def test_member_history_grains(header, items, team):
 def test_visit_gaps_and_trend_edges(header, items, team):
     weighted = H.weighted_claims(header, items, team)
     gaps = {r[C.MEMBER]: r["days_between_visits_std"] for r in H.visit_gaps(weighted).collect()}
-    assert gaps == {10: 0.0, 30: 0.0}
+    assert gaps == {10: 0.0, 20: 0.0, 30: 0.0}
     slope = {r[C.MEMBER]: r["cost_trend_slope"] for r in H.cost_trend(weighted).collect()}
-    assert slope == pytest.approx({10: 50.0})
+    assert slope == pytest.approx({10: 50.0, 20: 0.0, 30: 0.0})
 
 
 def test_provider_features_nulls_and_weekend(spark):

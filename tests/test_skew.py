@@ -171,6 +171,24 @@ def test_duplicate_claims_marks_later_copies_only(spark):
     assert got == {1: 0, 2: 1, 3: 1, 4: 0, 5: 1, 6: 0}
 
 
+def test_claims_without_a_date_count_nothing(spark):
+    rows = [(1, 1, DAY0), (2, 1, None), (3, 2, None), (4, None, DAY0)]
+    df = spark.createDataFrame(rows, "id bigint, patient_key bigint, max_serviced_date date")
+    rolled = {r["id"]: r["claim_velocity_7d"] for r in W.rolling_claims(df, ["patient_key"]).collect()}
+    assert rolled == {1: 1, 2: 0, 3: 0, 4: 1}
+    last = {r["patient_key"]: r["claim_velocity_7d"] for r in W.patient_velocity(df).collect()}
+    assert last == {1: 1, 2: 0, None: 1}
+
+
+def test_hot_null_key_is_split_too(spark):
+    rows = [(None, float(i)) for i in range(50)] + [(1, 3.0)]
+    df = spark.createDataFrame(rows, "k bigint, v double")
+    got = {r["k"]: r["q"] for r in K.exact_percentiles(df, ["k"], "v", [0.5], ["q"], hot_rows=10, bins=4).collect()}
+    assert got == {None: 24.5, 1: 3.0}
+    parts = K.chunked_lists(df, ["k"], ["v"], [F.collect_list("v").alias("vs")], 10).filter("k IS NULL").collect()
+    assert len(parts) > 1 and sorted(v for p in parts for v in p["vs"]) == [float(i) for i in range(50)]
+
+
 def test_premium_increase(spark):
     rows = [(1, 2020, 100.0), (1, 2021, 110.0), (2, 2020, 0.0), (2, 2021, 5.0), (3, 2020, 7.0)]
     df = spark.createDataFrame(rows, "patient_key bigint, year int, premium double")
