@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from .claims import AMOUNT, CLAIM, DATE, DIAGNOSIS, MEMBER, PROVIDER, claim_fanout
+from .claims import AMOUNT, CLAIM, DATE, DIAGNOSIS, MEMBER, PROVIDER, claim_fanout, condition_column
 from .skew import HOT_ROWS, chunked_lists, exact_percentiles
 
 GRAINS = ("claim", "flattened")
@@ -175,13 +177,35 @@ def member_provider_features(pairs: DataFrame, stats: DataFrame, specialties: Da
     )
 
 
-def item_ratios(items: DataFrame, owner: DataFrame, medication: str, imaging: str) -> DataFrame:
-    """Share of medication and imaging items per member."""
+def member_item_features(
+    header: DataFrame,
+    items: DataFrame,
+    definitions: Mapping[str, Sequence[str]],
+    medication: str,
+    imaging: str,
+) -> DataFrame:
+    """Condition flags and medication and imaging shares per member, from one pass over the items.
+
+    Items are summed per claim before they meet the header, so the join moves one row
+    per claim.
+    """
+    columns = {condition_column(n): p for n, p in definitions.items()}
+    kinds = {"_medication": medication, "_imaging": imaging}
+    per_claim = items.groupBy(CLAIM).agg(
+        F.count(F.lit(1)).alias("_items"),
+        *[F.sum(X.flag(F.col("activity_type") == kind)).alias(c) for c, kind in kinds.items()],
+        *[F.max(X.flag(X.has_prefix(DIAGNOSIS, p))).alias(c) for c, p in columns.items()],
+    )
+
+    def share_of(column: str) -> Column:
+        return F.coalesce(F.try_divide(F.sum(column), F.sum("_items")), F.lit(0.0))
+
     return (
-        items.select(CLAIM, "activity_type").join(owner.select(CLAIM, MEMBER), CLAIM).groupBy(MEMBER)
+        header.select(CLAIM, MEMBER).join(per_claim, CLAIM, "left").groupBy(MEMBER)
         .agg(
-            X.share(F.col("activity_type") == medication).alias("medication_ratio"),
-            X.share(F.col("activity_type") == imaging).alias("imaging_ratio"),
+            *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in columns],
+            share_of("_medication").alias("medication_ratio"),
+            share_of("_imaging").alias("imaging_ratio"),
         )
     )
 

@@ -213,7 +213,8 @@ def hashed_rank(df: DataFrame, label: str, key: str, out: str, digits: int = 4)
     """Zero-based rank of each row within ``label`` in the order of ``md5(key)``, and the label's size.
 
     Hash prefixes cut every label into even slices; ranks inside a slice are shifted by
-    the number of rows in the slices before it.
+    the number of rows in the slices before it. ``df`` is read twice: store it first if it
+    is dear to compute.
     """
     hashed = df.withColumn("_h", F.md5(F.col(key).cast("string"))).withColumn("_slice", F.substring("_h", 1, digits))
     before = Window.partitionBy(label).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
@@ -29,23 +29,39 @@ def ytd_spend(header: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return running_total_before(dated, [MEMBER, "_year"], DATE, CLAIM, AMOUNT, "ytd_spend", hot_rows).drop("_year")
 
 
-def duplicate_claims(claims: DataFrame, signature: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Claims with ``is_duplicate_suspect``: an earlier claim has the same signature.
+def signature_hash(signature: Sequence[str]) -> Column:
+    """md5 of the signature columns; null parts are skipped."""
+    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in signature]))
+
+
+def repeated_signatures(claims: DataFrame, signature: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Hashes of signatures that occur more than once, with the place of their first claim.
 
-    The first claim of every signature is found by an aggregate, so copies of a very
-    frequent signature are never sorted together. Signature parts that are null are
-    skipped in the hash.
+    The first claim is found by an aggregate, so copies of a very frequent signature are
+    never sorted together.
     """
-    hashed = claims.withColumn("claim_hash", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in signature])))
-    rank = F.struct(*order)
-    first = hashed.groupBy("claim_hash").agg(F.min(rank).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    repeated = first.filter(F.col("_n") > 1).select("claim_hash", "_first")
-    later = F.col("_first").isNotNull() & (rank > F.col("_first"))
+    first = claims.groupBy(signature_hash(signature).alias("claim_hash")).agg(
+        F.min(F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    return first.filter(F.col("_n") > 1).select("claim_hash", "_first")
+
+
+def mark_duplicates(
+    claims: DataFrame, repeated: DataFrame, signature: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """Claims with ``is_duplicate_suspect`` from a table of repeated signatures."""
+    hashed = claims.withColumn("claim_hash", signature_hash(signature))
+    later = F.col("_first").isNotNull() & (F.struct(*order) > F.col("_first"))
     return (
         hashed.join(repeated, "claim_hash", "left").withColumn("is_duplicate_suspect", X.flag(later)).drop("_first")
     )
 
 
+def duplicate_claims(claims: DataFrame, signature: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Claims with ``is_duplicate_suspect``: an earlier claim has the same signature."""
+    return mark_duplicates(claims, repeated_signatures(claims, signature, order), signature, order)
+
+
 def _rolling(days: DataFrame, keys: Sequence[str], back: int, value: str, out: str) -> DataFrame:
     """Sum over the last ``back`` days, this one included, on one row per key and day."""
     number = F.datediff(F.col(DATE), F.lit("1970-01-01").cast("date"))

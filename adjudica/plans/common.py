@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import claims_model as M
-from ..sources.files import load_artifact, save_artifact
+from ..sources.files import load_artifact, read_abt, save_artifact, write_abt
 from ..session import scratch_path
 
 
@@ -18,10 +17,11 @@ def day_text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-def condition_table(spark: SparkSession) -> DataFrame:
-    """Condition definitions as (condition, prefix) rows."""
-    rows = [(name, p) for name, prefixes in M.CONDITIONS.items() for p in prefixes]
-    return spark.createDataFrame(rows, "condition string, prefix string")
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The table written once to the shared scratch folder, for work that reads it several times."""
+    path = scratch_path(spark, name)
+    write_abt(df, path)
+    return read_abt(spark, path, df.schema)
 
 
 def through_json(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

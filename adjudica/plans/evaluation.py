@@ -12,7 +12,7 @@ from ..registry import query
 from ..sources import claims_model as M
 from ..sources.tables import load_table
 from .aggregates import FWA_CTE, HIGH_COST
-from .common import r
+from .common import r, stored
 from .rules import FLAGS_CTE, TRIAGE_CTE, labelled_claims, triaged_lines
 from .views import using
 from .windows import PROVIDER_FEATURES, provider_distance
@@ -232,7 +232,8 @@ def prediction_report(spark, sf_dir):
     ),
 )
 def stratified_split(spark, sf_dir):
-    split = E.stratified_split(labelled_claims(spark, sf_dir), "adjudication_target", C.CLAIM, 0.2)
+    labels = labelled_claims(spark, sf_dir).select(C.CLAIM, "adjudication_target")
+    split = E.stratified_split(stored(spark, labels, "claim-labels"), "adjudication_target", C.CLAIM, 0.2)
     return split.select(C.CLAIM, "adjudication_target", "is_test")
 
 

@@ -233,13 +233,16 @@ def hospital_ratio(spark, sf_dir):
 def _ratio_sql(activity: str, out: str) -> str:
     return using(
         "header item",
-        f"""SELECT patient_key, ROUND(AVG(CASE WHEN activity_type = '{activity}' THEN 1.0 ELSE 0.0 END), 6) AS {out}
-        FROM header JOIN item USING (claim_request_bundle_id) GROUP BY 1""",
+        f"""SELECT patient_key, ROUND(COALESCE(AVG(CASE WHEN i.claim_request_bundle_id IS NULL THEN NULL
+        WHEN activity_type = '{activity}' THEN 1.0 ELSE 0.0 END), 0), 6) AS {out} FROM header h
+        LEFT JOIN item i ON h.claim_request_bundle_id = i.claim_request_bundle_id GROUP BY 1""",
     )
 
 
 def _ratios(spark, sf_dir):
-    return H.item_ratios(M.claim_item(spark, sf_dir), M.claim_header(spark, sf_dir), M.MEDICATION, M.IMAGING)
+    return H.member_item_features(
+        M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir), {}, M.MEDICATION, M.IMAGING
+    )
 
 
 @query("medication_ratio", _ratio_sql(M.MEDICATION, "medication_ratio"))
@@ -539,12 +542,11 @@ def policy_active(spark, sf_dir):
 def chronic_mismatch(spark, sf_dir):
     """Members declared free of chronic disease (two in three here) with drugs for hypertension."""
     header, items = M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir)
-    flags = C.member_condition_flags(header, items, M.CONDITIONS)
-    drugs = H.item_ratios(items, header, M.MEDICATION, M.IMAGING)
+    features = H.member_item_features(header, items, M.CONDITIONS, M.MEDICATION, M.IMAGING)
     mismatch = (
         (F.col(C.MEMBER) % 3 != 0) & (F.col("is_hypertension") == 1) & (F.col("medication_ratio") > 0)
     )
-    return flags.join(drugs, C.MEMBER, "left").select(C.MEMBER, X.flag(mismatch).alias("is_mismatch"))
+    return features.select(C.MEMBER, X.flag(mismatch).alias("is_mismatch"))
 
 
 @query(

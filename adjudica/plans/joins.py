@@ -196,9 +196,12 @@ def plan_limits(spark):
 def financial_table(spark, sf_dir):
     """Claims with the member's plan, spend so far this year, and repeats of an earlier claim."""
     plans = M.policy(spark, sf_dir).select(C.MEMBER, F.col("classname").alias("plan_id"))
-    marked = W.duplicate_claims(M.claim_header(spark, sf_dir), [C.MEMBER, C.DATE], [C.DATE, C.CLAIM])
-    spent = W.ytd_spend(marked)
-    return spent.join(plans, C.MEMBER, "left").withColumn("claim_amount", F.col(C.AMOUNT))
+    header = M.claim_header(spark, sf_dir)
+    signature, order = [C.MEMBER, C.DATE], [C.DATE, C.CLAIM]
+    # Both side tables come from the stored header, so the running total is not computed twice.
+    repeated = W.repeated_signatures(header, signature, order)
+    marked = W.mark_duplicates(W.ytd_spend(header), repeated, signature, order)
+    return marked.join(plans, C.MEMBER, "left").withColumn("claim_amount", F.col(C.AMOUNT))
 
 
 @query(

@@ -15,11 +15,9 @@ from ..operators import metrics as E
 from ..operators import providers as P
 from ..operators import windows as W
 from ..registry import query
-from ..session import scratch_path
 from ..sources import claims_model as M
-from ..sources.files import read_abt, write_abt
 from .aggregates import HIGH_COST, member_lines
-from .common import r
+from .common import r, stored
 from .features import medical_table, plan_limits, provider_features
 from .joins import COST_WEIGHTS, FREQ_WEIGHTS, RISK_SQL, STAGE_CTE, financial_table
 from .rules import labelled_claims
@@ -27,13 +25,6 @@ from .views import using
 from .windows import PROVIDER_FEATURES, churn_table
 
 
-def stored(spark, df, name):
-    """The table written once to the shared scratch folder, for jobs that read it many times."""
-    path = scratch_path(spark, name)
-    write_abt(df, path)
-    return read_abt(spark, path, df.schema)
-
-
 def stored_provider_features(spark, sf_dir):
     return stored(spark, P.provider_fwa_features(M.claim_line(spark, sf_dir), HIGH_COST), "provider-features")
 
@@ -124,19 +115,21 @@ def featured_members(spark, sf_dir):
     header, items = M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir)
     team = M.careteam(spark, sf_dir)
     weighted = H.weighted_claims(header, items, team, "claim")
-    flags = C.member_condition_flags(header, items, M.CONDITIONS)
+    features = H.member_item_features(header, items, M.CONDITIONS, M.MEDICATION, M.IMAGING)
     risk = C.conditions_risk(M.CONDITIONS, COST_WEIGHTS, FREQ_WEIGHTS)
     people = team.join(header.select(C.CLAIM, C.MEMBER), C.CLAIM).groupBy(C.MEMBER).agg(
         F.countDistinct("practice_desc").alias("care_team_complexity")
     )
     parts = [
         header.groupBy(C.MEMBER).agg(F.sum(C.AMOUNT).alias("annualized_cost")),
-        flags.select(C.MEMBER, risk.alias("data_driven_risk_score"), risk.alias("self_reported_chronic_score")),
+        features.select(
+            C.MEMBER, risk.alias("data_driven_risk_score"), risk.alias("self_reported_chronic_score"),
+            "medication_ratio", "imaging_ratio",
+        ),
         H.cost_iqr(weighted),
         H.visit_gaps(weighted),
         H.cost_trend(weighted),
         H.claim_outcomes(header, M.NECESSITY_CODES),
-        H.item_ratios(items, header, M.MEDICATION, M.IMAGING),
         people,
         provider_features(spark, sf_dir),
     ]
