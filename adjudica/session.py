@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +69,4 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch folder."""
-    import uuid
-
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
