@@ -88,17 +88,32 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def spread(rows: DataFrame, summary: DataFrame, key: str, weight: str, total: int, hot_share: int = 1000) -> DataFrame:
+def spread(
+    rows: DataFrame,
+    summary: DataFrame,
+    key: str,
+    weight: str,
+    total: int,
+    by: str,
+    how: str = "inner",
+    hot_share: int = 1000,
+) -> DataFrame:
     """``rows`` joined to one ``summary`` row per ``key``, without a task that gets a whole hot key.
 
     Keys whose ``weight`` is at least ``total / hot_share`` go by broadcast: there are at
-    most ``hot_share`` of them, whatever the size of the table. All others shuffle. Both
-    tables should be settled, since each is read twice.
+    most ``hot_share`` of them, whatever the size of the table. All others shuffle; rows
+    already served and rows without a key are dealt out by column ``by``. With
+    ``how="left"`` rows of other keys, null keys too, stay and get nulls. ``summary`` should
+    be settled, since it is read twice; ``rows`` is read once.
     """
     floor = max(total // hot_share, 1)
-    small = summary.filter(F.col(weight) < floor)
-    hot = summary.filter(F.col(weight) >= floor)
-    hot_keys = hot.select(key)
-    return rows.join(F.broadcast(hot), key).unionByName(
-        rows.join(F.broadcast(hot_keys), key, "left_anti").join(small, key)
-    )
+    named = [c for c in summary.columns if c != key]
+    small = summary.filter(F.col(weight) < floor).select(F.col(key).alias("_key"), F.struct(*named).alias("_small"))
+    hot = summary.filter(F.col(weight) >= floor).select(F.col(key).alias("_hot_key"), F.struct(*named).alias("_hot"))
+    tried = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    open_key = F.col("_hot_key").isNull() & F.col(key).isNotNull()
+    salt = F.when(open_key, F.lit(0)).otherwise(F.xxhash64(by).bitwiseOR(F.lit(1)))
+    joined = tried.join(small.withColumn("_salt", F.lit(0).cast("long")), (F.col(key) == F.col("_key")) & (salt == F.col("_salt")), "left")
+    found = F.coalesce("_hot", "_small")
+    out = joined.select(*rows.columns, *(found[c].alias(c) for c in named))
+    return out.filter(F.coalesce("_hot_key", "_key").isNotNull()) if how == "inner" else out

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from .base import table
 from .bpe import decode_documents, encode_documents
 from .counts import count_tokens
+from .exact import exact_duplicates
 from .packing import pack_documents
+from .topk import top_inner_products
+from .warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,15 +34,65 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op7_topk_search": op7_topk_search,
     "op9_token_counts": op9_token_counts,
+    "op10_web_archive": op10_web_archive,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS chars,
+                   sha256(translate(coalesce(text, ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
+               count(*) OVER (PARTITION BY text_sha256) AS group_size,
+               first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) = doc_id AS kept,
+               text_sha256
+        FROM d""",
+    "op7_topk_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+        r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op10_web_archive": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
+        FROM m""",
+}
