@@ -12,6 +12,7 @@ from .base import table
 from .bpe import decode_documents, encode_documents
 from .counts import count_tokens
 from .exact import exact_duplicates
+from .near import Similarity, link_components
 from .packing import pack_documents
 from .topk import top_inner_products
 from .warc import archive_round_trip
@@ -38,6 +39,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_components(table(spark, sf_dir, "documents"), Similarity(words=2))
+
+
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_near_dedup": op6_near_dedup,
     "op7_topk_search": op7_topk_search,
     "op9_token_counts": op9_token_counts,
     "op10_web_archive": op10_web_archive,
