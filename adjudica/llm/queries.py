@@ -14,6 +14,7 @@ from .counts import count_tokens
 from .exact import exact_duplicates
 from .near import Similarity, link_components
 from .packing import pack_documents
+from .suffixes import remove_repeats
 from .topk import top_inner_products
 from .warc import archive_round_trip
 
@@ -35,6 +36,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -61,6 +68,7 @@ def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_topk_search": op7_topk_search,
