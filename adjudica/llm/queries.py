@@ -14,6 +14,7 @@ from .counts import count_tokens
 from .exact import exact_duplicates
 from .near import Similarity, link_components
 from .packing import pack_documents
+from .quality import learn, score_documents
 from .suffixes import remove_repeats
 from .topk import top_inner_products
 from .warc import archive_round_trip
@@ -54,6 +55,11 @@ def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -72,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_topk_search": op7_topk_search,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_token_counts": op9_token_counts,
     "op10_web_archive": op10_web_archive,
 }
