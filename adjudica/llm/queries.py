@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import pii
 from .base import table
 from .bpe import decode_documents, encode_documents
 from .counts import count_tokens
@@ -43,6 +44,23 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_personal_data(docs, pii.learn(docs))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"),
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -75,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_personal_data": op4_personal_data,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_topk_search": op7_topk_search,
