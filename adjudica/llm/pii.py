@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -416,12 +415,16 @@ def redact(docs: DataFrame, model: Tagger | None, text_col: str = "text") -> Dat
     Null texts stay null.
     """
 
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        found = Finder(model).find([t or "" for t in texts])
-        return pd.Series([None if t is None else _replaced(t, base + added) for t, (base, added) in zip(texts, found)], dtype=object)
-
-    return docs.withColumn(text_col, clean(F.col(text_col).cast("string")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(model)
+        for batch in text_slices(batches, text_col):
+            at = batch.schema.get_field_index(text_col)
+            texts = batch.column(at).to_pylist()
+            found = finder.find([t or "" for t in texts])
+            clean = [None if t is None else _replaced(t, base + added) for t, (base, added) in zip(texts, found)]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(clean, batch.schema.field(at).type))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _replaced(text: str, spans: list[Span]) -> str:

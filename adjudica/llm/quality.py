@@ -219,11 +219,9 @@ def score_documents(
 def keep_good(docs: DataFrame, model: Discriminant, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, with all their columns."""
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        values = np.array([statistics(t or "") for t in texts]).reshape(len(texts), -1)
-        return pd.Series(model.score(values) if len(texts) else [], dtype=float)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, text_col):
+            score = model.score(np.array([statistics(t) for t in texts_of(batch, text_col)]).reshape(batch.num_rows, -1))
+            yield batch.filter(pa.array(score >= threshold))
 
-    return docs.filter(score(F.col(text_col).cast("string")) >= threshold)
+    return docs.mapInArrow(run, docs.schema)
