@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .base import settled, shared_folder, spread, text_slices
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
-RANGE_BYTES = 4 << 20
+RANGE_BYTES, RANGES_PER_TASK = 4 << 20, 4
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "page_id long, url string, record_type string, payload binary, payload_digest string, payload_bytes long, refers_to long"
 
@@ -278,7 +278,8 @@ def read_packages(paths: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     places = settled(paths.select("path").mapInArrow(ranges, "path string, start long, lengths array<long>"))
-    return places.repartition(F.xxhash64("path", "start")).mapInArrow(records, RECORD)
+    tasks = max(1, places.count() // RANGES_PER_TASK)
+    return places.repartition(tasks, "path", "start").mapInArrow(records, RECORD)
 
 
 def archive_round_trip(pages: DataFrame, least: int = 1000) -> DataFrame:
