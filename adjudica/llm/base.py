@@ -76,6 +76,38 @@ def one_thread() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
+def byte_letters() -> dict[str, int]:
+    """The printable letter that stands for each byte in a byte-level vocabulary file."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+class Memo(dict):
+    """What a task knows about units of text, in two generations of ``limit`` entries each.
+
+    ``missing`` makes room, brings units back from the older generation and returns those
+    that have to be computed; afterwards the caller stores these.
+    """
+
+    def __init__(self, limit: int = 250_000):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def missing(self, units: set[str]) -> list[str]:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        out = []
+        for unit in units:
+            if unit not in self:
+                if (known := self.old.get(unit)) is None:
+                    out.append(unit)
+                else:
+                    self[unit] = known
+        return out
+
+
 # Bijective 64-bit mixing with the published constants of the splitmix64 finaliser (fixed values).
 _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_2 = np.uint64(0x94D049BB133111EB)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -19,10 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from xxhash import xxh3_64_intdigest
 
-from .base import id_and_text, mixed, text_slices, texts_of
+from .base import Memo, id_and_text, mixed, text_slices, texts_of
 
-#: Distinct units kept between batches of one task.
-MEMO_UNITS = 250_000
 #: Odd constant that spreads displacements (fixed value).
 _STEP = np.array(0x9E3779B97F4A7C15, np.uint64)
 #: White space around a lone space: there a unit boundary would split a run of white space.
@@ -128,7 +126,7 @@ class Encoder:
         self.ids = list(ranks.values())
         self.hash = PerfectHash(self.tokens)
         self.by_id = {i: t for t, i in ranks.items()}
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo()
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Packed ids of pre-tokens."""
@@ -139,9 +137,9 @@ class Encoder:
             out.append(b"".join([i.to_bytes(4, "little") for i in ids]))
         return out
 
-    def learn(self, units: Iterable[str]) -> None:
+    def learn(self, units: set[str]) -> None:
         """Fill the memo for units not in it."""
-        new = [u for u in units if u not in self.memo]
+        new = self.memo.missing(units)
         cut = [self.pieces(u) for u in new]
         distinct = list(dict.fromkeys(p for pieces in cut for p in pieces))
         known = dict(zip(distinct, self.encode_pieces(distinct)))
@@ -150,10 +148,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [u if (u := units_of(t)) is not None else self.pieces(t) for t in texts]
-        seen = set().union(*cut)
-        if len(self.memo) + len(seen) > MEMO_UNITS:
-            self.memo = {u: self.memo[u] for u in seen if u in self.memo}
-        self.learn(seen)
+        self.learn(set().union(*cut))
         get = self.memo.__getitem__
         return [b"".join(map(get, units)) for units in cut]
 

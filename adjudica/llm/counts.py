@@ -9,7 +9,6 @@ Truncation and budget questions read those sums; nothing is encoded again.
 
 from __future__ import annotations
 
-from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,25 +19,18 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .base import id_and_text, one_thread, text_slices, texts_of
-from .bpe import MEMO_UNITS, merge_bytes, units_of
+from .base import Memo, byte_letters, id_and_text, one_thread, text_slices, texts_of
+from .bpe import merge_bytes, units_of
 
 PAIRS = 1_000_000
 
 
-def _byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in a byte-level vocabulary file."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 @lru_cache(maxsize=2)
 def _vocabulary(path: str) -> tuple[dict[bytes, int], tuple[str, ...]]:
     one_thread()
     model = Tokenizer.from_file(path)
     special = tuple(t.content for t in model.get_added_tokens_decoder().values())
-    letters = _byte_letters()
+    letters = byte_letters()
     words = model.get_vocab(with_added_tokens=False).items()
     return {bytes(letters[c] for c in word): i for word, i in words if word not in special}, special
 
@@ -50,27 +42,35 @@ class PrefixCounter:
         self.ranks, self.pieces = ranks, regex.compile(pattern).findall
         self.longest = max(map(len, ranks))
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
-        self.memo: dict[str, int] = {}
-
-    def may_follow(self, left: bytes, right: bytes) -> bool:
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            ids = merge_bytes(left + right, self.ranks) if left else merge_bytes(right, self.ranks)
-            found = ids == ([self.ranks[left], self.ranks[right]] if left else [self.ranks[right]])
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = found
+        self.tokens = {i: token for token, i in ranks.items()}
+        self.width = max(self.tokens) + 2
+        self.pairs: dict[int, bool] = {}
+        self.memo = Memo()
+
+    def may_follow(self, left: int, right: int) -> bool:
+        """Whether encoding the bytes of both tokens gives just these; ``left`` -1 is the start."""
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        pair = [right] if left < 0 else [left, right]
+        found = merge_bytes(b"".join(self.tokens[i] for i in pair), self.ranks) == pair
+        self.pairs[(left + 1) * self.width + right] = found
         return found
 
-    def prefix_counts(self, piece: bytes) -> array:
-        """``counts[i]``: the tokens of the first i bytes of a pre-token."""
-        counts, last = array("l", [0]), [b""]
-        for end in range(1, len(piece) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = piece[start:end]
-                if token in self.ranks and self.may_follow(last[start], token):
+    def prefix_counts(self, piece: bytes, counts: list[int] | None = None, last: list[int] | None = None) -> list[int]:
+        """``counts[i]``: the tokens of the first i bytes of a pre-token.
+
+        ``counts`` and ``last`` (last token per prefix) may hold a known beginning and are extended.
+        """
+        counts = [0] if counts is None else counts
+        last = [-1] if last is None else last
+        token_id, known, width = self.ranks.get, self.pairs.get, self.width
+        for end in range(len(counts), len(piece) + 1):
+            for start in range(end - 1, max(-1, end - self.longest - 1), -1):
+                token = token_id(piece[start:end])
+                if token is None:
+                    continue
+                fine = known((last[start] + 1) * width + token)
+                if fine or (fine is None and self.may_follow(last[start], token)):
                     counts.append(counts[start] + 1)
                     last.append(token)
                     break
@@ -78,6 +78,20 @@ class PrefixCounter:
                 raise ValueError(f"no token ends at byte {end} of {piece[:40]!r}")
         return counts
 
+    def totals(self, pieces: set[str]) -> dict[str, int]:
+        """Token counts of pre-tokens. In sorted order neighbours share the states of their common prefix."""
+        out, counts, last, before = {}, [0], [-1], b""
+        for raw, piece in sorted((p.encode(), p) for p in pieces):
+            same = 0
+            for a, b in zip(before, raw):
+                if a != b:
+                    break
+                same += 1
+            del counts[same + 1 :], last[same + 1 :]
+            out[piece] = self.prefix_counts(raw, counts, last)[-1]
+            before = raw
+        return out
+
     def segments(self, text: str) -> Iterator[tuple[str, bool]]:
         """Pieces between special strings, and those strings."""
         at = 0
@@ -90,8 +104,15 @@ class PrefixCounter:
     def units(self, text: str) -> list[str]:
         return units if (units := units_of(text)) is not None else self.pieces(text)
 
-    def count_unit(self, unit: str) -> int:
-        return sum(self.prefix_counts(p.encode())[-1] for p in self.pieces(unit))
+    def learn(self, units: set[str]) -> None:
+        """Fill the memo for units not in it."""
+        new = self.memo.missing(units)
+        if self.special:
+            self.memo.update((u, 1) for u in new if self.special.fullmatch(u))
+            new = [u for u in new if u not in self.memo]
+        cut = [self.pieces(u) for u in new]
+        known = self.totals({p for pieces in cut for p in pieces})
+        self.memo.update((u, sum([known[p] for p in pieces])) for u, pieces in zip(new, cut))
 
     def running(self, texts: list[str]) -> list[tuple[list[str], list[int]]]:
         """Per text its units and the token count at the end of each."""
@@ -102,13 +123,7 @@ class PrefixCounter:
                 cut.append([u for part in parts for u in part])
             else:
                 cut.append(self.units(text))
-        seen = set().union(*cut)
-        if len(self.memo) + len(seen) > MEMO_UNITS:
-            self.memo = {u: self.memo[u] for u in seen if u in self.memo}
-        for unit in seen:
-            if unit not in self.memo:
-                own = self.special is not None and self.special.fullmatch(unit)
-                self.memo[unit] = 1 if own else self.count_unit(unit)
+        self.learn(set().union(*cut))
         get = self.memo.__getitem__
         return [(units, list(accumulate(map(get, units)))) for units in cut]
 
