@@ -73,9 +73,10 @@ class IsolationForest:
         shared = df.sparkSession.sparkContext.broadcast(trees)
         names, norm, offset = self.features, float(average_path(self.sample)), self.offset
 
-        def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        @F.pandas_udf("double")
+        def anomaly(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             for batch in batches:
-                values = batch[names].to_numpy(dtype=float)
+                values = batch.to_numpy(dtype=float)
                 every = np.arange(len(values))
                 total = np.zeros(len(values))
                 for tree in shared.value:
@@ -92,10 +93,10 @@ class IsolationForest:
                         depth += inner
                     total += depth + average_path(tree[at, 4])
                 mean = total / max(len(shared.value), 1)
-                yield batch.assign(**{out: -np.power(2.0, -mean / norm) - offset if norm else 0.0})
+                yield pd.Series(-np.power(2.0, -mean / norm) - offset if norm else np.zeros(len(values)))
 
-        schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
-        return df.mapInPandas(apply, schema)
+        # Only the features travel to Python; keys and all other columns stay as they are.
+        return df.withColumn(out, anomaly(F.struct(*names)))
 
 
 def draw_samples(df: DataFrame, key: str, rows: int, trees: int, sample: int, seed: int) -> DataFrame:

@@ -30,8 +30,11 @@ def assemble(numeric: Sequence[str], categories: Sequence[str] = ()) -> list:
 def fit_cost_model(
     df: DataFrame, numeric: Sequence[str], categories: Sequence[str], target: str, rounds: int = 10, depth: int = 4
 ) -> PipelineModel:
-    """Boosted trees on absolute error."""
-    trees = GBTRegressor(labelCol=target, lossType="absolute", maxIter=rounds, maxDepth=depth, maxBins=64, seed=42)
+    """Boosted trees on absolute error; bins follow the largest category column."""
+    sizes = df.agg(*[F.countDistinct(c).alias(c) for c in categories]).first() if categories else ()
+    trees = GBTRegressor(
+        labelCol=target, lossType="absolute", maxIter=rounds, maxDepth=depth, maxBins=max(64, *(n + 2 for n in sizes), 0), seed=42
+    )
     return Pipeline(stages=[*assemble(numeric, categories), trees]).fit(df)
 
 

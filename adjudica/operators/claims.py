@@ -8,11 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from .skew import HOT_ROWS, chunked_lists
 
 CLAIM, MEMBER, PROVIDER = "claim_request_bundle_id", "patient_key", "provider_license_key"
-# Columns that tell the items of one claim apart.
-ITEM_PARTS = ("line_no", "service_key", "provider_license_key")
 AMOUNT, DATE, DIAGNOSIS = "payer_share_amount", "max_serviced_date", "principal_diagnosis_code"
 
 
@@ -74,18 +71,21 @@ def known_diagnoses(items: DataFrame, dimension: DataFrame, keep: Sequence[str]
     return items.select(*keep, DIAGNOSIS).join(codes, F.col(DIAGNOSIS) == F.col("code"), "left").select(*keep, "code")
 
 
-def claim_diagnosis(
-    header: DataFrame, items: DataFrame, dimension: DataFrame, chunk_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Claims with their list of known diagnosis codes (sorted; null where a claim has no items)."""
-    codes = claim_diag_list(known_diagnoses(items, dimension, (CLAIM, *ITEM_PARTS)), "code", chunk_rows)
-    return header.join(codes, CLAIM, "left")
+def claim_diagnosis(header: DataFrame, items: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Claims with their known diagnosis codes, one row per claim and code; a null code where a claim has none."""
+    codes = claim_diag_list(known_diagnoses(items, dimension), "code")
+    return header.join(codes, CLAIM, "left").na.fill(0, ["multiplicity"])
+
 
+def claim_diag_list(items: DataFrame, code: str = DIAGNOSIS) -> DataFrame:
+    """The list of codes per claim in long form: a row per claim and code with its multiplicity; nulls drop out.
 
-def claim_diag_list(items: DataFrame, code: str = DIAGNOSIS, chunk_rows: int = HOT_ROWS) -> DataFrame:
-    """List of codes per claim; nulls drop out, very long lists come in chunks."""
-    return chunked_lists(
-        items, [CLAIM], [*ITEM_PARTS, code], [F.sort_array(F.collect_list(code)).alias("diagnosis_codes_list")], chunk_rows
+    A claim of any size has this one shape, and no row grows with the claim.
+    """
+    return (
+        items.filter(F.col(code).isNotNull())
+        .groupBy(CLAIM, F.col(code).alias("diagnosis_code"))
+        .agg(F.count(F.lit(1)).alias("multiplicity"))
     )
 
 
@@ -196,8 +196,10 @@ def distinct_members(header: DataFrame) -> DataFrame:
     return header.select(MEMBER).distinct()
 
 
-def new_members(policies: DataFrame, header: DataFrame) -> DataFrame:
-    """Policy holders without claims."""
+def new_members(policies: DataFrame, header: DataFrame, before: str | None = None) -> DataFrame:
+    """Policy holders without claims, or without claims before a snapshot day."""
+    if before is not None:
+        header = header.filter(F.col(DATE) < F.lit(before).cast("date"))
     return policies.join(header.select(MEMBER).distinct(), MEMBER, "left_anti")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from .claims import AMOUNT, CLAIM, DATE, DIAGNOSIS, MEMBER, PROVIDER, claim_fanout, condition_column
-from .skew import HOT_ROWS, chunked_lists, exact_percentiles
+from .skew import HOT_ROWS, exact_percentiles
 
 GRAINS = ("claim", "flattened")
 
@@ -50,45 +50,31 @@ def member_history(header: DataFrame, items: DataFrame, team: DataFrame, grain:
     return costs.join(diagnoses, MEMBER, "left").join(people, MEMBER, "left").na.fill(0, counted)
 
 
-def history_lists(
-    header: DataFrame, items: DataFrame, team: DataFrame, chunk_rows: int = HOT_ROWS
-) -> DataFrame:
-    """The history lists themselves, for callers that feed the list features.
+def history_lists(header: DataFrame, items: DataFrame, team: DataFrame) -> DataFrame:
+    """A member's history lists in long form: ``patient_key, kind, value, cost, multiplicity``.
 
-    Cost and date lists are parallel. Lists and sets of members with very many elements
-    are cut into chunks, one row each; a set's chunks share no element.
+    Kind ``visit`` has the service date as value and the cost beside it; ``diagnosis``,
+    ``provider`` and ``specialty`` are sets of codes. ``multiplicity`` counts the rows that
+    hold the value. Whatever a member's size, one row holds one element.
     """
     owner = header.select(CLAIM, MEMBER)
-    visits = chunked_lists(
-        header.select(CLAIM, MEMBER, AMOUNT, DATE),
-        [MEMBER],
-        [CLAIM],
-        [F.sort_array(F.collect_list(F.struct(F.col(DATE).alias("d"), F.col(AMOUNT).alias("c")))).alias("_v")],
-        chunk_rows,
-    ).select(
-        MEMBER,
-        "chunk_no",
-        F.transform("_v", lambda v: v["c"]).alias("claim_costs_list"),
-        F.transform("_v", lambda v: v["d"]).alias("service_dates_list"),
+    visits = header.groupBy(MEMBER, F.col(DATE).cast("string").alias("value"), F.col(AMOUNT).alias("cost")).agg(
+        F.count(F.lit(1)).alias("multiplicity")
     )
-
-    def members_set(source: DataFrame, column: str, name: str) -> DataFrame:
-        values = source.join(owner, CLAIM).select(MEMBER, F.col(column).cast("string").alias("_v")).distinct()
-        elements = F.sort_array(F.collect_list("_v")).alias(name)
-        return chunked_lists(values, [MEMBER], ["_v"], [elements], chunk_rows)
-
-    joined = visits
-    for source, column, name in (
-        (items, DIAGNOSIS, "diagnosis_codes_list"),
-        (team, "practitioner_license", "providers_visited_list"),
-        (team, "practice_desc", "practitioner_specialty_list"),
+    out = visits.select(MEMBER, F.lit("visit").alias("kind"), "value", "cost", "multiplicity")
+    for source, column, kind in (
+        (items, DIAGNOSIS, "diagnosis"),
+        (team, "practitioner_license", "provider"),
+        (team, "practice_desc", "specialty"),
     ):
-        joined = joined.join(members_set(source, column, name), [MEMBER, "chunk_no"], "full")
-    empty = [c for c in joined.columns if c.endswith("_list")]
-    types = {f.name: f.dataType for f in joined.schema}
-    return joined.select(
-        MEMBER, "chunk_no", *[F.coalesce(F.col(c), F.array().cast(types[c])).alias(c) for c in empty]
-    )
+        # Per claim first, so that the join to the owner moves one row per claim and value.
+        value = F.col(column).cast("string").alias("value")
+        counted = source.filter(F.col(column).isNotNull()).groupBy(CLAIM, value).agg(F.count(F.lit(1)).alias("_n"))
+        held = counted.join(owner, CLAIM).groupBy(MEMBER, "value").agg(F.sum("_n").alias("multiplicity"))
+        out = out.unionByName(
+            held.select(MEMBER, F.lit(kind).alias("kind"), "value", F.lit(None).cast("double").alias("cost"), "multiplicity")
+        )
+    return out
 
 
 def cost_iqr(weighted: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

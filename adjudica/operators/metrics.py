@@ -149,11 +149,20 @@ def prediction_report(log: DataFrame, prediction: str) -> DataFrame:
 
 
 def threshold_gate(metrics: DataFrame, limits: Sequence[tuple[str, float | None, float | None]]) -> DataFrame:
-    """Rows of (metric, value) with pass or fail against (name, low, high)."""
+    """Rows of (metric, value) with pass or fail against (name, low, high).
+
+    A limit whose metric has no row gives a row with a null value that has not passed; a
+    metric without a limit passes.
+    """
     verdict = F.when(F.lit(False), F.lit(True))
     for name, low, high in limits:
         verdict = verdict.when(F.col("metric") == name, D.within("value", low, high))
-    return metrics.withColumn("passed", F.coalesce(verdict, F.lit(True)))
+    if not limits:
+        return metrics.withColumn("passed", F.lit(True))
+    spark = metrics.sparkSession
+    wanted = spark.createDataFrame([(name, True) for name, _, _ in limits], "metric string, _wanted boolean").distinct()
+    joined = metrics.join(wanted, "metric", "full")
+    return joined.withColumn("passed", F.coalesce(verdict, F.col("_wanted").isNull())).drop("_wanted")
 
 
 def business_value(

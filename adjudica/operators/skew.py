@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 # Groups up to this many rows may be handled by one task.
 HOT_ROWS = 1_000_000
+# Keys that may be broadcast.
+HOT_KEYS = 10_000
 BINS = 4096
 
 
@@ -33,12 +35,13 @@ def join_null_safe(
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys owning more than ``hot_rows`` rows.
+    """The keys owning more than ``hot_rows`` rows, the ``HOT_KEYS`` largest of them.
 
-    At most ``rows / hot_rows`` keys can pass, which bounds the size of the result
-    whatever the distribution: a trillion rows give at most a million keys.
+    The limit bounds what is broadcast, whatever the distribution; further keys take the
+    way of ordinary ones, which gives the same values.
     """
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    return counted.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys)
 
 
 def running_total_before(
@@ -182,33 +185,6 @@ def _percentiles_by_rank(
     return picks.select(*keys, *result)
 
 
-def chunked_lists(
-    df: DataFrame,
-    keys: Sequence[str],
-    spread: Sequence[str],
-    lists: Sequence[Column],
-    chunk_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Collected lists per group, cut into chunks so that no list grows without bound.
-
-    Groups up to ``chunk_rows`` rows give one row with ``chunk_no`` 0. Larger groups are
-    spread over several rows by a hash of the ``spread`` columns; together their
-    chunks hold every element.
-    """
-    sizes = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > chunk_rows)
-        .withColumn("_chunks", F.ceil(F.col("_n") / chunk_rows) * 2)
-        .drop("_n")
-    )
-    # At most rows / chunk_rows keys, as in hot_keys.
-    marked = join_null_safe(df, sizes, keys, "left", bounded=True).withColumn(
-        "chunk_no", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_chunks")), F.lit(0)).cast("long")
-    )
-    return marked.groupBy(*keys, "chunk_no").agg(*lists)
-
-
 def hashed_rank(df: DataFrame, label: str, key: str, out: str, digits: int = 4) -> DataFrame:
     """Zero-based rank of each row within ``label`` in the order of ``md5(key)``, and the label's size.
 

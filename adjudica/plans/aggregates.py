@@ -37,16 +37,12 @@ def patient_stats(spark, sf_dir):
     "claim_diag_list",
     using(
         "item",
-        """SELECT claim_request_bundle_id, 0::BIGINT AS chunk_no, COUNT(principal_diagnosis_code) AS n_codes,
-        STRING_AGG(principal_diagnosis_code, '|' ORDER BY principal_diagnosis_code) AS codes FROM item GROUP BY 1""",
+        """SELECT claim_request_bundle_id, principal_diagnosis_code AS diagnosis_code, COUNT(*) AS multiplicity
+        FROM item WHERE principal_diagnosis_code IS NOT NULL GROUP BY 1, 2""",
     ),
 )
 def claim_diag_list(spark, sf_dir):
-    lists = C.claim_diag_list(M.claim_item(spark, sf_dir))
-    codes = F.col("diagnosis_codes_list")
-    return lists.select(
-        C.CLAIM, "chunk_no", F.size(codes).cast("long").alias("n_codes"), F.array_join(codes, "|").alias("codes")
-    )
+    return C.claim_diag_list(M.claim_item(spark, sf_dir))
 
 
 def _history_sql(source: str) -> str:
@@ -82,34 +78,52 @@ def member_history_flattened(spark, sf_dir):
     return _history(spark, sf_dir, "flattened")
 
 
+HISTORY_LISTS = """, lists AS (SELECT patient_key, 'visit' AS kind, CAST(max_serviced_date AS VARCHAR) AS value,
+    payer_share_amount AS cost, COUNT(*) AS multiplicity FROM header GROUP BY 1, 3, 4 UNION ALL
+    SELECT patient_key, 'diagnosis', principal_diagnosis_code, NULL, COUNT(*) FROM header JOIN item
+    USING (claim_request_bundle_id) WHERE principal_diagnosis_code IS NOT NULL GROUP BY 1, 3 UNION ALL
+    SELECT patient_key, 'provider', CAST(practitioner_license AS VARCHAR), NULL, COUNT(*) FROM header JOIN careteam
+    USING (claim_request_bundle_id) WHERE practitioner_license IS NOT NULL GROUP BY 1, 3 UNION ALL
+    SELECT patient_key, 'specialty', practice_desc, NULL, COUNT(*) FROM header JOIN careteam
+    USING (claim_request_bundle_id) WHERE practice_desc IS NOT NULL GROUP BY 1, 3)"""
+
+
+def history_rows(spark, sf_dir):
+    return H.history_lists(M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir), M.careteam(spark, sf_dir))
+
+
 @query(
     "member_history_lists",
     using(
         "header item careteam",
-        """, visits AS (SELECT patient_key, STRING_AGG(CAST(max_serviced_date AS VARCHAR), '|'
-        ORDER BY max_serviced_date, payer_share_amount) AS service_dates, COUNT(*) AS n_costs FROM header GROUP BY 1),
-        codes AS (SELECT patient_key, STRING_AGG(DISTINCT principal_diagnosis_code, '|'
-        ORDER BY principal_diagnosis_code) AS diagnosis_codes FROM header JOIN item USING (claim_request_bundle_id)
-        GROUP BY 1),
-        people AS (SELECT patient_key, STRING_AGG(DISTINCT practice_desc, '|' ORDER BY practice_desc) AS specialties
-        FROM header JOIN careteam USING (claim_request_bundle_id) GROUP BY 1)
-        SELECT patient_key, 0::BIGINT AS chunk_no, service_dates, n_costs,
-        COALESCE(diagnosis_codes, '') AS diagnosis_codes, COALESCE(specialties, '') AS specialties
-        FROM visits LEFT JOIN codes USING (patient_key) LEFT JOIN people USING (patient_key)""",
+        HISTORY_LISTS
+        + " SELECT patient_key, kind, value, ROUND(COALESCE(cost, 0), 2) AS cost, multiplicity FROM lists",
     ),
 )
 def member_history_lists(spark, sf_dir):
-    """The history lists, shown as text."""
-    lists = H.history_lists(
-        M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir), M.careteam(spark, sf_dir)
+    """The history lists, one row per element."""
+    return history_rows(spark, sf_dir).select(
+        C.MEMBER, "kind", "value", r(F.coalesce("cost", F.lit(0.0)), 2).alias("cost"), "multiplicity"
     )
-    return lists.select(
-        C.MEMBER,
-        "chunk_no",
-        F.array_join(F.col("service_dates_list").cast("array<string>"), "|").alias("service_dates"),
-        F.size("claim_costs_list").cast("long").alias("n_costs"),
-        F.array_join("diagnosis_codes_list", "|").alias("diagnosis_codes"),
-        F.array_join("practitioner_specialty_list", "|").alias("specialties"),
+
+
+@query(
+    "abt_renewal_history",
+    using(
+        "header item careteam policy",
+        HISTORY_LISTS
+        + """ SELECT p.patient_key, age, gender, classname, COALESCE(kind, '-') AS kind, COALESCE(value, '-') AS value,
+        ROUND(COALESCE(cost, 0), 2) AS cost, COALESCE(multiplicity, 0) AS multiplicity
+        FROM policy p LEFT JOIN lists USING (patient_key)""",
+    ),
+)
+def abt_renewal_history(spark, sf_dir):
+    """The history lists of the renewal table; members without claims have one row."""
+    joined = M.policy(spark, sf_dir).join(history_rows(spark, sf_dir), C.MEMBER, "left")
+    dash = [F.coalesce(c, F.lit("-")).alias(c) for c in ("kind", "value")]
+    return joined.select(
+        C.MEMBER, "age", "gender", "classname", *dash, r(F.coalesce("cost", F.lit(0.0)), 2).alias("cost"),
+        F.coalesce("multiplicity", F.lit(0)).alias("multiplicity"),
     )
 
 

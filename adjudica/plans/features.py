@@ -182,7 +182,7 @@ PROVIDER_RISK = (
     COUNT(DISTINCT claim_request_bundle_id) AS n FROM line GROUP BY 1),
     spec AS (SELECT specialty, AVG(payer_share_amount) AS spec_avg FROM line JOIN provider
     USING (provider_license_key) GROUP BY 1),
-    known AS (SELECT *, AVG(avg_cost) OVER () AS overall FROM stats WHERE n >= 10),
+    known AS (SELECT *, AVG(avg_cost) OVER () AS overall FROM stats),
     z AS (SELECT k.provider_license_key, n / (n + 20.0) * avg_cost
     + (1 - n / (n + 20.0)) * COALESCE(spec_avg, overall) AS score FROM known k
     LEFT JOIN provider USING (provider_license_key) LEFT JOIN spec USING (specialty)),
@@ -191,9 +191,9 @@ PROVIDER_RISK = (
 
 
 def provider_features(spark, sf_dir):
-    """Member features over visited providers; providers under ten claims count as unknown."""
+    """Member features over visited providers."""
     lines, providers = M.claim_line(spark, sf_dir), M.provider(spark, sf_dir)
-    stats = P.provider_stats(lines, providers).filter("claim_count >= 10")
+    stats = P.provider_stats(lines, providers)
     return H.member_provider_features(member_lines(spark, sf_dir), stats, C.specialty_costs(lines, providers))
 
 
@@ -272,13 +272,13 @@ def plan_utilization(spark, sf_dir):
 
 
 TIER_CTE = """, tiers AS (SELECT s_suppkey AS provider_license_key, CAST(CASE WHEN s_acctbal >= 5000 THEN 1
-    WHEN s_acctbal < 500 THEN 3 ELSE 2 END AS INTEGER) AS tier FROM supplier WHERE s_acctbal > 0)"""
+    WHEN s_acctbal < 500 THEN 3 ELSE 2 END AS INTEGER) AS tier FROM supplier)"""
 
 
 def provider_master(spark, sf_dir):
-    """Contracted tiers; providers with a negative balance are unknown."""
+    """Contracted tiers by balance."""
     balance = F.col("s_acctbal")
-    return load_table(spark, sf_dir, "supplier").filter(balance > 0).select(
+    return load_table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias(C.PROVIDER),
         F.when(balance >= 5000, 1).when(balance < 500, 3).otherwise(2).alias("tier"),
     )

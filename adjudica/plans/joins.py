@@ -29,31 +29,24 @@ def train_claims(spark, sf_dir):
     return C.train_claims(M.claim_header(spark, sf_dir), members).select(C.CLAIM, C.MEMBER, C.AMOUNT)
 
 
-KNOWN_CODES = "service_size <= 40"
-
-
 @query(
     "claim_diagnosis",
     using(
         "header item service",
-        f""", known AS (SELECT DISTINCT principal_diagnosis_code AS code FROM service WHERE {KNOWN_CODES}),
-        lists AS (SELECT claim_request_bundle_id, COALESCE(STRING_AGG(code, '|' ORDER BY code), '') AS codes,
-        COUNT(code) AS n_codes FROM item LEFT JOIN known ON principal_diagnosis_code = code GROUP BY 1)
-        SELECT h.claim_request_bundle_id, patient_key, COALESCE(codes, '-') AS codes, COALESCE(n_codes, 0) AS n_codes
+        """, known AS (SELECT DISTINCT principal_diagnosis_code AS code FROM service),
+        lists AS (SELECT claim_request_bundle_id, code, COUNT(*) AS n FROM item JOIN known
+        ON principal_diagnosis_code = code GROUP BY 1, 2)
+        SELECT h.claim_request_bundle_id, patient_key, COALESCE(code, '-') AS diagnosis_code,
+        COALESCE(n, 0) AS multiplicity
         FROM header h LEFT JOIN lists l ON h.claim_request_bundle_id = l.claim_request_bundle_id""",
     ),
 )
 def claim_diagnosis(spark, sf_dir):
-    """Claims with their list of codes known to the dimension, which here lacks the larger sizes."""
-    dimension = M.service(spark, sf_dir).filter(F.expr(KNOWN_CODES))
-    joined = C.claim_diagnosis(M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir), dimension)
-    codes = F.col("diagnosis_codes_list")
-    return joined.select(
-        C.CLAIM,
-        C.MEMBER,
-        F.coalesce(F.array_join(codes, "|"), F.lit("-")).alias("codes"),
-        F.coalesce(F.size(codes), F.lit(0)).cast("long").alias("n_codes"),
+    """Claims with their codes known to the dimension, one row per code."""
+    joined = C.claim_diagnosis(
+        M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir), M.service(spark, sf_dir)
     )
+    return joined.select(C.CLAIM, C.MEMBER, F.coalesce("diagnosis_code", F.lit("-")).alias("diagnosis_code"), "multiplicity")
 
 
 @query(
@@ -265,13 +258,13 @@ FRAUD_SCORES = """, stats AS (SELECT provider_license_key, AVG(payer_share_amoun
         "line",
         FRAUD_SCORES
         + """ SELECT provider_license_key, ROUND(avg_cost_per_claim, 4) AS avg_cost_per_claim, claim_count,
-        ROUND(CASE WHEN high > 0.1 THEN high ELSE 0 END, 6) AS provider_fraud_score FROM stats""",
+        ROUND(high, 6) AS provider_fraud_score FROM stats""",
     ),
 )
 def fraud_score_join(spark, sf_dir):
-    """Provider value features with a fraud score that only frequent high-cost billers have."""
+    """Provider value features with the share of high-cost bills as fraud score."""
     lines = M.claim_line(spark, sf_dir)
-    scores = P.provider_fwa_features(lines, 90000.0).filter("high_cost_claim_ratio > 0.1").select(
+    scores = P.provider_fwa_features(lines, 90000.0).select(
         C.PROVIDER, F.col("high_cost_claim_ratio").alias("provider_fraud_score")
     )
     return P.fraud_score_join(P.provider_value_features(lines), scores).select(
@@ -338,9 +331,9 @@ def pre_auth_contradiction(spark, sf_dir):
     ),
 )
 def new_member_anti(spark, sf_dir):
-    """Members without any claim before the snapshot day."""
-    known = M.claim_header(spark, sf_dir).filter(F.col(C.DATE) < F.lit("1995-06-01").cast("date"))
-    return C.new_members(M.policy(spark, sf_dir), known).select(C.MEMBER, "age", "gender", "classname")
+    """Members without any claim before the snapshot day, which is the operator's parameter."""
+    found = C.new_members(M.policy(spark, sf_dir), M.claim_header(spark, sf_dir), before="1995-06-01")
+    return found.select(C.MEMBER, "age", "gender", "classname")
 
 
 STAGE_CTE = (

@@ -162,7 +162,7 @@ PRICING_SQL = using(
     st AS (SELECT provider_license_key, AVG(payer_share_amount) AS avg_cost, COUNT(DISTINCT claim_request_bundle_id) AS n
     FROM line GROUP BY 1),
     sp AS (SELECT specialty, AVG(payer_share_amount) AS spec FROM line JOIN provider USING (provider_license_key) GROUP BY 1),
-    k AS (SELECT *, AVG(avg_cost) OVER () AS overall FROM st WHERE n >= 10),
+    k AS (SELECT *, AVG(avg_cost) OVER () AS overall FROM st),
     z AS (SELECT k.provider_license_key, provider_type, n / (n + 20.0) * avg_cost + (1 - n / (n + 20.0))
     * COALESCE(spec, overall) AS score FROM k LEFT JOIN provider USING (provider_license_key)
     LEFT JOIN sp USING (specialty)),

@@ -14,6 +14,11 @@ from .common import r
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
+def instants(spark, sf_dir):
+    """The stored events with event time as an instant, as the stream has it."""
+    return M.events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def stamp(column):
     return F.date_format(F.col(column), STAMP).alias(column)
 
@@ -32,24 +37,24 @@ def claims_last_hour(spark, sf_dir):
 @query(
     "claims_last_hour_stream",
     """WITH w AS (SELECT user_id, time_bucket(INTERVAL 15 MINUTES, ts) - k * INTERVAL 15 MINUTES AS s FROM events,
-    (SELECT UNNEST([0, 1, 2, 3]) AS k)), m AS (SELECT MAX(ts) - INTERVAL 1 HOUR AS wm FROM events)
-    SELECT user_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, COUNT(*) AS n_claims FROM w, m
-    WHERE s + INTERVAL 1 HOUR <= date_trunc('millisecond', wm) GROUP BY user_id, s""",
+    (SELECT UNNEST([0, 1, 2, 3]) AS k))
+    SELECT user_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, COUNT(*) AS n_claims FROM w GROUP BY user_id, s""",
 )
 def claims_last_hour_stream(spark, sf_dir):
-    """Sliding one-hour windows closed by the watermark, from the stream."""
-    windows = S.drain(S.claims_last_hour(S.event_stream(spark, sf_dir), "user_id"), "claims-last-hour")
+    """Sliding one-hour windows from the stream, with those that it still holds open."""
+    closed = S.drain(S.claims_last_hour(S.event_stream(spark, sf_dir), "user_id"), "claims-last-hour")
+    whole = S.claims_last_hour(instants(spark, sf_dir), "user_id")
+    windows = S.with_open_windows(closed, whole, ["user_id", "window_start"])
     return windows.select("user_id", stamp("window_start"), "n_claims")
 
 
 @query(
     "stream_drift",
     """WITH b AS (SELECT event_type, AVG(value) AS base FROM events WHERE ts < TIMESTAMP '2024-01-08' GROUP BY 1),
-    d AS (SELECT event_type, date_trunc('day', ts) AS day, AVG(value) AS live FROM events GROUP BY 1, 2),
-    m AS (SELECT MAX(ts) - INTERVAL 1 HOUR AS wm FROM events)
+    d AS (SELECT event_type, date_trunc('day', ts) AS day, AVG(value) AS live FROM events GROUP BY 1, 2)
     SELECT event_type, strftime(day, '%Y-%m-%d') AS day, ROUND(live, 6) AS live_mean, ROUND(base, 6) AS base_mean,
     ROUND(ABS(live - base) / base, 6) AS relative_move, ABS(live - base) / base > 0.2 AS drifted
-    FROM d JOIN b USING (event_type), m WHERE day + INTERVAL 1 DAY <= wm""",
+    FROM d JOIN b USING (event_type)""",
 )
 def stream_drift(spark, sf_dir):
     """Daily mean value per event type against the first week's mean."""
@@ -57,7 +62,9 @@ def stream_drift(spark, sf_dir):
         M.events(spark, sf_dir).filter(F.col("ts") < F.lit("2024-01-08 00:00:00").cast("timestamp"))
         .groupBy("event_type").agg(F.avg("value").alias("base_mean"))
     )
-    daily = S.drain(S.stream_drift(S.event_stream(spark, sf_dir), base, "event_type", "value", 0.2), "stream-drift")
+    closed = S.drain(S.stream_drift(S.event_stream(spark, sf_dir), base, "event_type", "value", 0.2), "stream-drift")
+    whole = S.stream_drift(instants(spark, sf_dir), base, "event_type", "value", 0.2)
+    daily = S.with_open_windows(closed, whole, ["event_type", "day"])
     return daily.select(
         "event_type", F.date_format("day", "yyyy-MM-dd").alias("day"), r("live_mean", 6).alias("live_mean"),
         r("base_mean", 6).alias("base_mean"), r("relative_move", 6).alias("relative_move"), "drifted",
@@ -75,6 +82,11 @@ def stream_dedup(spark, sf_dir):
     return kept.select("user_id", "event_type", "day")
 
 
+DECISIONS = (
+    "event_id bigint, user_id bigint, champion_prediction string, champion_confidence double, final_decision string"
+)
+
+
 def decide_events(events):
     """Triage of a request by its value and the number in its JSON body."""
     k = F.from_json("props", "k bigint")["k"]
@@ -95,7 +107,7 @@ def decide_events(events):
 )
 def stream_triage(spark, sf_dir):
     """Every request decided in its micro-batch and appended to the log."""
-    log = S.stream_triage(S.event_stream(spark, sf_dir), decide_events, "stream-triage")
+    log = S.stream_triage(S.event_stream(spark, sf_dir), decide_events, "stream-triage", DECISIONS)
     return log.drop("batch_id")
 
 
@@ -109,18 +121,14 @@ SESSIONS = """WITH g AS (SELECT user_id, ts, CASE WHEN LAG(ts) OVER w IS NULL OR
 
 @query("member_session", SESSIONS)
 def member_session(spark, sf_dir):
-    # Sessions are merged before the shuffle, so a hot member ships sessions and not events.
-    spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     sessions = W.member_sessions(M.events(spark, sf_dir), "user_id", "ts")
     return sessions.select("user_id", stamp("session_start"), stamp("session_end"), "n_events")
 
 
-@query(
-    "member_session_stream",
-    SESSIONS + " WHERE b <= (SELECT date_trunc('millisecond', MAX(ts) - INTERVAL 1 HOUR) FROM events)",
-)
+@query("member_session_stream", SESSIONS)
 def member_session_stream(spark, sf_dir):
-    """Sessions closed by the watermark, from the stream."""
-    spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
-    sessions = S.drain(S.member_sessions(S.event_stream(spark, sf_dir), "user_id"), "member-sessions")
+    """Sessions from the stream, with those that it still holds open."""
+    closed = S.drain(S.member_sessions(S.event_stream(spark, sf_dir), "user_id"), "member-sessions")
+    whole = W.member_sessions(instants(spark, sf_dir), "user_id", "ts")
+    sessions = S.with_open_windows(closed, whole, ["user_id", "session_start"])
     return sessions.select("user_id", stamp("session_start"), stamp("session_end"), "n_events")

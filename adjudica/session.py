@@ -6,7 +6,9 @@ it runs with whatever settings the cluster gives.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -39,6 +41,10 @@ def local_session(cores: str | int = "*", app: str = "adjudica", memory: str = "
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(parts))
     )
+    # Stored tables of a local session go to a folder of its own, which ends with the process.
+    folder = tempfile.mkdtemp(prefix="adjudica-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    builder = builder.config("spark.checkpoint.dir", f"file://{folder}")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -46,25 +52,10 @@ def local_session(cores: str | int = "*", app: str = "adjudica", memory: str = "
     return spark
 
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for tables that cut lineage: the shared checkpoint folder named in the session.
-
-    Only a local session that names none (a test) gets a temporary folder, once per
-    application. A cluster without the setting is refused, since a folder of one machine
-    would not be seen by the others.
-    """
+    """Folder for stored tables: the shared ``spark.checkpoint.dir``, else the session's warehouse folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="adjudica-")
-    return _LOCAL_SCRATCH[context.applicationId]
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/adjudica-stored"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -28,14 +28,6 @@ def load_artifact(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return spark.read.schema(schema).json(path)
 
 
-def artifact_map(df: DataFrame, key: str, value: str, limit: int = 10_000) -> dict[Any, Any]:
-    """A small parameter table as a dict; refuses tables that are not small."""
-    rows = df.select(key, value).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"artifact has more than {limit} rows; join it instead")
-    return {r[0]: r[1] for r in rows}
-
-
 def append_prediction_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
@@ -69,12 +61,16 @@ def conform(df: DataFrame, keys: Mapping[str, list[str]], fills: Mapping[str, Co
     lower = {c.lower(): c for c in df.columns}
     for wanted, candidates in keys.items():
         found = next((lower[c.lower()] for c in candidates if c.lower() in lower), None)
-        found = found or next((c for c in df.columns for n in candidates if n.lower() in c.lower()), None)
+        if found is None:
+            near = [c for c in df.columns if any(n.lower() in c.lower() for n in candidates)]
+            # Readers number columns whose names clash; the first of these stands for them.
+            if len({c.lower().rstrip("0123456789") for c in near}) > 1:
+                raise ValueError(f"{wanted!r} could be any of {near}")
+            found = near[0] if near else None
         if found is None:
             raise ValueError(f"no column for {wanted!r} among {df.columns}")
         chosen[wanted] = found
-    used = {c.lower() for c in chosen.values()}
-    dropped = used | {c.lower() for names in keys.values() for c in names}
+    dropped = {c.lower() for c in chosen.values()}
     fills_lower = {n.lower(): (n, v) for n, v in fills.items()}
     columns = [F.col(f"`{source}`").alias(wanted) for wanted, source in chosen.items()]
     for name in df.columns:

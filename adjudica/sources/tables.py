@@ -27,10 +27,19 @@ SCHEMAS: Mapping[str, str] = {
 }
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _system(spark, path)
+    return system.exists(target)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, target = _system(spark, path)
+    return system.exists(target) and system.getFileStatus(target).isDirectory()
 
 
 def resolve(spark: SparkSession, data_dir: str, name: str, formats: Iterable[str] = FORMATS) -> tuple[str, str]:
@@ -38,7 +47,7 @@ def resolve(spark: SparkSession, data_dir: str, name: str, formats: Iterable[str
     for fmt in formats:
         for prefix in PREFIXES:
             path = f"{data_dir.rstrip('/')}/{prefix}{name}.{fmt}"
-            if _exists(spark, path):
+            if path_exists(spark, path):
                 return path, fmt
     raise FileNotFoundError(f"no file for table {name!r} in {data_dir}")
 

@@ -12,16 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sources.tables import SCHEMAS
+from ..sources.tables import SCHEMAS, is_folder, path_exists
 
 DEDUP_SALTS = 16
 
 
-def event_stream(spark: SparkSession, data_dir: str, table: str = "events") -> DataFrame:
-    """A stored table read as a file stream, event time as an instant."""
-    stream = (
-        spark.readStream.schema(SCHEMAS[table]).option("pathGlobFilter", f"{table}.parquet").parquet(data_dir)
-    )
+def event_stream(spark: SparkSession, data_dir: str, table: str = "events", files_per_batch: int = 1000) -> DataFrame:
+    """A stored table, one file or a folder of part files, read as a file stream; event time as an instant.
+
+    A micro-batch takes ``files_per_batch`` files at most.
+    """
+    path = f"{data_dir.rstrip('/')}/{table}.parquet"
+    reader = spark.readStream.schema(SCHEMAS[table]).option("maxFilesPerTrigger", files_per_batch)
+    if is_folder(spark, path):
+        stream = reader.parquet(path)
+    else:  # file streams read folders only
+        stream = reader.option("pathGlobFilter", f"{table}.parquet").parquet(data_dir)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -79,10 +85,14 @@ def member_sessions(events: DataFrame, key: str, ts: str = "ts", gap: str = "30
     )
 
 
-def drain(stream: DataFrame, name: str) -> DataFrame:
-    """Run a stream over all data present and return what it wrote."""
+def drain(stream: DataFrame, name: str, out: str | None = None, state: str | None = None) -> DataFrame:
+    """Run a stream over all data present and return what it has written.
+
+    ``out`` and ``state`` are the output and checkpoint folders; a job that is started
+    again with the same two goes on where it stopped. Without them a run has its own.
+    """
     spark = stream.sparkSession
-    out, state = scratch_path(spark, name), scratch_path(spark, f"{name}-state")
+    out, state = out or scratch_path(spark, name), state or scratch_path(spark, f"{name}-state")
     query = (
         stream.writeStream.format("parquet")
         .option("path", out)
@@ -95,14 +105,33 @@ def drain(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def stream_triage(events: DataFrame, decide: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """Decide each micro-batch and append it to a decision log.
+def with_open_windows(closed: DataFrame, whole: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Windows that a drained stream has closed, and those it still holds open.
+
+    ``whole`` is the batch form over the stored events; it supplies the windows behind the
+    watermark, recognised by ``keys``.
+    """
+    # Not an anti-join: that would be pushed below the session aggregate, where windows are not merged yet.
+    done = closed.select(*keys, F.lit(True).alias("_closed"))
+    still_open = whole.select(closed.columns).join(done, list(keys), "left").filter(F.col("_closed").isNull())
+    return closed.unionByName(still_open.select(closed.columns))
+
+
+def stream_triage(
+    events: DataFrame,
+    decide: Callable[[DataFrame], DataFrame],
+    name: str,
+    schema: str,
+    out: str | None = None,
+    state: str | None = None,
+) -> DataFrame:
+    """Decide each micro-batch and append it to a decision log of the given ``schema``.
 
-    A batch that is run again after a failure overwrites its own folder, so every event
-    is logged once.
+    A batch that is run again after a failure overwrites its own folder, so with fixed
+    ``out`` and ``state`` folders every event is logged once.
     """
     spark = events.sparkSession
-    out, state = scratch_path(spark, name), scratch_path(spark, f"{name}-state")
+    out, state = out or scratch_path(spark, name), state or scratch_path(spark, f"{name}-state")
 
     def append(batch: DataFrame, batch_id: int) -> None:
         decide(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
@@ -114,4 +143,6 @@ def stream_triage(events: DataFrame, decide: Callable[[DataFrame], DataFrame], n
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(out)
+    if not path_exists(spark, out):  # no batch ran
+        return spark.createDataFrame([], f"{schema}, batch_id bigint")
+    return spark.read.schema(f"{schema}, batch_id bigint").parquet(out)

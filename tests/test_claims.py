@@ -48,8 +48,18 @@ def test_chronic_weights(header, items):
 
 def test_claim_diagnosis_drops_unknown_codes(spark, header, items):
     dimension = spark.createDataFrame([("E11.9",), ("I10",), ("E11.0",)], "principal_diagnosis_code string")
-    got = {r[C.CLAIM]: r["diagnosis_codes_list"] for r in C.claim_diagnosis(header, items, dimension).collect()}
-    assert got == {1: ["E11.9", "I10"], 2: ["E11.0"], 3: [], 4: None}
+    doubled = items.unionByName(items.filter("claim_request_bundle_id = 2"))
+    got = {
+        (r[C.CLAIM], r["diagnosis_code"], r["multiplicity"])
+        for r in C.claim_diagnosis(header, doubled, dimension).collect()
+    }
+    assert got == {(1, "E11.9", 1), (1, "I10", 1), (2, "E11.0", 2), (3, None, 0), (4, None, 0)}
+
+
+def test_new_members_with_and_without_snapshot(spark, header):
+    policies = spark.createDataFrame([(10,), (20,), (99,)], "patient_key bigint")
+    assert {r[0] for r in C.new_members(policies, header).collect()} == {99}
+    assert {r[0] for r in C.new_members(policies, header, before="2023-01-01").collect()} == {10, 20, 99}
 
 
 def test_flatten_multiplicities_equal_the_real_fanout(header, items, team):

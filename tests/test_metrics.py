@@ -103,6 +103,8 @@ def test_threshold_gate_and_business_value(spark):
     df = spark.createDataFrame([("auc", 0.9), ("auc2", 0.5), ("f1", None)], "metric string, value double")
     got = {r["metric"]: r["passed"] for r in E.threshold_gate(df, [("auc", 0.85, None), ("auc2", 0.6, None), ("f1", 0.1, None)]).collect()}
     assert got == {"auc": True, "auc2": False, "f1": False}
+    absent = E.threshold_gate(df.filter("metric = 'auc'"), [("auc", 0.85, None), ("mae", None, 1.0)]).collect()
+    assert {r["metric"]: r["passed"] for r in absent} == {"auc": True, "mae": False}
     log = spark.createDataFrame([("AUTO_APPROVED", 10.0), ("AUTO_DENIED", 100.0), ("PEND_FOR_REVIEW", 1.0), ("AUTO_APPROVED", 5.0)], "d string, a double")
     row = E.business_value(log, "d", "a").first()
     assert (row["stp_rate"], row["review_savings"], row["prevented_amount"]) == (0.5, 11.0, 80.0)

@@ -26,6 +26,24 @@ def test_planted_outlier_ranks_first_and_share_below_zero(points):
     assert (scores["anomaly_score"] < 0).mean() == pytest.approx(0.05, abs=0.005)
 
 
+def test_scoring_leaves_keys_and_other_columns_alone(spark, points):
+    forest = I.fit_forest(points, "id", ["x", "y"], 0.05, trees=10, sample=64)
+    keys = [None, 2**53 + 1, 2**53 + 3]
+    df = spark.createDataFrame([(k, 0.0, 5.0, "t") for k in keys], "id bigint, x double, y double, note string")
+    assert sorted((r["id"] or 0, r["note"]) for r in I.forest_scores(df, forest).collect()) == [
+        (0, "t"), (2**53 + 1, "t"), (2**53 + 3, "t")
+    ]
+
+
+def test_cost_model_takes_a_thousand_categories(spark):
+    df = spark.range(2000).select(
+        F.concat(F.lit("c"), F.col("id") % 1000).alias("city"), (F.col("id") % 7).cast("double").alias("x"),
+        (F.col("id") % 7 * 10).cast("double").alias("y"),
+    )
+    model = S.fit_cost_model(df, ["x"], ["city"], "y", rounds=1, depth=2)
+    assert model.transform(df).filter("prediction IS NULL").isEmpty()
+
+
 def test_refit_is_equal_whatever_the_layout(points):
     one = I.fit_forest(points, "id", ["x", "y"], 0.05, trees=20, sample=64)
     two = I.fit_forest(points.repartition(7), "id", ["x", "y"], 0.05, trees=20, sample=64)

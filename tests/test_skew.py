@@ -83,32 +83,30 @@ def test_exact_percentiles_weights_and_whole_table(spark, frame, claims):
     assert one == pytest.approx(claims["payer_share_amount"].quantile(0.05))
 
 
-def test_chunked_lists_hold_every_element(frame, claims):
-    lists = [F.collect_list("claim_request_bundle_id").alias("ids")]
-    got = K.chunked_lists(frame, ["patient_key"], ["claim_request_bundle_id"], lists, 40).collect()
-    assert sum(r["patient_key"] == 1 for r in got) > 3
-    assert all(r["chunk_no"] == 0 for r in got if r["patient_key"] != 1)
-    want = claims.groupby("patient_key")["claim_request_bundle_id"].apply(sorted).to_dict()
-    merged = {}
-    for r in got:
-        merged.setdefault(r["patient_key"], []).extend(r["ids"])
-    assert {k: sorted(v) for k, v in merged.items()} == want
-
-
-def test_history_lists_chunks(spark, frame, claims):
+def test_history_lists_have_one_shape(frame, claims):
     items = frame.select("claim_request_bundle_id", F.lit("E11").alias("principal_diagnosis_code"))
     team = frame.select(
         "claim_request_bundle_id",
         F.col("provider_license_key").alias("practitioner_license"),
         F.concat(F.lit("S"), F.col("provider_license_key") % 3).alias("practice_desc"),
     )
-    got = H.history_lists(frame, items, team, 40).toPandas()
+    got = H.history_lists(frame, items, team).toPandas()
     hot = got[got["patient_key"] == 1]
-    assert len(hot) > 3
-    assert sorted(c for part in hot["claim_costs_list"] for c in part) == sorted(
+    visits = hot[hot["kind"] == "visit"]
+    assert visits["multiplicity"].sum() == (claims["patient_key"] == 1).sum()
+    assert sorted(c for c, n in zip(visits["cost"], visits["multiplicity"]) for _ in range(n)) == sorted(
         claims[claims["patient_key"] == 1]["payer_share_amount"]
     )
-    assert sorted(c for part in hot["practitioner_specialty_list"] for c in part) == ["S0", "S1", "S2"]
+    assert sorted(hot[hot["kind"] == "specialty"]["value"]) == ["S0", "S1", "S2"]
+
+
+def test_hot_keys_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(K, "HOT_KEYS", 1)
+    rows = [(k, float(i)) for k in (1, 2, 3) for i in range(20 + k)]
+    df = spark.createDataFrame(rows, "k bigint, v double")
+    assert [r["k"] for r in K.hot_keys(df, ["k"], 10).collect()] == [3]
+    got = {r["k"]: r["q"] for r in K.exact_percentiles(df, ["k"], "v", [0.5], ["q"], hot_rows=10).collect()}
+    assert got == {1: 10.0, 2: 10.5, 3: 11.0}
 
 
 @pytest.mark.parametrize("digits", [1, 4])
@@ -185,8 +183,6 @@ def test_hot_null_key_is_split_too(spark):
     df = spark.createDataFrame(rows, "k bigint, v double")
     got = {r["k"]: r["q"] for r in K.exact_percentiles(df, ["k"], "v", [0.5], ["q"], hot_rows=10, bins=4).collect()}
     assert got == {None: 24.5, 1: 3.0}
-    parts = K.chunked_lists(df, ["k"], ["v"], [F.collect_list("v").alias("vs")], 10).filter("k IS NULL").collect()
-    assert len(parts) > 1 and sorted(v for p in parts for v in p["vs"]) == [float(i) for i in range(50)]
 
 
 def test_premium_increase(spark):

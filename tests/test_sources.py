@@ -39,9 +39,7 @@ def test_artifact_and_worklist_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.5), ("b", 2.0)], "name string, weight double")
     S.save_artifact(df, str(tmp_path / "art"))
     back = S.load_artifact(spark, str(tmp_path / "art"), df.schema)
-    assert S.artifact_map(back, "name", "weight") == {"a": 1.5, "b": 2.0}
-    with pytest.raises(ValueError):
-        S.artifact_map(back, "name", "weight", limit=1)
+    assert {r["name"]: r["weight"] for r in back.collect()} == {"a": 1.5, "b": 2.0}
     S.write_worklist(df, str(tmp_path / "list"))
     assert S.read_worklist(spark, str(tmp_path / "list"), df.schema).count() == 2
     S.write_abt(df, str(tmp_path / "abt"), partition_by="name")
@@ -51,18 +49,22 @@ def test_artifact_and_worklist_round_trip(spark, tmp_path):
 class FakeSession:
     """Only what the scratch lookup reads."""
 
-    def __init__(self, folder, master):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})()
+    def __init__(self, folder):
+        self.conf = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"} | ({"spark.checkpoint.dir": folder} if folder else {})
 
 
 def test_scratch_follows_the_session_setting(spark):
-    shared = FakeSession("hdfs://shared/scratch", "yarn")
+    shared = FakeSession("hdfs://shared/scratch")
     assert scratch_root(shared) == "hdfs://shared/scratch"
     assert scratch_path(shared, "x").startswith("hdfs://shared/scratch/x-")
     assert scratch_path(shared, "x") != scratch_path(shared, "x")
-    local = FakeSession(None, "local[2]")
-    assert scratch_root(local) == scratch_root(local)
-    with pytest.raises(RuntimeError):
-        scratch_root(FakeSession(None, "yarn"))
-    assert scratch_root(spark)
+    assert scratch_root(FakeSession(None)) == "hdfs://shared/warehouse/adjudica-stored"
+    assert scratch_root(spark).startswith("file:")
+
+
+def test_conform_keeps_unchosen_candidates_and_refuses_doubt(spark):
+    df = spark.createDataFrame([(1, 2.0, 3.0)], "id int, net_amount double, o_totalprice double")
+    got = S.conform(df, {"amount": ["net_amount", "o_totalprice"]}, {})
+    assert got.columns == ["amount", "id", "o_totalprice"]
+    with pytest.raises(ValueError, match="could be any of"):
+        S.conform(spark.createDataFrame([(1, 2)], "a_key int, b_key int"), {"key": ["key"]}, {})

@@ -86,7 +86,35 @@ def test_triage_logs_every_event_once(spark, tmp_path, rows):
         )
 
     half = len(rows) // 2
-    log = S.stream_triage(source(spark, tmp_path, [rows[:half], rows[half:]]), decide, "t-triage")
+    log = S.stream_triage(source(spark, tmp_path, [rows[:half], rows[half:]]), decide, "t-triage", f"{SCHEMA}, final_decision string")
     assert sorted(r["event_id"] for r in log.collect()) == list(range(120))
     assert log.select("batch_id").distinct().count() == 2
     assert log.filter("final_decision = 'AUTO_APPROVED'").count() == 60
+
+
+def test_open_windows_complete_the_closed_ones(spark, tmp_path, rows):
+    stream = source(spark, tmp_path, [rows])
+    closed = S.drain(S.claims_last_hour(stream, "user_id"), "t-open")
+    whole = S.claims_last_hour(spark.createDataFrame(rows, SCHEMA), "user_id")
+    got = S.with_open_windows(closed, whole, ["user_id", "window_start"])
+    assert closed.count() < got.count()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_table_of_part_files_is_read_whole(spark, tmp_path, parts):
+    whole = spark.range(90).select(
+        F.col("id").alias("event_id"), F.lit(BASE).cast("timestamp_ntz").alias("ts"), F.col("id").alias("user_id"),
+        F.lit("a").alias("event_type"), F.lit(1.0).alias("value"), F.lit("{}").alias("props"),
+    )
+    whole.repartition(parts).write.parquet(str(tmp_path / "events.parquet"))
+    assert S.drain(S.event_stream(spark, str(tmp_path), files_per_batch=1), "t-parts").count() == 90
+
+
+def test_restart_goes_on_where_it_stopped(spark, tmp_path):
+    out, state, place = (str(tmp_path / n) for n in ("out", "state", "in"))
+    for first in (0, 10):
+        rows = [(i, at(i), 1, "a", 1.0) for i in range(first, first + 10)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(place)
+        got = S.drain(spark.readStream.schema(SCHEMA).parquet(place), "t-restart", out, state)
+    assert sorted(r["event_id"] for r in got.collect()) == list(range(20))
