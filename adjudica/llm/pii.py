@@ -349,6 +349,8 @@ class Finder:
             steps = np.concatenate([tags[at - 1 : at], inside, tags[end : end + 1]])
             odds += move[steps[:-1], steps[1:]].sum() - move[0, 0] * (len(steps) - 1)
             a, b = start + at, start + end
+            while kind == 3 and a and text[a - 1] in "(+":
+                a -= 1  # a sign that opens the number belongs to it
             clear = all(b <= s or a >= e for _, s, e in base)
             if clear and odds >= MARGIN and _TRIGGER.search(text, a, b) and plausible(kind, text[a:b]):
                 yield kind, a, b
