@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 
+log = logging.getLogger(__name__)
+
 
 def hash_split(df: DataFrame, key: str, train_percent: int = 70) -> tuple[DataFrame, DataFrame]:
     train = X.hashed_percent(key) < train_percent
@@ -67,13 +71,20 @@ def probabilities(model: PipelineModel, df: DataFrame, out: str = "probabilities
 
 
 def batch_score(df: DataFrame, champion: PipelineModel, challenger: PipelineModel | None) -> DataFrame:
-    """Champion and challenger predictions on every row; without a challenger its column is -1."""
+    """Champion and challenger predictions on every row.
+
+    Without a challenger, or with one that cannot be applied to these rows, its column is
+    -1: the champion's answer never depends on it.
+    """
     scored = champion.transform(df).select(*df.columns, F.col("prediction").alias("champion_prediction"))
-    if challenger is None:
-        return scored.withColumn("challenger_prediction", F.lit(-1.0))
-    return challenger.transform(scored).select(
-        *scored.columns, F.col("prediction").alias("challenger_prediction")
-    )
+    if challenger is not None:
+        try:
+            return challenger.transform(scored).select(
+                *scored.columns, F.col("prediction").alias("challenger_prediction")
+            )
+        except (AnalysisException, IllegalArgumentException):
+            log.warning("the challenger cannot score this table", exc_info=True)
+    return scored.withColumn("challenger_prediction", F.lit(-1.0))
 
 
 def churn_drivers(df: DataFrame, features: Sequence[str], target: str, top: int = 3) -> DataFrame:

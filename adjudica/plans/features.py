@@ -11,11 +11,10 @@ from ..operators import history as H
 from ..operators import providers as P
 from ..registry import query
 from ..sources import claims_model as M
-from ..sources.tables import load_table
 from .aggregates import MEMBER_LINES, member_lines
 from .common import r
 from .joins import COST_WEIGHTS, FLAT, FREQ_WEIGHTS, MEMBER_CONDITIONS, RISK_SQL, STAGE_CTE
-from .joins import FINANCIAL_CTE, financial_table, plan_limits
+from .joins import FINANCIAL_CTE, TIER_CTE, financial_table, plan_limits, provider_master
 from .views import using
 
 WEIGHT_ROWS = ", ".join(
@@ -271,19 +270,6 @@ def plan_utilization(spark, sf_dir):
     return table.select(C.CLAIM, r(used, 9).alias("plan_utilization_percent"))
 
 
-TIER_CTE = """, tiers AS (SELECT s_suppkey AS provider_license_key, CAST(CASE WHEN s_acctbal >= 5000 THEN 1
-    WHEN s_acctbal < 500 THEN 3 ELSE 2 END AS INTEGER) AS tier FROM supplier)"""
-
-
-def provider_master(spark, sf_dir):
-    """Contracted tiers by balance."""
-    balance = F.col("s_acctbal")
-    return load_table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias(C.PROVIDER),
-        F.when(balance >= 5000, 1).when(balance < 500, 3).otherwise(2).alias("tier"),
-    )
-
-
 @query(
     "network_tier",
     using(

@@ -198,18 +198,53 @@ def financial_table(spark, sf_dir):
     return marked.join(plans, C.MEMBER, "left").withColumn("claim_amount", F.col(C.AMOUNT))
 
 
+TIER_CTE = """, tiers AS (SELECT s_suppkey AS provider_license_key, CAST(CASE WHEN s_acctbal >= 5000 THEN 1
+    WHEN s_acctbal < 500 THEN 3 ELSE 2 END AS INTEGER) AS tier FROM supplier)"""
+
+
+def provider_master(spark, sf_dir):
+    """Contracted tiers by balance."""
+    balance = F.col("s_acctbal")
+    return load_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias(C.PROVIDER),
+        F.when(balance >= 5000, 1).when(balance < 500, 3).otherwise(2).alias("tier"),
+    )
+
+
+CLAIM_TIER_CTE = (
+    TIER_CTE
+    + """, billing AS (SELECT claim_request_bundle_id, provider_license_key FROM (SELECT *, ROW_NUMBER() OVER
+    (PARTITION BY claim_request_bundle_id ORDER BY line_no, provider_license_key) AS rn FROM line) WHERE rn = 1),
+    claim_tier AS (SELECT claim_request_bundle_id, provider_license_key, COALESCE(tier, 2) AS provider_network_tier
+    FROM billing LEFT JOIN tiers USING (provider_license_key))"""
+)
+
+
+def with_claim_tier(spark, sf_dir, claims):
+    """Claims with the provider of their first line and its network tier; 2 where either is unknown."""
+    first = F.min(F.struct("line_no", C.PROVIDER))[C.PROVIDER].alias(C.PROVIDER)
+    billing = M.claim_line(spark, sf_dir).groupBy(C.CLAIM).agg(first)
+    tiers = billing.join(provider_master(spark, sf_dir), C.PROVIDER, "left").select(C.CLAIM, C.PROVIDER, "tier")
+    return claims.join(tiers, C.CLAIM, "left").withColumn("provider_network_tier", X.network_tier("tier")).drop("tier")
+
+
 @query(
     "abt_financial",
     using(
-        "header policy",
+        "header policy line",
         FINANCIAL_CTE
-        + """ SELECT claim_request_bundle_id, patient_key, plan_id, claim_amount, ROUND(ytd_spend, 2) AS ytd_spend,
-        CAST(is_duplicate_suspect AS INTEGER) AS is_duplicate_suspect FROM financial""",
+        + CLAIM_TIER_CTE
+        + """ SELECT f.claim_request_bundle_id, patient_key, plan_id, claim_amount, ROUND(ytd_spend, 2) AS ytd_spend,
+        CAST(is_duplicate_suspect AS INTEGER) AS is_duplicate_suspect,
+        COALESCE(provider_license_key, -1) AS provider_license_key,
+        COALESCE(provider_network_tier, 2) AS provider_network_tier
+        FROM financial f LEFT JOIN claim_tier t ON f.claim_request_bundle_id = t.claim_request_bundle_id""",
     ),
 )
 def abt_financial(spark, sf_dir):
-    return financial_table(spark, sf_dir).select(
-        C.CLAIM, C.MEMBER, "plan_id", "claim_amount", r("ytd_spend", 2).alias("ytd_spend"), "is_duplicate_suspect"
+    return with_claim_tier(spark, sf_dir, financial_table(spark, sf_dir)).select(
+        C.CLAIM, C.MEMBER, "plan_id", "claim_amount", r("ytd_spend", 2).alias("ytd_spend"), "is_duplicate_suspect",
+        F.coalesce(C.PROVIDER, F.lit(-1)).alias(C.PROVIDER), "provider_network_tier",
     )
 
 
@@ -385,14 +420,16 @@ def feature_stage(spark, sf_dir):
 @query(
     "financial_reject_label",
     using(
-        "header policy",
+        "header policy line",
         FINANCIAL_CTE
-        + """ SELECT claim_request_bundle_id, CAST(CASE WHEN (ytd_spend + claim_amount) / lim > 0.9
-        OR is_duplicate_suspect = 1 THEN 1 ELSE 0 END AS INTEGER) AS is_rejected FROM financial""",
+        + CLAIM_TIER_CTE
+        + """ SELECT f.claim_request_bundle_id, CAST(CASE WHEN (ytd_spend + claim_amount) / lim > 0.9
+        OR is_duplicate_suspect = 1 OR COALESCE(provider_network_tier, 2) > 1 THEN 1 ELSE 0 END AS INTEGER) AS is_rejected
+        FROM financial f LEFT JOIN claim_tier t ON f.claim_request_bundle_id = t.claim_request_bundle_id""",
     ),
 )
 def financial_reject_label(spark, sf_dir):
-    table = financial_table(spark, sf_dir).join(plan_limits(spark), "plan_id", "left")
+    table = with_claim_tier(spark, sf_dir, financial_table(spark, sf_dir)).join(plan_limits(spark), "plan_id", "left")
     used = X.plan_utilization("ytd_spend", "claim_amount", "plan_limit")
-    label = D.financial_reject_label(used, F.lit(1), "is_duplicate_suspect")
+    label = D.financial_reject_label(used, "provider_network_tier", "is_duplicate_suspect")
     return table.select(C.CLAIM, label.alias("is_rejected"))

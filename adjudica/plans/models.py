@@ -19,7 +19,7 @@ from ..sources import claims_model as M
 from .aggregates import HIGH_COST, member_lines
 from .common import r, stored
 from .features import medical_table, plan_limits, provider_features
-from .joins import COST_WEIGHTS, FREQ_WEIGHTS, RISK_SQL, STAGE_CTE, financial_table
+from .joins import COST_WEIGHTS, FREQ_WEIGHTS, RISK_SQL, STAGE_CTE, financial_table, with_claim_tier
 from .rules import labelled_claims
 from .views import using
 from .windows import PROVIDER_FEATURES, churn_table
@@ -303,12 +303,14 @@ def fwa_model(spark, sf_dir):
 
 @query("financial_model")
 def financial_model(spark, sf_dir):
-    table = financial_table(spark, sf_dir).join(plan_limits(spark), "plan_id", "left")
+    table = with_claim_tier(spark, sf_dir, financial_table(spark, sf_dir)).join(plan_limits(spark), "plan_id", "left")
     used = X.plan_utilization("ytd_spend", "claim_amount", "plan_limit")
     table = table.withColumn("plan_utilization_percent", used).withColumn(
-        "is_rejected", D.financial_reject_label("plan_utilization_percent", F.lit(1), "is_duplicate_suspect")
+        "is_rejected", D.financial_reject_label(
+            "plan_utilization_percent", "provider_network_tier", "is_duplicate_suspect"
+        )
     )
-    features = ["plan_utilization_percent", "is_duplicate_suspect", "claim_amount"]
+    features = ["plan_utilization_percent", "is_duplicate_suspect", "claim_amount", "provider_network_tier"]
     return _binary(spark, table, C.CLAIM, features, "is_rejected", "financial-training")
 
 

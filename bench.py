@@ -21,6 +21,7 @@ HEADLINE = [
     "refill_frequency", "claims_last_hour", "member_session", "stp_label", "triage_decision", "feature_stage",
     "diag_proc_top5", "correlation_matrix", "stratified_split", "auc_claims", "bias_disparity", "drift_check",
     "flatten_claim_items", "real_claim_features", "churn_target_prob", "isolation_forest_score", "provider_tiers",
+    "pricing_features", "stream_dedup",
 ]
 
 

@@ -35,6 +35,14 @@ def test_scoring_leaves_keys_and_other_columns_alone(spark, points):
     ]
 
 
+def test_broken_challenger_scores_minus_one(spark):
+    df = spark.range(60).select("id", (F.col("id") % 5).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
+    champion = S.fit_cost_model(df, ["x"], [], "y", rounds=1, depth=2)
+    broken = S.fit_cost_model(df.withColumn("z", F.col("x")), ["z"], [], "y", rounds=1, depth=2)
+    got = S.batch_score(df, champion, broken)
+    assert got.filter("challenger_prediction = -1").count() == 60 and got.filter("champion_prediction IS NULL").isEmpty()
+
+
 def test_cost_model_takes_a_thousand_categories(spark):
     df = spark.range(2000).select(
         F.concat(F.lit("c"), F.col("id") % 1000).alias("city"), (F.col("id") % 7).cast("double").alias("x"),
