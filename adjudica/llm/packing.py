@@ -7,6 +7,7 @@ steers the counts to be even, so that any later length finds a level that it com
 
 from __future__ import annotations
 
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -18,8 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .base import id_and_text, one_thread, text_slices, texts_of
-from .bpe import MEMO_UNITS
+from .base import Memo, byte_letters, id_and_text, one_thread, text_slices, texts_of
 
 Piece = tuple[int | None, int, int, bytes]  # doc_id, start, doc_tokens, packed ids
 
@@ -28,26 +28,54 @@ OUTPUT = (
 )
 
 
+#: Below this code point a letter is its own normal form and has one lower-case letter.
+PLAIN_BELOW = 0x130
+#: Signs that end many words and are pre-tokens of their own after a letter.
+ENDS = ("", ".", ",")
+
+
 class WordEncoder:
-    """Ids by a tokenizer that drops white space, so that parts between spaces are independent."""
+    """Ids by a tokenizer that drops white space, so that parts between spaces are independent.
+
+    Plain words, that is letters and perhaps a final sign, need no normalizer and no split:
+    the tokenizer's model gets them in lower case. All other parts go through the whole
+    tokenizer.
+    """
 
     def __init__(self, path: str):
         one_thread()
-        self.model = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
+        self.full = Tokenizer.from_file(path)
+        self.model = self.full.model
+        self.letters = {b: letter for letter, b in byte_letters().items()}
+        self.memo, self.words = Memo(), Memo()
+        self.ends = dict(zip(ENDS, self.whole(list(ENDS))))
+
+    def whole(self, parts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.full.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def word(self, word: str) -> bytes:
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def learn(self, parts: set[str]) -> None:
+        plain, other = [], []
+        for part in self.memo.missing(parts):
+            core = part[:-1] if part[-1:] in (".", ",") else part
+            if core.isalpha() and (core.isascii() or ord(max(core)) < PLAIN_BELOW):
+                plain.append((part, core.lower(), part[len(core) :]))
+            else:
+                other.append(part)
+        for word in self.words.missing({word for _, word, _ in plain}):
+            self.words[word] = self.word(word)
+        self.memo.update((part, self.words[word] + self.ends[end]) for part, word, end in plain)
+        for at in range(0, len(other), 4096):
+            self.memo.update(zip(other[at : at + 4096], self.whole(other[at : at + 4096])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
-        seen = set().union(*cut)
-        if len(self.memo) + len(seen) > MEMO_UNITS:
-            self.memo = {u: self.memo[u] for u in seen if u in self.memo}
-        new = [u for u in seen if u not in self.memo]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for unit, found in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                self.memo[unit] = np.array(found.ids, "<u4").tobytes()
+        self.learn(set().union(*cut))
         get = self.memo.__getitem__
-        return [b"".join(map(get, units)) for units in cut]
+        return [b"".join(map(get, parts)) for parts in cut]
 
 
 @lru_cache(maxsize=2)
