@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEVELS = (2, 8, 16)  # segments per resolution
+LEVELS = (16, 4, 2)  # components per segment after the first level, which has one segment
+DENSE = 0.02  # share of pairs left above which all exact products of a block come from one matrix product
 QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 4096
 EXACT_BELOW = 2.0**53
@@ -37,10 +38,15 @@ def _sketch(vectors: np.ndarray, segments: int) -> np.ndarray:
     return out
 
 
+def _fits(left: np.ndarray, right: np.ndarray) -> bool:
+    """Whether inner products of whole numbers stay exact in floating point."""
+    largest = np.abs(left).max(initial=0.0) * np.abs(right).max(initial=0.0) * max(left.shape[1], 1)
+    return bool(largest < EXACT_BELOW)
+
+
 def _scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Exact inner products of row pairs as long, held at its limits if they are beyond."""
-    largest = np.abs(left).max(initial=0.0) * np.abs(right).max(initial=0.0) * max(left.shape[1], 1)
-    if largest < EXACT_BELOW:
+    if _fits(left, right):
         return np.einsum("ij,ij->i", left, right).astype(np.int64)
     low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
     whole = [sum(int(a) * int(b) for a, b in zip(x, y)) for x, y in zip(left.tolist(), right.tolist())]
@@ -51,27 +57,34 @@ def best_pairs(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(query row, candidate row, score)`` of each query's k best candidates of this block."""
-    norms = np.sqrt((queries**2).sum(1))[:, None] * np.sqrt((vectors**2).sum(1))[None, :]
-    slack = 1e-9 * norms + 1e-9  # rounding of the bounds
     other = query_ids[:, None] != ids[None, :]
-    bound = np.where(other, _sketch(queries, 1) @ _sketch(vectors, 1).T + slack, -np.inf)
+    # Rounding of the bounds, allowed for in the least score that a pair must be able to reach.
+    slack = 1e-9 * (np.sqrt((queries**2).sum(1)) * np.sqrt((vectors**2).sum(1)).max(initial=0.0) + 1.0)
+    bound = _sketch(queries, 1) @ _sketch(vectors, 1).T
+    bound[~other] = -np.inf
     first = min(k, bound.shape[1])
-    start = np.argpartition(-bound, first - 1, axis=1)[:, :first]
+    start = np.argpartition(bound, bound.shape[1] - first, axis=1)[:, -first:]
     rows = np.repeat(np.arange(len(queries)), first)
     seeds = _scores(queries[rows], vectors[start.ravel()]).reshape(len(queries), first).astype(float)
     seeds[~np.take_along_axis(other, start, 1)] = -np.inf
-    enough = np.where(np.isneginf(seeds).any(1) | (first < k), -np.inf, seeds.min(1))
+    enough = np.full(len(queries), -np.inf) if first < k else seeds.min(1) - slack
     alive = other & (bound >= enough[:, None])
-    for segments in LEVELS:
-        if segments >= queries.shape[1]:
-            break
-        bound = _sketch(queries, segments) @ _sketch(vectors, segments).T + slack
-        alive &= bound >= enough[:, None]
-    at_q, at_v = np.nonzero(alive)
-    score = np.concatenate(
-        [_scores(queries[at_q[i : i + 65536]], vectors[at_v[i : i + 65536]]) for i in range(0, len(at_q), 65536)]
-        or [np.empty(0, np.int64)]
-    )
+    for part in LEVELS:
+        segments = queries.shape[1] // part
+        if segments > 1 and alive.any():
+            alive &= _sketch(queries, segments) @ _sketch(vectors, segments).T >= enough[:, None]
+    if alive.mean() > DENSE and _fits(queries, vectors):
+        exact = queries @ vectors.T  # whole numbers below 2**53: exact in any order of summing
+        exact[~alive] = -np.inf
+        least = np.partition(exact, exact.shape[1] - first, axis=1)[:, -first]
+        at_q, at_v = np.nonzero(alive & (exact >= least[:, None]))
+        score = exact[at_q, at_v].astype(np.int64)
+    else:
+        at_q, at_v = np.nonzero(alive)
+        score = np.concatenate(
+            [_scores(queries[at_q[i : i + 65536]], vectors[at_v[i : i + 65536]]) for i in range(0, len(at_q), 65536)]
+            or [np.empty(0, np.int64)]
+        )
     order = np.lexsort((ids[at_v], ~score, at_q))
     at_q, at_v, score = at_q[order], at_v[order], score[order]
     place = np.arange(len(at_q)) - np.searchsorted(at_q, at_q)
