@@ -129,6 +129,7 @@ def spread(
     by: str,
     how: str = "inner",
     hot_share: int = 1000,
+    hot_least: int = 1,
 ) -> DataFrame:
     """``rows`` joined to one ``summary`` row per ``key``, without a task that gets a whole hot key.
 
@@ -136,10 +137,14 @@ def spread(
     most ``hot_share`` of them, whatever the size of the table. All others shuffle; rows
     already served and rows without a key are dealt out by column ``by``. With
     ``how="left"`` rows of other keys, null keys too, stay and get nulls. ``summary`` should
-    be settled, since it is read twice; ``rows`` is read once.
+    be settled, since it is read twice; ``rows`` is read once. A key of less weight than
+    ``hot_least`` is never hot, so a table below that weight takes the plain join.
     """
-    floor = max(total // hot_share, 1)
+    floor = max(total // hot_share, hot_least)
     named = [c for c in summary.columns if c != key]
+    if total < floor:
+        plain = summary.select(F.col(key).alias("_key"), *named)
+        return rows.join(plain, F.col(key) == F.col("_key"), how).select(*rows.columns, *named)
     small = summary.filter(F.col(weight) < floor).select(F.col(key).alias("_key"), F.struct(*named).alias("_small"))
     hot = summary.filter(F.col(weight) >= floor).select(F.col(key).alias("_hot_key"), F.struct(*named).alias("_hot"))
     tried = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")

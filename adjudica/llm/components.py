@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from .base import settled, spread
 
+#: Rows of two numbers that one task takes without effort.
+ONE_TASK = 200_000
 
-def _least(edges: DataFrame) -> DataFrame:
+
+def _least(edges: DataFrame, total: int) -> DataFrame:
     """Every edge ``u, v`` with ``least``, the smallest of u and its neighbours."""
-    found = settled(edges.groupBy("u").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("degree")))
-    total = found.agg(F.coalesce(F.sum("degree"), F.lit(0))).first()[0]
-    joined = spread(edges, found, "u", "degree", total, by="v")
+    found = edges.groupBy("u").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("degree"))
+    joined = spread(edges, found, "u", "degree", total, by="v", hot_least=ONE_TASK)
     return joined.select("u", "v", F.least("u", "low").alias("least"))
 
 
@@ -23,18 +25,20 @@ def roots(links: DataFrame) -> DataFrame:
     edge lists move; a node with very many links is joined by broadcast of its minimum.
     """
     edges = settled(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    before = None
     while True:
-        both = settled(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-        large = settled(_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct())
-        small = _least(large)
+        # Done when each node points to one root and no root points on.
+        roles = edges.select(F.col("u").alias("node"), F.lit(1).alias("child")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("child")))
+        per_node = roles.groupBy("node").agg(F.sum("child").alias("parents"), F.min("child").alias("low"))
+        total, loose = per_node.agg(
+            F.coalesce(F.sum("parents"), F.lit(0)), F.count(F.when((F.col("parents") > 1) | ((F.col("parents") > 0) & (F.col("low") == 0)), 1))
+        ).first()
+        if not loose:
+            return edges
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _least(both, 2 * total).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
+        small = _least(settled(large), total)
         edges = settled(
             small.select("u", F.col("least").alias("v"))
             .unionByName(small.filter("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v")))
             .distinct()
         )
-        # Settled stars no longer change: the count and the sum over hashed edges stay the same.
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges
-        before = now

@@ -31,6 +31,7 @@ from .components import roots
 BINS, BAND_ROWS = 128, 4  # 32 bands: a pair of similarity 0.8 shares none with probability 5e-8
 FIRST_BANDS = 4  # bands searched first; they connect most families
 CHUNK = 1000  # members of a bucket compared in one group
+FEW_FIRST, FEW = 256, 50_000  # promising pairs a group compares at once; with more, a forest of them comes first
 LEAVES = 64  # texts verified against one hub in one group
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 STEP = np.uint64(0x9E3779B97F4A7C15)  # odd constant that spreads counters (fixed value)
@@ -75,6 +76,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
         return out
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     items = np.concatenate(sets)
+    steps = np.arange(1, 2 * BINS + 1, dtype=np.uint64) * STEP
     for step in range(2 * BINS):
         open_rows = (out == EMPTY).any(axis=1)
         if not open_rows.any():
@@ -82,7 +84,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
         if not open_rows.all():
             stay = open_rows[owner]
             owner, items = owner[stay], items[stay]
-        hashes = mixed(items + np.uint64(step + 1) * STEP)
+        hashes = mixed(items + steps[step])
         bins = (hashes & np.uint64(BINS - 1)).astype(np.int64) if step < BINS else step - BINS
         np.minimum.at(out, (owner, bins), np.uint64(step) << np.uint64(56) | hashes >> np.uint64(8))
     return out
@@ -156,24 +158,41 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "id long, data binary")
 
 
-def _forest(ids: np.ndarray, group: np.ndarray, short: np.ndarray, barred: dict[int, set[int]], least: float) -> list[tuple[int, int]]:
-    """A forest of promising pairs ``(hub, leaf)`` that connects what can be connected between groups.
+def _forest(
+    ids: np.ndarray, group: np.ndarray, sizes: np.ndarray, short: np.ndarray, barred: dict[int, set[int]], rule: Similarity, few: int
+) -> list[tuple[int, int]]:
+    """Promising pairs ``(hub, leaf)`` between groups: all, or if these are more than ``few`` a forest of them.
 
-    Grown from the first member: each step adds the outside member with the best agreement.
+    The forest connects all that promising pairs can connect. It is grown from the first member: each step adds the outside member with the best agreement.
     Agreement above 0.9 counts as 0.9, so that early members become hubs. Members of one
     group are connected already and join for nothing.
     """
     n = len(ids)
+
+    def agreement(at: int, other: np.ndarray) -> np.ndarray:
+        """Agreement of member ``at`` with others, -1 where they cannot be linked or were compared."""
+        agree = (short[other] == short[at]).mean(axis=1)
+        low, high = np.minimum(sizes[other], sizes[at]), np.maximum(sizes[other], sizes[at])
+        agree[(agree < rule.promising) | (100 * low < rule.per_cent * high) | (ids[other] == ids[at])] = -1.0
+        if bar := barred.get(int(ids[at])):
+            agree[np.isin(ids[other], list(bar))] = -1.0
+        return agree
+
+    pairs: list[tuple[int, int]] = []
+    for at in range(n - 1):
+        other = at + 1 + np.flatnonzero(group[at + 1 :] != group[at])
+        if len(other):
+            pairs += [(int(ids[at]), i) for i in ids[other[agreement(at, other) >= 0]].tolist()]
+        if len(pairs) > few:
+            break
+    else:
+        return pairs
     worth, parent = np.full(n, -1.0), np.full(n, -1)
     outside, edges = np.ones(n, bool), []
     at = 0
     for _ in range(n):
         outside[at] = False
-        same = (short == short[at]).mean(axis=1)
-        agree = np.minimum(same, 0.9)
-        agree[same < least] = -1.0
-        for other in barred.get(int(ids[at]), ()):
-            agree[ids == other] = -1.0
+        agree = np.minimum(agreement(at, np.arange(n)), 0.9)
         agree[group == group[at]] = 2.0
         better = outside & (agree > worth)
         worth[better], parent[better] = agree[better], at
@@ -185,9 +204,9 @@ def _forest(ids: np.ndarray, group: np.ndarray, short: np.ndarray, barred: dict[
     return edges
 
 
-def _candidates(members: DataFrame, failed: DataFrame | None, classes: DataFrame, rule: Similarity) -> DataFrame:
+def _candidates(members: DataFrame, failed: DataFrame | None, classes: DataFrame, rule: Similarity, few: int) -> DataFrame:
     """``a, b, part``: promising pairs of the cells ``key, cell`` in ``members`` (with ``id, comp``)."""
-    rows = members.join(classes.select("id", "sketch"), "id")
+    rows = members.join(classes.select("id", "n", "sketch"), "id")
     if failed is None:
         rows = rows.withColumn("barred", F.array().cast("array<long>"))
     else:
@@ -200,7 +219,7 @@ def _candidates(members: DataFrame, failed: DataFrame | None, classes: DataFrame
         ids, group = part.column("id").to_numpy(), part.column("comp").to_numpy()
         short = np.frombuffer(b"".join(part.column("sketch").to_pylist()), "<u2").reshape(len(ids), BINS)
         barred = {i: set(b) for i, b in zip(ids.tolist(), part.column("barred").to_pylist()) if b}
-        edges = _forest(ids, group, short, barred, rule.promising)
+        edges = _forest(ids, group, part.column("n").to_numpy(), short, barred, rule, few)
         seen: dict[int, int] = {}
         parts = []
         for hub, _ in edges:
@@ -284,7 +303,7 @@ def link_components(docs: DataFrame, rule: Similarity, id_col: str = "doc_id", t
     named = signed.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     classes = settled(
         named.groupBy("digest").agg(
-            F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")
+            F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")
         )
     )
     banded = _band_rows(classes)
@@ -293,33 +312,34 @@ def link_components(docs: DataFrame, rule: Similarity, id_col: str = "doc_id", t
     members = settled(spread(banded, crowded, "key", "size", max(in_buckets, 1), by="id"))
     texts = settled(_packed_texts(source.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")))
     labels = settled(members.select("id").distinct().withColumn("comp", F.col("id")))
-    links, failed = None, None
-    for bands in (F.col("band") < FIRST_BANDS, F.lit(True)):
-        first = True
-        while True:
-            placed = members.filter(bands).join(labels, "id")
-            mixed_buckets = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.mode("comp", deterministic=True).alias("main"), F.count(F.lit(1)).alias("held"))
-            open_buckets = settled(mixed_buckets.filter("low <> high").select("key", "main", "held"))
-            held = open_buckets.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
-            if not held:
-                break
-            open_members = settled(spread(placed, open_buckets, "key", "held", held, by="id"))
-            pairs = settled(_candidates(_cells(open_members, first), failed, classes, rule))
-            if pairs.isEmpty():
-                if first and not open_members.filter(F.col("size") > CHUNK).isEmpty():
-                    first = False
-                    continue
+    failed: DataFrame | None = None
+    first = True
+    while True:
+        # The first round sees few bands, which connect most families; later ones see all.
+        placed = (members.filter(F.col("band") < FIRST_BANDS) if first else members).join(labels, "id")
+        buckets = placed.groupBy("key").agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.mode("comp", deterministic=True).alias("main"), F.count(F.lit(1)).alias("held")
+        )
+        open_buckets = settled(buckets.filter("low <> high").select("key", "main", "held"))
+        held, largest = open_buckets.agg(F.coalesce(F.sum("held"), F.lit(0)), F.coalesce(F.max("held"), F.lit(0))).first()
+        pairs = None
+        if held:
+            open_members = spread(placed, open_buckets, "key", "held", held, by="id")
+            cells = _cells(settled(open_members), first) if largest > CHUNK else open_members.withColumn("cell", F.lit(0).cast("long"))
+            pairs = settled(_candidates(cells.select("key", "cell", "id", "comp"), failed, classes, rule, FEW_FIRST if first else FEW))
+        if pairs is None or pairs.isEmpty():
+            if not first:
                 break
             first = False
-            checked = settled(_verified(pairs, texts, rule))
-            new = checked.filter("linked").select("a", "b")
-            links = new if links is None else links.unionByName(new)
-            bad = checked.filter("not linked").select("a", "b")
-            failed = bad if failed is None else failed.unionByName(bad)
-            found = roots(links)
-            labels = settled(
-                labels.select("id").join(found.withColumnRenamed("u", "id"), "id", "left").select("id", F.coalesce("v", "id").alias("comp"))
-            )
+            continue
+        first = False
+        checked = settled(_verified(pairs, texts, rule))
+        bad = checked.filter("not linked").select("a", "b")
+        failed = bad if failed is None else failed.unionByName(bad)
+        new = checked.filter("linked").join(labels.select(F.col("id").alias("a"), F.col("comp").alias("of_a")), "a")
+        new = new.join(labels.select(F.col("id").alias("b"), F.col("comp").alias("of_b")), "b")
+        found = roots(new.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+        labels = settled(labels.join(found.withColumnRenamed("u", "comp"), "comp", "left").select("id", F.coalesce("v", "comp").alias("comp")))
     of_class = settled(
         classes.select("digest", "id", "size").join(labels, "id", "left").select("digest", "size", F.coalesce("comp", "id").alias("comp"))
     )
@@ -327,3 +347,9 @@ def link_components(docs: DataFrame, rule: Similarity, id_col: str = "doc_id", t
     out = spread(signed.select("doc_id", "n_shingles", key), of_class, "digest", "size", total, by="doc_id", how="left")
     component = F.coalesce("comp", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, rule: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`link_components` keeps, with all their columns."""
+    gone = link_components(docs, rule, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
