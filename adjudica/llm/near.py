@@ -41,12 +41,12 @@ STEP = np.uint64(0x9E3779B97F4A7C15)  # odd constant that spreads counters (fixe
 class Similarity:
     """Words per shingle, the similarity in per cent, and the least sketch agreement worth a comparison.
 
-    At 128 bins a pair of similarity 0.8 agrees in under 0.6 with probability about 1e-8.
+    At 128 bins a pair of similarity 0.8 agrees in under 0.625 with probability about 1e-6.
     """
 
     words: int = 5
     per_cent: int = 80
-    promising: float = 0.6
+    promising: float = 0.625
 
     def linked(self, left: np.ndarray, right: np.ndarray) -> bool:
         shared = len(np.intersect1d(left, right, assume_unique=True))
@@ -159,9 +159,12 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
 
 
 def _forest(
-    ids: np.ndarray, group: np.ndarray, sizes: np.ndarray, short: np.ndarray, barred: dict[int, set[int]], rule: Similarity, few: int
-) -> list[tuple[int, int]]:
-    """Promising pairs ``(hub, leaf)`` between groups: all, or if these are more than ``few`` a forest of them.
+    ids: np.ndarray, group: np.ndarray, sizes: np.ndarray, short: np.ndarray, barred: dict[int, set[int]], rule: Similarity, few: int, band: int
+) -> tuple[list[tuple[int, int]], bool]:
+    """Promising pairs ``(hub, leaf)`` between groups, and whether these are all of them.
+
+    If there are more than ``few`` it is a forest of them. A pair belongs to the first band
+    in which its sketches agree, so that other buckets leave it out.
 
     The forest connects all that promising pairs can connect. It is grown from the first member: each step adds the outside member with the best agreement.
     Agreement above 0.9 counts as 0.9, so that early members become hubs. Members of one
@@ -173,6 +176,8 @@ def _forest(
         """Agreement of member ``at`` with others, -1 where they cannot be linked or were compared."""
         agree = (short[other] == short[at]).mean(axis=1)
         low, high = np.minimum(sizes[other], sizes[at]), np.maximum(sizes[other], sizes[at])
+        before = (short[other, : band * BAND_ROWS] == short[at, : band * BAND_ROWS]).reshape(len(other), band, BAND_ROWS)
+        agree[before.all(axis=2).any(axis=1)] = -1.0
         agree[(agree < rule.promising) | (100 * low < rule.per_cent * high) | (ids[other] == ids[at])] = -1.0
         if bar := barred.get(int(ids[at])):
             agree[np.isin(ids[other], list(bar))] = -1.0
@@ -186,7 +191,7 @@ def _forest(
         if len(pairs) > few:
             break
     else:
-        return pairs
+        return pairs, True
     worth, parent = np.full(n, -1.0), np.full(n, -1)
     outside, edges = np.ones(n, bool), []
     at = 0
@@ -201,11 +206,11 @@ def _forest(
         at = int(np.argmax(np.where(outside, worth, -2.0)))
         if 0.0 <= worth[at] < 2.0:
             edges.append((int(ids[parent[at]]), int(ids[at])))
-    return edges
+    return edges, False
 
 
 def _candidates(members: DataFrame, failed: DataFrame | None, classes: DataFrame, rule: Similarity, few: int) -> DataFrame:
-    """``a, b, part``: promising pairs of the cells ``key, cell`` in ``members`` (with ``id, comp``)."""
+    """``a, b, part, whole``: promising pairs of the cells ``key, cell`` in ``members`` (with ``id, comp``)."""
     rows = members.join(classes.select("id", "n", "sketch"), "id")
     if failed is None:
         rows = rows.withColumn("barred", F.array().cast("array<long>"))
@@ -219,7 +224,8 @@ def _candidates(members: DataFrame, failed: DataFrame | None, classes: DataFrame
         ids, group = part.column("id").to_numpy(), part.column("comp").to_numpy()
         short = np.frombuffer(b"".join(part.column("sketch").to_pylist()), "<u2").reshape(len(ids), BINS)
         barred = {i: set(b) for i, b in zip(ids.tolist(), part.column("barred").to_pylist()) if b}
-        edges = _forest(ids, group, part.column("n").to_numpy(), short, barred, rule, few)
+        band = part.column("band")[0].as_py()
+        edges, whole = _forest(ids, group, part.column("n").to_numpy(), short, barred, rule, few, band)
         seen: dict[int, int] = {}
         parts = []
         for hub, _ in edges:
@@ -228,12 +234,12 @@ def _candidates(members: DataFrame, failed: DataFrame | None, classes: DataFrame
         return pa.table(
             {
                 "a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64()),
-                "part": pa.array(parts, pa.int64()),
+                "part": pa.array(parts, pa.int64()), "whole": pa.array([whole] * len(edges), pa.bool_()),
             }
         )
 
-    found = rows.groupBy("key", "cell").applyInArrow(search, "a long, b long, part long")
-    return found.groupBy("a", "b").agg(F.min("part").alias("part"))
+    found = rows.groupBy("key", "cell").applyInArrow(search, "a long, b long, part long, whole boolean")
+    return found.groupBy("a", "b").agg(F.min("part").alias("part"), F.min("whole").alias("whole"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, rule: Similarity) -> DataFrame:
@@ -268,22 +274,22 @@ def _cells(members: DataFrame, first: bool) -> DataFrame:
     """
     chunks = F.ceil(F.col("size") / CHUNK).cast("long")
     own = F.pmod(F.xxhash64("id", "key"), chunks)
-    small = members.filter(F.col("size") <= CHUNK).select("key", F.lit(0).cast("long").alias("cell"), "id", "comp")
-    large = members.filter(F.col("size") > CHUNK).select("key", "id", "comp", "pivot", "main", "size", own.alias("own"), chunks.alias("chunks"))
-    mine = large.select("key", F.col("own").alias("cell"), "id", "comp")
+    small = members.filter(F.col("size") <= CHUNK).select("key", F.lit(0).cast("long").alias("cell"), "band", "id", "comp")
+    large = members.filter(F.col("size") > CHUNK).select("key", "band", "id", "comp", "pivot", "main", "size", own.alias("own"), chunks.alias("chunks"))
+    mine = large.select("key", F.col("own").alias("cell"), "band", "id", "comp")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
     if first:
-        extra = large.filter(F.col("id") == F.col("pivot")).select("key", every.alias("cell"), "id", "comp")
+        extra = large.filter(F.col("id") == F.col("pivot")).select("key", every.alias("cell"), "band", "id", "comp")
         return small.unionByName(mine.unionByName(extra).distinct())
     # Cell numbers code (chunk of others, chunk of residual members).
     residual = F.pmod(F.xxhash64("id"), F.col("chunks"))
     rest = F.col("comp") != F.col("main")
-    extra = large.filter(rest).select("key", every.alias("others"), "chunks", residual.alias("with"), "id", "comp").select(
-        "key", (F.col("others") * F.col("chunks") + F.col("with")).alias("cell"), "id", "comp"
+    extra = large.filter(rest).select("key", every.alias("others"), "chunks", residual.alias("with"), "band", "id", "comp").select(
+        "key", (F.col("others") * F.col("chunks") + F.col("with")).alias("cell"), "band", "id", "comp"
     )
     spread_out = large.join(
         large.filter(rest).select("key", residual.alias("with")).distinct(), "key"
-    ).select("key", (F.col("own") * F.col("chunks") + F.col("with")).alias("cell"), "id", "comp")
+    ).select("key", (F.col("own") * F.col("chunks") + F.col("with")).alias("cell"), "band", "id", "comp")
     return small.unionByName(spread_out.unionByName(extra).distinct())
 
 
@@ -326,12 +332,14 @@ def link_components(docs: DataFrame, rule: Similarity, id_col: str = "doc_id", t
         if held:
             open_members = spread(placed, open_buckets, "key", "held", held, by="id")
             cells = _cells(settled(open_members), first) if largest > CHUNK else open_members.withColumn("cell", F.lit(0).cast("long"))
-            pairs = settled(_candidates(cells.select("key", "cell", "id", "comp"), failed, classes, rule, FEW_FIRST if first else FEW))
+            pairs = settled(_candidates(cells.select("key", "cell", "band", "id", "comp"), failed, classes, rule, FEW_FIRST if first else FEW))
         if pairs is None or pairs.isEmpty():
             if not first:
                 break
             first = False
             continue
+        # With all promising pairs of all bands compared there is nothing left to look for.
+        last = not first and pairs.filter("not whole").isEmpty()
         first = False
         checked = settled(_verified(pairs, texts, rule))
         bad = checked.filter("not linked").select("a", "b")
@@ -340,6 +348,8 @@ def link_components(docs: DataFrame, rule: Similarity, id_col: str = "doc_id", t
         new = new.join(labels.select(F.col("id").alias("b"), F.col("comp").alias("of_b")), "b")
         found = roots(new.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
         labels = settled(labels.join(found.withColumnRenamed("u", "comp"), "comp", "left").select("id", F.coalesce("v", "comp").alias("comp")))
+        if last:
+            break
     of_class = settled(
         classes.select("digest", "id", "size").join(labels, "id", "left").select("digest", "size", F.coalesce("comp", "id").alias("comp"))
     )
