@@ -18,6 +18,8 @@ from ..functions import expressions as X
 
 log = logging.getLogger(__name__)
 
+COST_ROUNDS, ROUNDS, TREES = 150, 100, 100  # as in the surveyed configurations; onboarding prices take ROUNDS
+
 
 def hash_split(df: DataFrame, key: str, train_percent: int = 70) -> tuple[DataFrame, DataFrame]:
     train = X.hashed_percent(key) < train_percent
@@ -32,7 +34,7 @@ def assemble(numeric: Sequence[str], categories: Sequence[str] = ()) -> list:
 
 
 def fit_cost_model(
-    df: DataFrame, numeric: Sequence[str], categories: Sequence[str], target: str, rounds: int = 10, depth: int = 4
+    df: DataFrame, numeric: Sequence[str], categories: Sequence[str], target: str, rounds: int = COST_ROUNDS, depth: int = 4
 ) -> PipelineModel:
     """Boosted trees on absolute error; bins follow the largest category column."""
     sizes = df.agg(*[F.countDistinct(c).alias(c) for c in categories]).first() if categories else ()
@@ -42,13 +44,13 @@ def fit_cost_model(
     return Pipeline(stages=[*assemble(numeric, categories), trees]).fit(df)
 
 
-def fit_binary(df: DataFrame, numeric: Sequence[str], target: str, rounds: int = 10, depth: int = 3) -> PipelineModel:
+def fit_binary(df: DataFrame, numeric: Sequence[str], target: str, rounds: int = ROUNDS, depth: int = 3) -> PipelineModel:
     trees = GBTClassifier(labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=42)
     return Pipeline(stages=[*assemble(numeric), trees]).fit(df)
 
 
 def fit_multiclass(
-    df: DataFrame, numeric: Sequence[str], target: str, trees: int = 20, depth: int = 5
+    df: DataFrame, numeric: Sequence[str], target: str, trees: int = TREES, depth: int = 5
 ) -> PipelineModel:
     """Random forest over a string target; class order is alphabetical."""
     index = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc")

@@ -203,8 +203,11 @@ def cost_model(spark, sf_dir):
     train, test = S.hash_split(table, C.MEMBER)
     base = train.agg(F.avg("annualized_cost")).scalar()
     rows = None
-    for name, numeric in (("onboarding", ONBOARDING), ("vice_champion", VICE), ("champion", CHAMPION)):
-        model = S.fit_cost_model(train, numeric, CATEGORIES, "annualized_cost")
+    variants = (
+        ("onboarding", ONBOARDING, S.ROUNDS), ("vice_champion", VICE, S.COST_ROUNDS), ("champion", CHAMPION, S.COST_ROUNDS)
+    )
+    for name, numeric, rounds in variants:
+        model = S.fit_cost_model(train, numeric, CATEGORIES, "annualized_cost", rounds)
         part = model.transform(test).agg(
             F.lit(name).alias("variant"),
             F.count(F.lit(1)).alias("n_test"),
@@ -220,8 +223,8 @@ def batch_score(spark, sf_dir):
     """Every member priced by the champion and the vice champion."""
     table = stored(spark, featured_members(spark, sf_dir), "featured-members")
     train, _ = S.hash_split(table, C.MEMBER)
-    champion = S.fit_cost_model(train, CHAMPION, CATEGORIES, "annualized_cost", rounds=5)
-    challenger = S.fit_cost_model(train, VICE, CATEGORIES, "annualized_cost", rounds=5)
+    champion = S.fit_cost_model(train, CHAMPION, CATEGORIES, "annualized_cost")
+    challenger = S.fit_cost_model(train, VICE, CATEGORIES, "annualized_cost")
     return S.batch_score(table, champion, challenger).select(
         C.MEMBER, "champion_prediction", "challenger_prediction"
     )

@@ -1,5 +1,7 @@
 """Invariants of the model operators."""
 
+import inspect
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -9,6 +11,7 @@ from adjudica.functions import decisions as D
 from adjudica.models import forest as I
 from adjudica.models import supervised as S
 from adjudica.models import tiers as T
+from adjudica.plans import models as Q
 
 
 @pytest.fixture(scope="module")
@@ -137,3 +140,21 @@ def test_hash_split_is_disjoint_and_stable(labelled):
     assert train.count() + test.count() == 400
     assert train.join(test, "id").count() == 0
     assert train.count() / 400 == pytest.approx(0.7, abs=0.07)
+
+
+def test_training_is_not_cut(labelled, monkeypatch):
+    default = lambda f, name: inspect.signature(f).parameters[name].default
+    assert default(S.fit_cost_model, "rounds") == 150 and default(S.fit_binary, "rounds") == 100
+    assert S.fit_multiclass(labelled, ["x", "z"], "label_name").stages[-1].getNumTrees == 100
+    asked = []
+    fit = S.fit_cost_model
+
+    def recorded(df, numeric, categories, target, rounds=default(fit, "rounds")):
+        asked.append(rounds)
+        return fit(df, ["x"], [], "cost", rounds=1)
+
+    monkeypatch.setattr(S, "fit_cost_model", recorded)
+    monkeypatch.setattr(Q, "featured_members", lambda spark, sf_dir: labelled.withColumn("patient_key", F.col("id")).withColumn("annualized_cost", F.col("cost")))
+    Q.batch_score(labelled.sparkSession, "")
+    Q.cost_model(labelled.sparkSession, "")
+    assert asked == [150, 150, 100, 150, 150]
