@@ -371,6 +371,20 @@ def new_member_anti(spark, sf_dir):
     return found.select(C.MEMBER, "age", "gender", "classname")
 
 
+@query(
+    "new_members",
+    using(
+        "header policy",
+        """SELECT patient_key, age, gender, classname FROM policy p
+        WHERE NOT EXISTS (SELECT 1 FROM header h WHERE h.patient_key = p.patient_key)""",
+    ),
+)
+def new_members(spark, sf_dir):
+    """Members without any claim at all, the onboarding path."""
+    found = C.new_members(M.policy(spark, sf_dir), M.claim_header(spark, sf_dir))
+    return found.select(C.MEMBER, "age", "gender", "classname")
+
+
 STAGE_CTE = (
     ", flags AS (SELECT claim_request_bundle_id, "
     + ", ".join(f"BOOL_OR({condition_sql(n)}) AS c{i}" for i, n in enumerate(M.CONDITIONS))

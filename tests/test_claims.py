@@ -62,6 +62,17 @@ def test_new_members_with_and_without_snapshot(spark, header):
     assert {r[0] for r in C.new_members(policies, header, before="2023-01-01").collect()} == {10, 20, 99}
 
 
+def test_new_members_query_reads_all_claims(spark, header, monkeypatch):
+    from adjudica import plans
+    from adjudica.sources import claims_model as M
+
+    policies = spark.createDataFrame([(10, 30, "F", "A"), (30, 40, "M", "A"), (99, 50, "F", "B")], "patient_key bigint, age int, gender string, classname string")
+    monkeypatch.setattr(M, "policy", lambda spark, sf_dir: policies)
+    monkeypatch.setattr(M, "claim_header", lambda spark, sf_dir: header)
+    # All claims of 10 and 30 lie after the snapshot day of new_member_anti.
+    assert {r[0] for r in plans.all_queries()["new_members"](spark, "").collect()} == {99}
+
+
 def test_flatten_multiplicities_equal_the_real_fanout(header, items, team):
     flat = header.join(items, C.CLAIM, "left").join(team, C.CLAIM, "left")
     for kind, column in (("diagnosis", "principal_diagnosis_code"), ("practitioner", "practitioner_license")):
