@@ -65,6 +65,27 @@ def conditions_risk(
     return total
 
 
+def learned_weights(
+    header: DataFrame, items: DataFrame, members: DataFrame, definitions: Mapping[str, Sequence[str]]
+) -> Column:
+    """Mean weight per condition as a map, learnt from the claims of the given members; weights have 2 decimals.
+
+    It is a scalar subquery, so nothing is joined or collected.
+    """
+    learned = chronic_weights(train_claims(header, members), items, definitions)
+    weight = (F.round("cost_weight", 2) + F.round("freq_weight", 2)) / 2
+    return learned.agg(F.map_from_entries(F.collect_list(F.struct("condition", weight.alias("weight"))))).scalar()
+
+
+def learned_risk(definitions: Mapping[str, Sequence[str]], weights: Column) -> Column:
+    """Sum of learnt weights from the 0/1 columns; a condition without a weight counts 1."""
+    total = F.lit(0.0)
+    for name in definitions:
+        weight = F.coalesce(F.try_element_at(weights, F.lit(name)), F.lit(1.0))
+        total = total + F.coalesce(F.col(condition_column(name)), F.lit(0)) * weight
+    return total
+
+
 def known_diagnoses(items: DataFrame, dimension: DataFrame, keep: Sequence[str] = (CLAIM,)) -> DataFrame:
     """Items with the dimension's code: codes missing from the dimension become null."""
     codes = dimension.select(F.col(DIAGNOSIS).alias("code")).distinct()

@@ -13,8 +13,8 @@ from ..registry import query
 from ..sources import claims_model as M
 from .aggregates import MEMBER_LINES, member_lines
 from .common import r
-from .joins import COST_WEIGHTS, FLAT, FREQ_WEIGHTS, MEMBER_CONDITIONS, RISK_SQL, STAGE_CTE
-from .joins import FINANCIAL_CTE, TIER_CTE, financial_table, plan_limits, provider_master
+from .joins import COST_WEIGHTS, FLAT, FREQ_WEIGHTS, LEARNED_CTE, LEARNED_SQL, MEMBER_CONDITIONS, RISK_SQL, STAGE_CTE
+from .joins import FINANCIAL_CTE, TIER_CTE, financial_table, learned_risk, plan_limits, provider_master
 from .views import using
 
 WEIGHT_ROWS = ", ".join(
@@ -75,6 +75,33 @@ def data_driven_risk(spark, sf_dir):
     return flags.select(C.MEMBER, r(risk).alias("data_driven_risk_score"))
 
 
+@query(
+    "age_x_chronic_learned",
+    using(
+        "header item patient",
+        LEARNED_CTE
+        + f""" SELECT patient_key, ROUND(age * ({LEARNED_SQL}), 6) AS age_x_chronic_score FROM patient
+        LEFT JOIN members USING (patient_key)""",
+    ),
+)
+def age_x_chronic_learned(spark, sf_dir):
+    """Every condition here is listed once at most, so the list's score is that of the flags."""
+    score = F.col("age") * learned_risk(spark, sf_dir)
+    return member_conditions(spark, sf_dir).select(C.MEMBER, r(score).alias("age_x_chronic_score"))
+
+
+@query(
+    "data_driven_risk_learned",
+    using(
+        "header item",
+        LEARNED_CTE + f" SELECT patient_key, ROUND({LEARNED_SQL}, 6) AS data_driven_risk_score FROM members",
+    ),
+)
+def data_driven_risk_learned(spark, sf_dir):
+    flags = C.member_condition_flags(M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir), M.CONDITIONS)
+    return flags.select(C.MEMBER, r(learned_risk(spark, sf_dir)).alias("data_driven_risk_score"))
+
+
 def _weighted(spark, sf_dir, grain):
     return H.weighted_claims(
         M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir), M.careteam(spark, sf_dir), grain

@@ -399,29 +399,47 @@ RISK_SQL = " + ".join(
     f"COALESCE(c{i}, 0) * {X.condition_weight(n, COST_WEIGHTS, FREQ_WEIGHTS)}::DOUBLE"
     for i, n in enumerate(M.CONDITIONS)
 )
+LEARNED_CTE = (
+    STAGE_CTE
+    + f""", totals AS (SELECT patient_key, SUM(payer_share_amount) AS c FROM header WHERE {TRAIN} GROUP BY 1),
+    trained AS (SELECT t.c, flags.* FROM header h JOIN totals t ON h.patient_key = t.patient_key
+    LEFT JOIN flags ON h.claim_request_bundle_id = flags.claim_request_bundle_id),
+    learned AS (SELECT """
+    + ", ".join(
+        f"ROUND(COALESCE(GREATEST(1.0, AVG(c) FILTER (WHERE c{i}) / AVG(c)), 1.0), 2) AS w{i}"
+        for i in range(len(M.CONDITIONS))
+    )
+    + " FROM trained)"
+)
+LEARNED_SQL = " + ".join(f"COALESCE(c{i}, 0) * (SELECT w{i} FROM learned)::DOUBLE" for i in range(len(M.CONDITIONS)))
 OOP_SQL = """CASE WHEN premium = 0 THEN CASE WHEN COALESCE(cost, 0) > 0 THEN 2.0 ELSE 0.0 END
     ELSE LEAST(GREATEST(COALESCE(cost, 0) / premium, 0.0), 2.0) END"""
 
 
-@query(
-    "feature_stage",
-    using(
+def learned_risk(spark, sf_dir):
+    """The risk score with the weights learnt from all claims of the training members."""
+    header, items = M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir)
+    members = C.split_members(M.patient(spark, sf_dir)).filter("is_train")
+    return C.learned_risk(M.CONDITIONS, C.learned_weights(header, items, members, M.CONDITIONS))
+
+
+def _stage_sql(cte: str, risk: str) -> str:
+    return using(
         "header item policy",
-        STAGE_CTE
-        + f""" SELECT patient_key, ROUND({RISK_SQL}, 6) AS data_driven_risk_score,
-        ROUND(age * ({RISK_SQL}), 6) AS age_x_chronic_score, ROUND(COALESCE(denial, 0), 6) AS pre_auth_denial_rate,
+        cte
+        + f""" SELECT patient_key, ROUND({risk}, 6) AS data_driven_risk_score,
+        ROUND(age * ({risk}), 6) AS age_x_chronic_score, ROUND(COALESCE(denial, 0), 6) AS pre_auth_denial_rate,
         ROUND({OOP_SQL}, 6) AS out_of_pocket_ratio FROM policy LEFT JOIN members USING (patient_key)""",
-    ),
-)
-def feature_stage(spark, sf_dir):
-    """Member features composed on one plan, without files between the steps."""
+    )
+
+
+def _stage(spark, sf_dir, risk):
     header = M.claim_header(spark, sf_dir)
     flags = C.member_condition_flags(header, M.claim_item(spark, sf_dir), M.CONDITIONS)
     totals = header.groupBy(C.MEMBER).agg(
         F.sum(C.AMOUNT).alias("_cost"), X.share(F.col("pre_auth_outcome") == "rejected").alias("_denial")
     )
     joined = M.policy(spark, sf_dir).join(flags, C.MEMBER, "left").join(totals, C.MEMBER, "left")
-    risk = C.conditions_risk(M.CONDITIONS, COST_WEIGHTS, FREQ_WEIGHTS)
     return joined.select(
         C.MEMBER,
         r(risk).alias("data_driven_risk_score"),
@@ -431,6 +449,18 @@ def feature_stage(spark, sf_dir):
     )
 
 
+@query("feature_stage", _stage_sql(STAGE_CTE, RISK_SQL))
+def feature_stage(spark, sf_dir):
+    """Member features composed on one plan, without files between the steps; weights as given in the SQL."""
+    return _stage(spark, sf_dir, C.conditions_risk(M.CONDITIONS, COST_WEIGHTS, FREQ_WEIGHTS))
+
+
+@query("feature_stage_learned", _stage_sql(LEARNED_CTE, LEARNED_SQL))
+def feature_stage_learned(spark, sf_dir):
+    """The same with learnt weights."""
+    return _stage(spark, sf_dir, learned_risk(spark, sf_dir))
+
+
 @query(
     "financial_reject_label",
     using(

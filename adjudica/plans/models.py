@@ -19,7 +19,8 @@ from ..sources import claims_model as M
 from .aggregates import HIGH_COST, member_lines
 from .common import r, stored
 from .features import medical_table, plan_limits, provider_features
-from .joins import COST_WEIGHTS, FREQ_WEIGHTS, RISK_SQL, STAGE_CTE, financial_table, with_claim_tier
+from .joins import COST_WEIGHTS, FREQ_WEIGHTS, LEARNED_CTE, LEARNED_SQL, RISK_SQL, STAGE_CTE
+from .joins import financial_table, learned_risk, with_claim_tier
 from .rules import labelled_claims
 from .views import using
 from .windows import PROVIDER_FEATURES, churn_table
@@ -110,13 +111,13 @@ CHAMPION = [*VICE, "avg_provider_risk_score", "hospital_visit_ratio"]
 CATEGORIES = ["gender", "city", "classname"]
 
 
-def featured_members(spark, sf_dir):
-    """Members with every pricing feature and their annualized cost."""
+def featured_members(spark, sf_dir, risk=None):
+    """Members with every pricing feature and their annualized cost; the risk has learnt weights unless given."""
     header, items = M.claim_header(spark, sf_dir), M.claim_item(spark, sf_dir)
     team = M.careteam(spark, sf_dir)
     weighted = H.weighted_claims(header, items, team, "claim")
     features = H.member_item_features(header, items, M.CONDITIONS, M.MEDICATION, M.IMAGING)
-    risk = C.conditions_risk(M.CONDITIONS, COST_WEIGHTS, FREQ_WEIGHTS)
+    risk = learned_risk(spark, sf_dir) if risk is None else risk
     people = team.join(header.select(C.CLAIM, C.MEMBER), C.CLAIM).groupBy(C.MEMBER).agg(
         F.countDistinct("practice_desc").alias("care_team_complexity")
     )
@@ -186,16 +187,26 @@ ROUNDED = {"cost_trend_slope": 4, "avg_provider_risk_score": 4}
 WHOLE = ["age", "care_team_complexity", "medical_necessity_denial_count"]
 
 
-@query("pricing_features", PRICING_SQL)
-def pricing_features(spark, sf_dir):
-    """The featured member table that the cost models read."""
-    return featured_members(spark, sf_dir).select(
+def _pricing(table):
+    return table.select(
         C.MEMBER, *CATEGORIES, *WHOLE,
         *[r(c, ROUNDED.get(c, 6)).alias(c) for c in dict.fromkeys([*ONBOARDING, *CHAMPION]) if c not in WHOLE],
         r("annualized_cost", 2).alias("annualized_cost"),
     )
 
 
+@query("pricing_features", PRICING_SQL)
+def pricing_features(spark, sf_dir):
+    """The featured member table with the weights given in the SQL."""
+    return _pricing(featured_members(spark, sf_dir, C.conditions_risk(M.CONDITIONS, COST_WEIGHTS, FREQ_WEIGHTS)))
+
+
+@query("pricing_features_learned", PRICING_SQL.replace(STAGE_CTE, LEARNED_CTE).replace(RISK_SQL, LEARNED_SQL))
+def pricing_features_learned(spark, sf_dir):
+    """The featured member table that the cost models read, with learnt weights."""
+    return _pricing(featured_members(spark, sf_dir))
+
+
 @query("cost_model")
 def cost_model(spark, sf_dir):
     """Test error of the three cost models beside that of the training mean."""

@@ -46,6 +46,20 @@ def test_chronic_weights(header, items):
     assert got["Heart Disease"] == 1.0
 
 
+def test_risk_follows_the_corpus(spark, header, items):
+    members = spark.createDataFrame([(10,), (20,), (30,)], "patient_key bigint")
+    flags = C.member_condition_flags(header, items, DEFINITIONS)
+
+    def scores(claims):
+        risk = C.learned_risk(DEFINITIONS, C.learned_weights(claims, items, members, DEFINITIONS))
+        return {r[0]: r[1] for r in flags.select(C.MEMBER, risk.alias("risk")).collect()}
+
+    # Diabetes and hypertension: 400 over (400 + 400 + 50) / 3; a dearer member 20 lowers both to the floor.
+    assert scores(header) == pytest.approx({10: 2 * 1.41, 20: 0.0, 30: 0.0})
+    dearer = header.withColumn(C.AMOUNT, F.when(F.col(C.MEMBER) == 20, 900.0).otherwise(F.col(C.AMOUNT)))
+    assert scores(dearer) == pytest.approx({10: 2.0, 20: 0.0, 30: 0.0})
+
+
 def test_claim_diagnosis_drops_unknown_codes(spark, header, items):
     dimension = spark.createDataFrame([("E11.9",), ("I10",), ("E11.0",)], "principal_diagnosis_code string")
     doubled = items.unionByName(items.filter("claim_request_bundle_id = 2"))
