@@ -41,12 +41,12 @@ STEP = np.uint64(0x9E3779B97F4A7C15)  # odd constant that spreads counters (fixe
 class Similarity:
     """Words per shingle, the similarity in per cent, and the least sketch agreement worth a comparison.
 
-    At 128 bins a pair of similarity 0.8 agrees in under 0.625 with probability about 1e-6.
+    At 128 bins a pair of similarity 0.8 agrees in under 0.6 with probability 8e-8.
     """
 
     words: int = 5
     per_cent: int = 80
-    promising: float = 0.625
+    promising: float = 0.6
 
     def linked(self, left: np.ndarray, right: np.ndarray) -> bool:
         shared = len(np.intersect1d(left, right, assume_unique=True))
@@ -159,12 +159,12 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
 
 
 def _forest(
-    ids: np.ndarray, group: np.ndarray, sizes: np.ndarray, short: np.ndarray, barred: dict[int, set[int]], rule: Similarity, few: int, band: int
+    ids: np.ndarray, group: np.ndarray, sizes: np.ndarray, short: np.ndarray, keys: np.ndarray, barred: dict[int, set[int]], rule: Similarity, few: int, band: int
 ) -> tuple[list[tuple[int, int]], bool]:
     """Promising pairs ``(hub, leaf)`` between groups, and whether these are all of them.
 
     If there are more than ``few`` it is a forest of them. A pair belongs to the first band
-    in which its sketches agree, so that other buckets leave it out.
+    whose keys agree, which is the first bucket it shares, so that other buckets leave it out.
 
     The forest connects all that promising pairs can connect. It is grown from the first member: each step adds the outside member with the best agreement.
     Agreement above 0.9 counts as 0.9, so that early members become hubs. Members of one
@@ -176,8 +176,7 @@ def _forest(
         """Agreement of member ``at`` with others, -1 where they cannot be linked or were compared."""
         agree = (short[other] == short[at]).mean(axis=1)
         low, high = np.minimum(sizes[other], sizes[at]), np.maximum(sizes[other], sizes[at])
-        before = (short[other, : band * BAND_ROWS] == short[at, : band * BAND_ROWS]).reshape(len(other), band, BAND_ROWS)
-        agree[before.all(axis=2).any(axis=1)] = -1.0
+        agree[(keys[other, :band] == keys[at, :band]).any(axis=1)] = -1.0
         agree[(agree < rule.promising) | (100 * low < rule.per_cent * high) | (ids[other] == ids[at])] = -1.0
         if bar := barred.get(int(ids[at])):
             agree[np.isin(ids[other], list(bar))] = -1.0
@@ -211,7 +210,7 @@ def _forest(
 
 def _candidates(members: DataFrame, failed: DataFrame | None, classes: DataFrame, rule: Similarity, few: int) -> DataFrame:
     """``a, b, part, whole``: promising pairs of the cells ``key, cell`` in ``members`` (with ``id, comp``)."""
-    rows = members.join(classes.select("id", "n", "sketch"), "id")
+    rows = members.join(classes.select("id", "n", "sketch", "bands"), "id")
     if failed is None:
         rows = rows.withColumn("barred", F.array().cast("array<long>"))
     else:
@@ -223,9 +222,10 @@ def _candidates(members: DataFrame, failed: DataFrame | None, classes: DataFrame
         part = part.sort_by([("id", "ascending")])
         ids, group = part.column("id").to_numpy(), part.column("comp").to_numpy()
         short = np.frombuffer(b"".join(part.column("sketch").to_pylist()), "<u2").reshape(len(ids), BINS)
+        keys = np.frombuffer(b"".join(part.column("bands").to_pylist()), np.int64).reshape(len(ids), -1)
         barred = {i: set(b) for i, b in zip(ids.tolist(), part.column("barred").to_pylist()) if b}
         band = part.column("band")[0].as_py()
-        edges, whole = _forest(ids, group, part.column("n").to_numpy(), short, barred, rule, few, band)
+        edges, whole = _forest(ids, group, part.column("n").to_numpy(), short, keys, barred, rule, few, band)
         seen: dict[int, int] = {}
         parts = []
         for hub, _ in edges:

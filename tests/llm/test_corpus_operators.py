@@ -155,6 +155,26 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, chunk, few):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.parametrize("same, collide, band", [(128, 0, 0), (120, 1, 1), (78, 0, 0)])
+def test_pairs_meet_in_the_first_band_of_equal_keys(spark, same, collide, band):
+    """``same`` coordinates agree; in band 0 ``collide`` of those of unequal keys agree in 16 bits too."""
+    rng = np.random.default_rng(5)
+    short = np.repeat(rng.integers(0, 1 << 16, (1, near.BINS), dtype=np.uint16), 2, 0)
+    short[1, same:] ^= 1
+    keys = np.repeat(rng.integers(0, 1 << 62, (1, near.BINS // near.BAND_ROWS), dtype=np.int64), 2, 0)
+    keys[1, :collide] += 1
+    keys[1, -(-same // near.BAND_ROWS) :] += 1
+    classes = spark.createDataFrame(
+        [(i, 10, bytearray(short[i].tobytes()), bytearray(keys[i].tobytes())) for i in range(2)], "id long, n long, sketch binary, bands binary"
+    )
+    members = spark.createDataFrame([(7, 0, band, i, i) for i in range(2)], "key long, cell long, band int, id long, comp long")
+    got = near._candidates(members, None, classes, near.Similarity(), near.FEW)
+    assert [(r["a"], r["b"]) for r in got.collect()] == [(0, 1)]
+    if not collide:  # and in no later band
+        later = near._candidates(members.withColumn("band", F.lit(1)), None, classes, near.Similarity(), near.FEW)
+        assert later.isEmpty()
+
+
 def test_near_copies_of_odd_tables(spark):
     df = table(spark, [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f")])
     got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in near.link_components(df, near.Similarity()).collect()), key=str)
