@@ -25,6 +25,7 @@ from .base import id_and_text, text_slices, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
+BLOCK = 512  # windows scored at once
 TRAIN_DOCS, TRAIN_WINDOWS = 20_000, 2_000  # the sample to learn from, at most
 MARGIN = 2.0  # log-odds against no span that an added span must have
 
@@ -205,15 +206,16 @@ class Tagger:
     def best_tags(self, scores: np.ndarray) -> np.ndarray:
         """Viterbi over one stretch of scores (place, tag)."""
         move = self.weights["move"]
-        best, links = scores[0] + self.weights["first"], []
-        for row in scores[1:]:
+        best, links = scores[0] + self.weights["first"], np.zeros(scores.shape, np.uint8)
+        for at in range(1, len(scores)):
             options = best[:, None] + move
-            links.append(options.argmax(0))
-            best = options.max(0) + row
-        out = [int(best.argmax())]
-        for link in reversed(links):
-            out.append(int(link[out[-1]]))
-        return np.array(out[::-1])
+            links[at] = options.argmax(0)
+            best = options.max(0) + scores[at]
+        out = np.empty(len(scores), np.int64)
+        out[-1] = best.argmax()
+        for at in range(len(scores) - 1, 0, -1):
+            out[at - 1] = links[at, out[at]]
+        return out
 
 
 def train(windows: np.ndarray, tags: np.ndarray, steps: int = 700, batch: int = 24, rate: float = 0.02) -> Tagger | None:
@@ -302,37 +304,35 @@ class Finder:
             return out
         places = [(k, start) for k, text in enumerate(texts) for start in window_starts(text)]
         classes = {k: char_classes(texts[k]) for k in {k for k, _ in places}}
-        at = 0
-        while at < len(places):
-            stop = min(at + 512, len(places))
-            while stop < len(places) and places[stop][0] == places[stop - 1][0] and places[stop][1] - places[stop - 1][1] < WINDOW:
-                stop += 1  # never cut a stretch
-                if stop - at >= 4096:
-                    break
-            part = places[at:stop]
+        ends = [i for i in range(1, len(places) + 1) if i == len(places) or places[i][0] != places[i - 1][0] or places[i][1] - places[i - 1][1] >= WINDOW]
+        stretches = iter(ends)
+        first = end = 0
+        for at in range(0, len(places), BLOCK):
+            part = places[at : at + BLOCK]
             scores = self.model.emissions(np.array([_classes_at(classes[k], s) for k, s in part]))
-            first = 0
-            for i in range(1, len(part) + 1):
-                if i == len(part) or part[i][0] != part[i - 1][0] or part[i][1] - part[i - 1][1] >= WINDOW:
-                    k, start = part[first]
-                    end = min(part[i - 1][1] + WINDOW, len(texts[k]))
-                    merged = self._merged([s - start for _, s in part[first:i]], scores[first:i], end - start)
+            i = at
+            while i < at + len(part):
+                if i == end:  # a stretch begins; it may go on over any number of blocks
+                    first, end = i, next(stretches)
+                    k, start = places[first]
+                    size = min(places[end - 1][1] + WINDOW, len(texts[k])) - start
+                    merged, depth = np.zeros((size, TAGS)), np.full(size, -1, np.int8)
+                stop = min(end, at + len(part))
+                self._merge(merged, depth, [s - start for _, s in places[i:stop]], scores[i - at : stop - at])
+                if stop == end:
                     out[k] += self._spans(texts[k], start, merged, base[k])
-                    first = i
-            at = stop
+                i = stop
         return out
 
     @staticmethod
-    def _merged(starts: list[int], scores: np.ndarray, size: int) -> np.ndarray:
-        """One score row per place, from the window in which it is farthest from an end."""
-        out, depth = np.zeros((size, TAGS)), np.full(size, -1)
+    def _merge(out: np.ndarray, depth: np.ndarray, starts: list[int], scores: np.ndarray) -> None:
+        """Puts windows into ``out``, one score row per place from the window in which it is farthest from an end."""
         own = np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])
         for start, rows in zip(starts, scores):
-            n = min(WINDOW, size - start)
+            n = min(WINDOW, len(out) - start)
             better = own[:n] > depth[start : start + n]
             out[start : start + n][better] = rows[:n][better]
             depth[start : start + n][better] = own[:n][better]
-        return out
 
     def _spans(self, text: str, start: int, scores: np.ndarray, base: list[Span]) -> Iterator[Span]:
         tags, move = self.model.best_tags(scores), self.model.weights["move"]

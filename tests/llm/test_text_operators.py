@@ -178,3 +178,13 @@ def test_network_learns_forms_that_rules_miss():
     text = "so on the word (943) 555-3824 ended and it was"
     (base, added), = finder.find([text])
     assert base == [] and [text[a:b] for _, a, b in added] == ["(943) 555-3824"]
+
+
+def test_a_long_stretch_is_decoded_once(monkeypatch):
+    text = "17, 4 apples; 2026-01-05 " * 6000  # over 4,096 windows with digits, one stretch
+    sizes, best = [], pii.Tagger.best_tags
+    monkeypatch.setattr(pii.Tagger, "best_tags", lambda self, scores: (sizes.append(len(scores)), best(self, scores))[1])
+    finder = pii.Finder(pii.Tagger.fresh())
+    alone = finder.find([text])
+    assert sizes == [len(text)]
+    assert finder.find(["1 a " * 5000, text])[1:] == alone
