@@ -15,13 +15,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from .base import id_and_text, text_slices, texts_of
+from .base import id_and_text, settled, text_slices, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
@@ -364,25 +365,51 @@ class Finder:
 # --- the jobs ----------------------------------------------------------------------------
 
 
+def sample(plain: list[Row], marked: list[list[Row]], most: int) -> list[Row]:
+    """At most ``most`` rows: a quarter plain, the rest from the kinds in turn; what one side lacks the other gets.
+
+    A row may stand under several kinds and is taken once.
+    """
+    kept: dict[Row, None] = {}
+    for turn in zip_longest(*marked):
+        kept |= dict.fromkeys(row for row in turn if row is not None)
+    n_plain = min(len(plain), max(most // 4, most - len(kept)))
+    return sorted([*plain[:n_plain], *list(kept)[: most - n_plain]])
+
+
 def learn(
     docs: DataFrame, most_docs: int = TRAIN_DOCS, most_windows: int = TRAIN_WINDOWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> Tagger | None:
-    """A tagger from at most ``most_windows`` labelled windows of at most ``most_docs`` documents (least id hash)."""
+    """A tagger from at most ``most_windows`` labelled windows of at most ``most_docs`` documents (least id hash).
+
+    Windows are taken by hash for each kind and for those without a span, see :func:`sample`.
+    """
     source = id_and_text(docs, id_col, text_col)
     chosen = source.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            ids, chars, tags = [], [], []
+            ids, places, chars, tags, kinds = [], [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
-                for c, t in examples(text, doc_id):
+                for place, (c, t) in enumerate(examples(text, doc_id)):
                     ids.append(doc_id)
+                    places.append(place)
                     chars.append(c.astype(np.uint8).tobytes())
                     tags.append(t.astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(chars, pa.binary()), pa.array(tags, pa.binary())], ["doc_id", "chars", "tags"])
+                    kinds.append(sum(1 << int(k) for k in np.unique((t[t > 0] - 1) // 2)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(places, pa.int64()), pa.array(chars, pa.binary()), pa.array(tags, pa.binary()), pa.array(kinds, pa.int64())],
+                ["doc_id", "place", "chars", "tags", "kinds"],
+            )
+
+    made = source.join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_id long, place long, chars binary, tags binary, kinds long")
+    made = settled(made.withColumn("hash", F.xxhash64("chars", "doc_id")))
+    order = ["hash", "chars", "tags", "doc_id", "place"]
+
+    def least(rows: DataFrame) -> list[Row]:
+        return rows.select(*order).orderBy(*order).limit(most_windows).collect()
 
-    made = source.join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_id long, chars binary, tags binary")
-    rows = made.orderBy(F.xxhash64("chars", "doc_id"), "chars", "tags").limit(most_windows).collect()
+    rows = sample(least(made.filter("kinds = 0")), [least(made.filter(F.col("kinds").bitwiseAND(1 << k) > 0)) for k in range(len(KINDS))], most_windows)
     chars, tags = (np.array([np.frombuffer(bytes(r[c]), np.uint8) for r in rows]).reshape(len(rows), WINDOW).astype(np.int64) for c in ("chars", "tags"))
     return train(chars, tags)
 

@@ -188,3 +188,20 @@ def test_a_long_stretch_is_decoded_once(monkeypatch):
     alone = finder.find([text])
     assert sizes == [len(text)]
     assert finder.find(["1 a " * 5000, text])[1:] == alone
+
+
+def test_rare_kinds_are_in_the_sample(spark, monkeypatch):
+    rows = [(i, f"{i} {i * 7} {i * 13}") for i in range(3000)] + [(9000, "write to ann.lee@example.org"), (9001, "call +1 (202) 555-0143 now")]
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda windows, tags: seen.append(tags))
+    pii.learn(spark.createDataFrame(rows, "doc_id long, text string"), most_windows=40)
+    (tags,) = seen
+    assert len(tags) == 40
+    assert {1, 7} <= set(np.unique(tags).tolist())  # an e-mail and a phone number begin
+
+
+def test_sample_fills_its_bound():
+    plain, mails, cards = ([(n, k) for k in range(50)] for n in "abc")
+    got = pii.sample(plain, [mails, [], cards, mails[:5]], 40)
+    assert [sum(r[0] == n for r in got) for n in "abc"] == [10, 15, 15]
+    assert len(pii.sample(plain, [mails[:3]], 40)) == 40 and len(pii.sample(plain[:2], [mails, cards], 40)) == 40
