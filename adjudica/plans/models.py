@@ -65,11 +65,14 @@ def isolation_forest_patients(spark, sf_dir):
 
 @query("score_new_providers")
 def score_new_providers(spark, sf_dir):
-    """Providers with odd keys scored by a forest that only saw the even ones."""
+    """Every provider scored by a forest that has not seen it: two folds by key hash, each fitted on the other."""
     features = stored_provider_features(spark, sf_dir)
-    market = features.filter(F.col(C.PROVIDER) % 2 == 0)
-    forest = I.fit_forest(market, C.PROVIDER, PROVIDER_FEATURES, 0.05)
-    return I.forest_scores(features.filter(F.col(C.PROVIDER) % 2 == 1), forest)
+    first = F.coalesce(X.hashed_percent(C.PROVIDER) < 50, F.lit(False))
+    parts = [
+        I.forest_scores(features.filter(fold), I.fit_forest(features.filter(~fold), C.PROVIDER, PROVIDER_FEATURES, 0.05))
+        for fold in (first, ~first)
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 TIER_FEATURES = ["avg_cost_per_claim", "claim_count", "provider_fraud_score"]

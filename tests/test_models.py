@@ -158,3 +158,14 @@ def test_training_is_not_cut(labelled, monkeypatch):
     Q.batch_score(labelled.sparkSession, "")
     Q.cost_model(labelled.sparkSession, "")
     assert asked == [150, 150, 100, 150, 150]
+
+
+def test_every_new_provider_is_scored_by_a_forest_that_has_not_seen_it(spark, monkeypatch):
+    rows = [(k, *[float((k or 0) * (j + 3) % 11) for j in range(len(Q.PROVIDER_FEATURES))]) for k in [None, *range(1, 60)]]
+    table = spark.createDataFrame(rows, "provider_license_key bigint, " + ", ".join(f"{c} double" for c in Q.PROVIDER_FEATURES))
+    seen, fit = [], I.fit_forest
+    monkeypatch.setattr(Q, "stored_provider_features", lambda spark, sf_dir: table)
+    monkeypatch.setattr(I, "fit_forest", lambda df, *rest: (seen.append({r[0] for r in df.select("provider_license_key").collect()}), fit(df, *rest))[1])
+    got = [r[0] for r in Q.score_new_providers(spark, "").select("provider_license_key").collect()]
+    assert sorted(got, key=str) == sorted([r[0] for r in rows], key=str)
+    assert len(seen) == 2 and not seen[0] & seen[1] and seen[0] | seen[1] == set(got)
