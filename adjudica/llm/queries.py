@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from . import pii
 from .base import table
+from .bestfit import pack_best_fit
 from .bpe import decode_documents, encode_documents
 from .counts import count_tokens
 from .exact import exact_duplicates
 from .near import Similarity, link_components
 from .packing import pack_documents
 from .quality import learn, score_documents
+from .ranking import rank_documents
 from .suffixes import remove_repeats
 from .topk import top_inner_products
 from .warc import archive_round_trip
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +92,19 @@ def op10_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return pack_best_fit(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).drop("ids")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_byte_bpe": op2_byte_bpe,
@@ -100,6 +116,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_token_counts": op9_token_counts,
     "op10_web_archive": op10_web_archive,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -135,4 +154,33 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
         FROM m""",
+    "op13_ranked_search": r"""
+        WITH words AS (
+            SELECT doc_id, row_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT doc_id, text, row_number() OVER () AS row_id FROM documents)),
+        asked AS (
+            SELECT item_id, term, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+            GROUP BY item_id, term),
+        docs AS (SELECT row_id, any_value(doc_id) AS doc_id, count(*) AS n FROM words GROUP BY row_id),
+        corpus AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS length FROM docs),
+        tf AS (
+            SELECT row_id, term, count(*) AS tf FROM words
+            WHERE term IN (SELECT term FROM asked) GROUP BY row_id, term),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * documents + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM tf, corpus GROUP BY term, documents),
+        scores AS (
+            SELECT item_id, row_id, any_value(doc_id) AS doc_id,
+                   CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // length)))) AS BIGINT) AS score
+            FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN docs USING (row_id), corpus
+            GROUP BY item_id, row_id),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+            FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
