@@ -7,14 +7,20 @@ are filled after twice as many rounds. Agreement of two sketches is then concent
 around the similarity as for independent permutations.
 
 Documents with equal shingle sets form a class and go on as one. Classes that agree in a
-band meet in a bucket. There, sketches choose a forest of promising pairs between classes
-not yet known to be connected; only these are compared on their full shingle sets. Rounds
-go on until no bucket holds a promising pair between different components.
+band meet in a bucket, and a pair belongs to the first band in which it agrees. In a bucket,
+sketches tell which members have a promising partner in another component; only these get
+their texts, and all their promising pairs are compared on the full shingle sets until they
+are connected or none is left.
+
+A bucket beyond the size of one group is cut into chunks. What is outside its largest
+component visits all chunks if it is small enough; if not, the bucket is refined by a
+further band, so that no group and no copying grows with the square of a bucket.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,10 +35,10 @@ from .base import id_and_text, mixed, settled, spread, text_slices
 from .components import roots
 
 BINS, BAND_ROWS = 128, 4  # 32 bands: a pair of similarity 0.8 shares none with probability 5e-8
+BANDS = BINS // BAND_ROWS
 FIRST_BANDS = 4  # bands searched first; they connect most families
-CHUNK = 1000  # members of a bucket compared in one group
-FEW_FIRST, FEW = 256, 50_000  # promising pairs a group compares at once; with more, a forest of them comes first
-LEAVES = 64  # texts verified against one hub in one group
+CHUNK = 1000  # members of a bucket compared in one group, and visitors to it
+SETS_BYTES = 64 << 20  # shingle sets that a group keeps at hand
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 STEP = np.uint64(0x9E3779B97F4A7C15)  # odd constant that spreads counters (fixed value)
 
@@ -48,10 +54,6 @@ class Similarity:
     per_cent: int = 80
     promising: float = 0.6
 
-    def linked(self, left: np.ndarray, right: np.ndarray) -> bool:
-        shared = len(np.intersect1d(left, right, assume_unique=True))
-        return 100 * shared >= self.per_cent * (len(left) + len(right) - shared)
-
 
 def shingle_set(text: str, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles: A-Z lowered, words between ASCII white space.
@@ -100,50 +102,87 @@ def band_keys(coordinates: np.ndarray) -> np.ndarray:
 
 
 def _short(coordinates: np.ndarray) -> np.ndarray:
-    """Coordinates as 16 bits: enough to estimate agreement, half a bit in a million off."""
-    return (mixed(coordinates) & np.uint64(0xFFFF)).astype("<u2")
+    """Coordinates as bytes: enough to estimate agreement, which they raise by 1/256 of the rest."""
+    return (mixed(coordinates) & np.uint64(0xFF)).astype(np.uint8)
 
 
 def _signatures(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n_shingles, digest, sketch, bands``; the last three are null without shingles."""
+    """``doc_id, n_shingles, digest, sketch, marks, rest``; the last four are null without shingles.
+
+    ``marks`` and ``rest`` are the lower and upper halves of the band keys.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             sets = [shingle_set(t or "", words) for t in batch.column(1).to_pylist()]
             full = [k for k, s in enumerate(sets) if len(s)]
             found = sketches([sets[k] for k in full])
-            short, keys = _short(found), band_keys(found).view(np.int64)
-            digest, sketch, bands = ([None] * len(sets) for _ in range(3))
+            halves = band_keys(found).astype("<u8").view("<u4").reshape(len(full), BANDS, 2)
+            short, marks, rest = _short(found), halves[:, :, 0].copy(), halves[:, :, 1].copy()
+            columns: list[list[bytes | None]] = [[None] * len(sets) for _ in range(4)]
             for row, k in enumerate(full):
-                digest[k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest()
-                sketch[k], bands[k] = short[row].tobytes(), keys[row].tobytes()
+                columns[0][k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest()
+                for column, values in zip(columns[1:], (short, marks, rest)):
+                    column[k] = values[row].tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(c, pa.binary()) for c in columns)],
+                ["doc_id", "n_shingles", "digest", "sketch", "marks", "rest"],
+            )
+
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch binary, marks binary, rest binary")
+
+
+def _keys(marks: list[bytes], rest: list[bytes]) -> np.ndarray:
+    """Band keys from their halves, a row per class."""
+    halves = [np.frombuffer(b"".join(part), "<u4").astype(np.uint64).reshape(-1, BANDS) for part in (marks, rest)]
+    return halves[1] << np.uint64(32) | halves[0]
+
+
+def _band_rows(classes: DataFrame) -> DataFrame:
+    """``id, band, depth, key``: one row per class and band."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, marks, rest = (c.to_pylist() for c in batch.columns)
+            n = len(ids)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()),
-                    pa.array(sketch, pa.binary()), pa.array(bands, pa.binary()),
+                    pa.array(np.repeat(np.array(ids, np.int64), BANDS)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), n)),
+                    pa.array(np.ones(n * BANDS, np.int32)), pa.array(_keys(marks, rest).view(np.int64).ravel()),
                 ],
-                ["doc_id", "n_shingles", "digest", "sketch", "bands"],
+                ["id", "band", "depth", "key"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch binary, bands binary")
+    return classes.select("id", "marks", "rest").mapInArrow(run, "id long, band int, depth int, key long")
 
 
-def _band_rows(classes: DataFrame) -> DataFrame:
-    """``id, band, key``: one row per class and band."""
+def _refined(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``id, band, depth, key``: members of a bucket dealt anew by its key and each later band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column(0).to_numpy()
-            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
-            per = BINS // BAND_ROWS
+            ids, band, depth, key = (batch.column(k).to_numpy() for k in range(4))
+            own = _keys(batch.column(4).to_pylist(), batch.column(5).to_pylist())
+            at, later = np.nonzero(np.arange(BANDS) > band[:, None])
+            found = mixed(key.view(np.uint64)[at] * STEP + own[at, later])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids, per)), pa.array(np.tile(np.arange(per, dtype=np.int32), len(ids))), pa.array(keys)],
-                ["id", "band", "key"],
+                [pa.array(ids[at]), pa.array(later.astype(np.int32)), pa.array((depth[at] + 1).astype(np.int32)), pa.array(found.view(np.int64))],
+                ["id", "band", "depth", "key"],
             )
 
-    return classes.select("id", "bands").mapInArrow(run, "id long, band int, key long")
+    joined = rows.select("id", "band", "depth", "key").join(classes.select("id", "marks", "rest"), "id")
+    return joined.select("id", "band", "depth", "key", "marks", "rest").mapInArrow(run, "id long, band int, depth int, key long")
+
+
+def _crowded(banded: DataFrame) -> DataFrame:
+    """The rows whose key occurs more than once."""
+    sizes = settled(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return settled(spread(banded, sizes, "key", "size", max(total, 1), by="id").drop("size"))
 
 
 def _packed_texts(docs: DataFrame) -> DataFrame:
@@ -158,139 +197,191 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "id long, data binary")
 
 
-def _forest(
-    ids: np.ndarray, group: np.ndarray, sizes: np.ndarray, short: np.ndarray, keys: np.ndarray, barred: dict[int, set[int]], rule: Similarity, few: int, band: int
-) -> tuple[list[tuple[int, int]], bool]:
-    """Promising pairs ``(hub, leaf)`` between groups, and whether these are all of them.
+@dataclass
+class Cell:
+    """Members that meet in one group: components, set sizes, sketches, band marks, and who is at home."""
+
+    group: np.ndarray
+    sizes: np.ndarray
+    short: np.ndarray
+    marks: np.ndarray
+    home: np.ndarray
+    band: int
+    depth: int
+
+    @classmethod
+    def of(cls, part: pa.Table) -> Cell:
+        n = part.num_rows
+        return cls(
+            part.column("comp").to_numpy(), part.column("n").to_numpy(),
+            np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(n, BINS),
+            np.frombuffer(b"".join(part.column("marks").to_pylist()), "<u4").reshape(n, BANDS),
+            part.column("home").to_numpy(), part.column("band")[0].as_py(), part.column("depth")[0].as_py(),
+        )
 
-    If there are more than ``few`` it is a forest of them. A pair belongs to the first band
-    whose keys agree, which is the first bucket it shares, so that other buckets leave it out.
+    def partners(self, rule: Similarity) -> Iterator[tuple[int, np.ndarray]]:
+        """Each member outside the largest component with its promising partners in other components, the likeliest first.
+
+        Every pair comes once. Two visitors are left to the cells where one is at home, a
+        pair of another first band to its bucket.
+        """
+        names, place, sizes = np.unique(self.group, return_inverse=True, return_counts=True)
+        beside = place != sizes.argmax()
+        every = np.arange(len(self.group))
+        for at in np.flatnonzero(beside).tolist():
+            other = every[(place != place[at]) & (~beside | (every > at)) & (self.home | self.home[at])]
+            low, high = np.minimum(self.sizes[other], self.sizes[at]), np.maximum(self.sizes[other], self.sizes[at])
+            other = other[100 * low >= rule.per_cent * high]
+            agree = (self.short[other] == self.short[at]).mean(axis=1)
+            shared = (self.marks[other, : self.band + 1] == self.marks[at, : self.band + 1]).sum(axis=1)
+            stay = (agree >= rule.promising) & (shared == self.depth)
+            if stay.any():
+                yield at, other[stay][np.argsort(-agree[stay], kind="stable")]
+
+
+class Sets:
+    """Shingle sets of packed texts; those used last stay at hand within ``SETS_BYTES``."""
+
+    def __init__(self, data: list[bytes], words: int):
+        self.data, self.words, self.held = data, words, 0
+        self.known: OrderedDict[int, np.ndarray] = OrderedDict()
+        self.unpack = zstandard.ZstdDecompressor()
+
+    def __getitem__(self, at: int) -> np.ndarray:
+        if at in self.known:
+            self.known.move_to_end(at)
+            return self.known[at]
+        found = self.known[at] = shingle_set(self.unpack.decompress(self.data[at]).decode(), self.words)
+        self.held += found.nbytes
+        while self.held > SETS_BYTES and len(self.known) > 1:
+            self.held -= self.known.popitem(last=False)[1].nbytes
+        return found
+
+    def linked(self, at: int, others: list[int], rule: Similarity) -> np.ndarray:
+        """Which of ``others`` are linked with ``at``, by their full sets."""
+        mine = self[at]
+        out = np.empty(len(others), bool)
+        start = 0
+        while start < len(others):  # a few million shingles at a time
+            sets, items = [], 0
+            while start + len(sets) < len(others) and (not sets or items < 1 << 21):
+                sets.append(self[others[start + len(sets)]])
+                items += len(sets[-1])
+            flat, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
+            hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+            shared = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+            out[start : start + len(sets)] = 100 * shared >= rule.per_cent * (len(mine) + sizes - shared)
+            start += len(sets)
+        return out
+
+
+def _links_of(cell: Cell, sets: Sets, rule: Similarity) -> list[tuple[int, int]]:
+    """Components of the cell that links join, as few pairs of rows as connect them."""
+    names, root = np.unique(cell.group, return_inverse=True)
+    links = []
+    for at, other in cell.partners(rule):
+        batch = 8
+        while len(other := other[root[other] != root[at]]):
+            now, other = other[:batch], other[batch:]
+            batch *= 4
+            for hit in now[sets.linked(at, now.tolist(), rule)].tolist():
+                if root[hit] != root[at]:
+                    links.append((at, hit))
+                    root[root == root[hit]] = root[at]
+    return links
 
-    The forest connects all that promising pairs can connect. It is grown from the first member: each step adds the outside member with the best agreement.
-    Agreement above 0.9 counts as 0.9, so that early members become hubs. Members of one
-    group are connected already and join for nothing.
+
+def _links(cells: DataFrame, classes: DataFrame, texts: DataFrame, rule: Similarity) -> DataFrame:
+    """``a, b``: components joined by a link within a cell of ``key, cell, band, depth, id, comp, home``.
+
+    No step makes more rows than the cells have.
     """
-    n = len(ids)
-
-    def agreement(at: int, other: np.ndarray) -> np.ndarray:
-        """Agreement of member ``at`` with others, -1 where they cannot be linked or were compared."""
-        agree = (short[other] == short[at]).mean(axis=1)
-        low, high = np.minimum(sizes[other], sizes[at]), np.maximum(sizes[other], sizes[at])
-        agree[(keys[other, :band] == keys[at, :band]).any(axis=1)] = -1.0
-        agree[(agree < rule.promising) | (100 * low < rule.per_cent * high) | (ids[other] == ids[at])] = -1.0
-        if bar := barred.get(int(ids[at])):
-            agree[np.isin(ids[other], list(bar))] = -1.0
-        return agree
-
-    pairs: list[tuple[int, int]] = []
-    for at in range(n - 1):
-        other = at + 1 + np.flatnonzero(group[at + 1 :] != group[at])
-        if len(other):
-            pairs += [(int(ids[at]), i) for i in ids[other[agreement(at, other) >= 0]].tolist()]
-        if len(pairs) > few:
-            break
-    else:
-        return pairs, True
-    worth, parent = np.full(n, -1.0), np.full(n, -1)
-    outside, edges = np.ones(n, bool), []
-    at = 0
-    for _ in range(n):
-        outside[at] = False
-        agree = np.minimum(agreement(at, np.arange(n)), 0.9)
-        agree[group == group[at]] = 2.0
-        better = outside & (agree > worth)
-        worth[better], parent[better] = agree[better], at
-        if not outside.any():
-            break
-        at = int(np.argmax(np.where(outside, worth, -2.0)))
-        if 0.0 <= worth[at] < 2.0:
-            edges.append((int(ids[parent[at]]), int(ids[at])))
-    return edges, False
-
-
-def _candidates(members: DataFrame, failed: DataFrame | None, classes: DataFrame, rule: Similarity, few: int) -> DataFrame:
-    """``a, b, part, whole``: promising pairs of the cells ``key, cell`` in ``members`` (with ``id, comp``)."""
-    rows = members.join(classes.select("id", "n", "sketch", "bands"), "id")
-    if failed is None:
-        rows = rows.withColumn("barred", F.array().cast("array<long>"))
-    else:
-        both = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lists = both.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("barred"))
-        rows = rows.join(lists, "id", "left")
-
-    def search(part: pa.Table) -> pa.Table:
+    rows = cells.join(classes.select("id", "n", "sketch", "marks"), "id")
+    schema = "id long, key long, cell long, band int, depth int, comp long, home boolean, n long, sketch binary, marks binary"
+    names = [field.split()[0] for field in schema.split(", ")]
+
+    def promising(part: pa.Table) -> pa.Table:
+        found = np.zeros(part.num_rows, bool)
+        for at, other in Cell.of(part).partners(rule):
+            found[at] = True
+            found[other] = True
+        return part.filter(pa.array(found))
+
+    def compare(part: pa.Table) -> pa.Table:
         part = part.sort_by([("id", "ascending")])
-        ids, group = part.column("id").to_numpy(), part.column("comp").to_numpy()
-        short = np.frombuffer(b"".join(part.column("sketch").to_pylist()), "<u2").reshape(len(ids), BINS)
-        keys = np.frombuffer(b"".join(part.column("bands").to_pylist()), np.int64).reshape(len(ids), -1)
-        barred = {i: set(b) for i, b in zip(ids.tolist(), part.column("barred").to_pylist()) if b}
-        band = part.column("band")[0].as_py()
-        edges, whole = _forest(ids, group, part.column("n").to_numpy(), short, keys, barred, rule, few, band)
-        seen: dict[int, int] = {}
-        parts = []
-        for hub, _ in edges:
-            parts.append(seen.get(hub, 0) // LEAVES)
-            seen[hub] = seen.get(hub, 0) + 1
-        return pa.table(
-            {
-                "a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64()),
-                "part": pa.array(parts, pa.int64()), "whole": pa.array([whole] * len(edges), pa.bool_()),
-            }
-        )
+        cell = Cell.of(part)
+        links = _links_of(cell, Sets(part.column("data").to_pylist(), rule.words), rule)
+        ends = [pa.array(cell.group[[link[k] for link in links]] if links else [], pa.int64()) for k in (0, 1)]
+        return pa.table(dict(zip(("a", "b"), ends)))
+
+    wanted = rows.select(*names).groupBy("key", "cell").applyInArrow(promising, schema)
+    return wanted.join(texts, "id").groupBy("key", "cell").applyInArrow(compare, "a long, b long")
 
-    found = rows.groupBy("key", "cell").applyInArrow(search, "a long, b long, part long, whole boolean")
-    return found.groupBy("a", "b").agg(F.min("part").alias("part"), F.min("whole").alias("whole"))
 
+def _open_rows(members: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Members of the buckets that hold several components, with the bucket's ``held, main, beside, pivot``.
 
-def _verified(pairs: DataFrame, texts: DataFrame, rule: Similarity) -> DataFrame:
-    """``a, b, linked`` for candidate pairs, compared on full shingle sets, a hub and its leaves at a time."""
-    wanted = pairs.select("a", "part", F.col("b").alias("id"), F.lit(False).alias("hub")).unionByName(
-        pairs.select("a", "part", F.col("a").alias("id"), F.lit(True).alias("hub")).distinct()
+    ``main`` is the largest component, ``beside`` the members outside it. ``None`` if all are closed.
+    """
+    placed = members.join(labels, "id")
+    parts = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    buckets = parts.groupBy("key").agg(
+        F.count(F.lit(1)).alias("comps"), F.sum("n").alias("held"), F.max(F.struct("n", "comp")).alias("top"), F.min("first").alias("pivot")
     )
+    kept = F.col("top.comp").alias("main"), (F.col("held") - F.col("top.n")).alias("beside"), "pivot"
+    several = settled(buckets.filter("comps > 1").select("key", "held", *kept))
+    total = several.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+    return settled(spread(placed, several, "key", "held", total, by="id")) if total else None
 
-    def compare(part: pa.Table) -> pa.Table:
-        unpack = zstandard.ZstdDecompressor()
-        sets = [shingle_set(unpack.decompress(d).decode(), rule.words) for d in part.column("data").to_pylist()]
-        hubs = part.column("hub").to_pylist()
-        ids = part.column("id").to_pylist()
-        centres = [s for s, h in zip(sets, hubs) if h]
-        leaves = sorted({i for i, h in zip(ids, hubs) if not h})
-        linked = {i for i, s, h in zip(ids, sets, hubs) if not h and any(rule.linked(c, s) for c in centres)}
-        hub = part.column("a")[0].as_py()
-        return pa.table(
-            {"a": pa.array([hub] * len(leaves), pa.int64()), "b": pa.array(leaves, pa.int64()), "linked": pa.array([i in linked for i in leaves], pa.bool_())}
-        )
 
-    return wanted.join(texts, "id").groupBy("a", "part").applyInArrow(compare, "a long, b long, linked boolean")
+def _cells(rows: DataFrame) -> DataFrame:
+    """Members of open buckets dealt into groups of at most about ``CHUNK`` at home and as many visitors.
+
+    A bucket of at most ``CHUNK`` members is one cell, a larger one is cut into chunks. If
+    at most ``CHUNK`` members are outside its main component, they visit all chunks, which
+    adds no more rows than the bucket has, and all pairs meet. Else only its smallest
+    member does, which connects families; the rest is left to refined buckets.
+    """
+    chunks = F.when(F.col("held") > CHUNK, F.ceil(F.col("held") / CHUNK)).otherwise(1).cast("long")
+    own = F.pmod(F.xxhash64("id", "key"), chunks)
+    goes = F.when(F.col("beside") <= CHUNK, F.col("comp") != F.col("main")).otherwise(F.col("id") == F.col("pivot"))
+    cells = F.when(goes, F.sequence(F.lit(0).cast("long"), chunks - 1)).otherwise(F.array(own))
+    dealt = rows.select("key", "band", "depth", "id", "comp", own.alias("own"), F.explode(cells).alias("cell"))
+    return dealt.select("key", "cell", "band", "depth", "id", "comp", (F.col("cell") == F.col("own")).alias("home"))
+
 
+def _merged(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
+    """Labels after the links of components ``a, b``, and whether there is any."""
+    if links.isEmpty():
+        return labels, False
+    found = roots(links)
+    return settled(labels.join(found.withColumnRenamed("u", "comp"), "comp", "left").select("id", F.coalesce("v", "comp").alias("comp"))), True
 
-def _cells(members: DataFrame, first: bool) -> DataFrame:
-    """Members dealt into groups of bounded size.
 
-    A bucket of at most ``CHUNK`` members is one cell. A larger one is cut into chunks; at
-    first every chunk also holds the bucket's smallest member, which connects the families
-    of the chunks. Later rounds pair chunks: members outside the bucket's main component
-    are sent to every chunk, so that any two components still meet.
+def _connected(members: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, rule: Similarity) -> DataFrame:
+    """``id, comp`` after all promising pairs of different components were compared.
+
+    The first round sees few bands, which connect most families; the next sees all. A
+    bucket with too many members outside its main component goes on while that changes,
+    and is then refined.
     """
-    chunks = F.ceil(F.col("size") / CHUNK).cast("long")
-    own = F.pmod(F.xxhash64("id", "key"), chunks)
-    small = members.filter(F.col("size") <= CHUNK).select("key", F.lit(0).cast("long").alias("cell"), "band", "id", "comp")
-    large = members.filter(F.col("size") > CHUNK).select("key", "band", "id", "comp", "pivot", "main", "size", own.alias("own"), chunks.alias("chunks"))
-    mine = large.select("key", F.col("own").alias("cell"), "band", "id", "comp")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-    if first:
-        extra = large.filter(F.col("id") == F.col("pivot")).select("key", every.alias("cell"), "band", "id", "comp")
-        return small.unionByName(mine.unionByName(extra).distinct())
-    # Cell numbers code (chunk of others, chunk of residual members).
-    residual = F.pmod(F.xxhash64("id"), F.col("chunks"))
-    rest = F.col("comp") != F.col("main")
-    extra = large.filter(rest).select("key", every.alias("others"), "chunks", residual.alias("with"), "band", "id", "comp").select(
-        "key", (F.col("others") * F.col("chunks") + F.col("with")).alias("cell"), "band", "id", "comp"
-    )
-    spread_out = large.join(
-        large.filter(rest).select("key", residual.alias("with")).distinct(), "key"
-    ).select("key", (F.col("own") * F.col("chunks") + F.col("with")).alias("cell"), "band", "id", "comp")
-    return small.unionByName(spread_out.unionByName(extra).distinct())
+    bands = FIRST_BANDS
+    while True:
+        rows = _open_rows(members.filter(F.col("band") < bands), labels)
+        if rows is None:
+            if bands == BANDS:
+                return labels
+            bands = BANDS
+            continue
+        labels, changed = _merged(labels, settled(_links(_cells(rows), classes, texts, rule)))
+        if bands < BANDS:
+            bands = BANDS
+            continue
+        wide = rows.filter((F.col("held") > CHUNK) & (F.col("beside") > CHUNK))
+        if wide.isEmpty():
+            return labels
+        if not changed:
+            members = _crowded(_refined(wide, classes))
 
 
 def link_components(docs: DataFrame, rule: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -307,49 +398,14 @@ def link_components(docs: DataFrame, rule: Similarity, id_col: str = "doc_id", t
     signed = settled(_signatures(source, rule.words))
     total = signed.count()
     named = signed.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
+    one = [F.first(name).alias(name) for name in ("sketch", "marks", "rest")]
     classes = settled(
-        named.groupBy("digest").agg(
-            F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")
-        )
+        named.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("n_shingles").alias("n"), *one)
     )
-    banded = _band_rows(classes)
-    crowded = settled(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("pivot")).filter("size > 1"))
-    in_buckets = crowded.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    members = settled(spread(banded, crowded, "key", "size", max(in_buckets, 1), by="id"))
+    members = _crowded(_band_rows(classes))
     texts = settled(_packed_texts(source.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")))
     labels = settled(members.select("id").distinct().withColumn("comp", F.col("id")))
-    failed: DataFrame | None = None
-    first = True
-    while True:
-        # The first round sees few bands, which connect most families; later ones see all.
-        placed = (members.filter(F.col("band") < FIRST_BANDS) if first else members).join(labels, "id")
-        buckets = placed.groupBy("key").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.mode("comp", deterministic=True).alias("main"), F.count(F.lit(1)).alias("held")
-        )
-        open_buckets = settled(buckets.filter("low <> high").select("key", "main", "held"))
-        held, largest = open_buckets.agg(F.coalesce(F.sum("held"), F.lit(0)), F.coalesce(F.max("held"), F.lit(0))).first()
-        pairs = None
-        if held:
-            open_members = spread(placed, open_buckets, "key", "held", held, by="id")
-            cells = _cells(settled(open_members), first) if largest > CHUNK else open_members.withColumn("cell", F.lit(0).cast("long"))
-            pairs = settled(_candidates(cells.select("key", "cell", "band", "id", "comp"), failed, classes, rule, FEW_FIRST if first else FEW))
-        if pairs is None or pairs.isEmpty():
-            if not first:
-                break
-            first = False
-            continue
-        # With all promising pairs of all bands compared there is nothing left to look for.
-        last = not first and pairs.filter("not whole").isEmpty()
-        first = False
-        checked = settled(_verified(pairs, texts, rule))
-        bad = checked.filter("not linked").select("a", "b")
-        failed = bad if failed is None else failed.unionByName(bad)
-        new = checked.filter("linked").join(labels.select(F.col("id").alias("a"), F.col("comp").alias("of_a")), "a")
-        new = new.join(labels.select(F.col("id").alias("b"), F.col("comp").alias("of_b")), "b")
-        found = roots(new.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
-        labels = settled(labels.join(found.withColumnRenamed("u", "comp"), "comp", "left").select("id", F.coalesce("v", "comp").alias("comp")))
-        if last:
-            break
+    labels = _connected(members, labels, classes, texts, rule)
     of_class = settled(
         classes.select("digest", "id", "size").join(labels, "id", "left").select("digest", "size", F.coalesce("comp", "id").alias("comp"))
     )
@@ -360,6 +416,12 @@ def link_components(docs: DataFrame, rule: Similarity, id_col: str = "doc_id", t
 
 
 def drop_near_copies(docs: DataFrame, rule: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that :func:`link_components` keeps, with all their columns."""
+    """The rows of ``docs`` that :func:`link_components` keeps, with all their columns.
+
+    Rows with a null id, and texts without words (null, empty, white space), stay. Rows that
+    repeat an id stay or go together; of equal texts under different ids the smallest id
+    stays. Texts of any length are compared whole. An empty table gives an empty one, and
+    columns of any other name pass through.
+    """
     gone = link_components(docs, rule, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")

@@ -135,11 +135,9 @@ def brute_components(texts, words, per_cent):
     return {i: (len(sets[i]), find(i)) for i in texts}
 
 
-@pytest.mark.parametrize("chunk, few", [(1000, 50_000), (8, 2)])
-def test_near_copies_equal_brute_force(spark, monkeypatch, chunk, few):
+@pytest.mark.parametrize("chunk", [1000, 8])
+def test_near_copies_equal_brute_force(spark, monkeypatch, chunk):
     monkeypatch.setattr(near, "CHUNK", chunk)
-    monkeypatch.setattr(near, "FEW", few)
-    monkeypatch.setattr(near, "FEW_FIRST", few)
     source = random.Random(4)
     base = [[source.choice("abcdefghijklmnop") + str(source.randint(0, 60)) for _ in range(source.randint(8, 60))] for _ in range(6)]
     texts = {}
@@ -155,24 +153,79 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, chunk, few):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
-@pytest.mark.parametrize("same, collide, band", [(128, 0, 0), (120, 1, 1), (78, 0, 0)])
-def test_pairs_meet_in_the_first_band_of_equal_keys(spark, same, collide, band):
-    """``same`` coordinates agree; in band 0 ``collide`` of those of unequal keys agree in 16 bits too."""
-    rng = np.random.default_rng(5)
-    short = np.repeat(rng.integers(0, 1 << 16, (1, near.BINS), dtype=np.uint16), 2, 0)
-    short[1, same:] ^= 1
-    keys = np.repeat(rng.integers(0, 1 << 62, (1, near.BINS // near.BAND_ROWS), dtype=np.int64), 2, 0)
-    keys[1, :collide] += 1
-    keys[1, -(-same // near.BAND_ROWS) :] += 1
-    classes = spark.createDataFrame(
-        [(i, 10, bytearray(short[i].tobytes()), bytearray(keys[i].tobytes())) for i in range(2)], "id long, n long, sketch binary, bands binary"
-    )
-    members = spark.createDataFrame([(7, 0, band, i, i) for i in range(2)], "key long, cell long, band int, id long, comp long")
-    got = near._candidates(members, None, classes, near.Similarity(), near.FEW)
-    assert [(r["a"], r["b"]) for r in got.collect()] == [(0, 1)]
-    if not collide:  # and in no later band
-        later = near._candidates(members.withColumn("band", F.lit(1)), None, classes, near.Similarity(), near.FEW)
-        assert later.isEmpty()
+def members_of(similar, marks, home=(True, True), depth=1):
+    short = np.zeros((2, near.BINS), np.uint8)
+    short[1, similar:] = 1
+    return near.Cell(np.arange(2), np.array([10, 10]), short, np.array(marks, np.uint32), np.array(home), 2, depth)
+
+
+def test_a_pair_belongs_to_the_first_band_in_which_it_agrees():
+    def meets(cell):
+        return [(at, other.tolist()) for at, other in cell.partners(near.Similarity())]
+
+    here, before = [[1, 2, 3], [4, 5, 3]], [[1, 2, 3], [4, 2, 3]]
+    assert meets(members_of(120, here)) == [(1, [0])] == meets(members_of(120, before, depth=2))
+    assert meets(members_of(120, before)) == [] == meets(members_of(70, here))
+    assert meets(members_of(120, here, (False, False))) == []
+
+
+@pytest.fixture
+def one_family():
+    source = random.Random(6)
+    base = [f"w{source.randint(0, 999)}" for _ in range(120)]
+
+    def texts(n):
+        out = {}
+        for i in range(n):
+            w = list(base)
+            for _ in range(source.randint(0, 4)):
+                w[source.randrange(len(w))] = f"n{source.randint(0, 10**6)}"
+            out[i] = " ".join(w)
+        return out
+
+    return texts
+
+
+def test_work_on_one_hot_group_grows_with_its_size(spark, one_family, monkeypatch):
+    monkeypatch.setattr(near, "CHUNK", 60)
+    dealt, linked = {}, {}
+    real_cells, real_merged = near._cells, near._merged
+    monkeypatch.setattr(near, "_cells", lambda rows: (lambda f: dealt.setdefault(n, []).append((rows.count(), f.count())) or f)(real_cells(rows)))
+    monkeypatch.setattr(near, "_merged", lambda labels, links: linked.setdefault(n, []).append(links.count()) or real_merged(labels, links))
+    for n in (150, 300, 600):
+        got = near.link_components(table(spark, list(one_family(n).items())), near.Similarity(words=2))
+        assert got.select("component_id").distinct().count() <= 3
+    for n, rounds in dealt.items():
+        assert all(cells <= 2 * rows for rows, cells in rounds)  # visitors at most double a bucket
+        assert sum(linked[n]) <= sum(rows for rows, _ in rounds)
+    work = {n: sum(cells for _, cells in rounds) for n, rounds in dealt.items()}
+    assert all(cells <= 40 * n for n, cells in work.items())
+
+
+def test_sets_beyond_the_bound_are_made_again(monkeypatch):
+    monkeypatch.setattr(near, "SETS_BYTES", 100)
+    texts = ["a b c d e f g h i j k", "a b c d e f g h i j", "x y z", "a b c d e f g h i k"]
+    sets = near.Sets([near.zstandard.compress(t.encode()) for t in texts], 2)
+    rule = near.Similarity(words=2)
+    assert sets.linked(0, [1, 2, 3], rule).tolist() == [True, False, True] and len(sets.known) < 3
+    assert sets.linked(2, [0, 1], rule).tolist() == [False, False]
+
+
+def test_crowded_buckets_of_unlike_texts_are_refined(spark, monkeypatch):
+    """Texts that share passages but are no copies, among them pairs that are."""
+    monkeypatch.setattr(near, "CHUNK", 12)
+    source = random.Random(2)
+    shared = " ".join(f"s{i}" for i in range(40))
+    texts = {}
+    for i in range(90):
+        own = [f"o{i}x{k}" for k in range(30)]
+        texts[i] = f"{shared} {' '.join(own)}"
+        if i % 9 == 0:
+            own[source.randrange(30)] = "changed"
+            texts[500 + i] = f"{shared} {' '.join(own)}"
+    got = near.link_components(table(spark, list(texts.items())), near.Similarity(words=2)).collect()
+    want = brute_components(texts, 2, 80)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
 def test_near_copies_of_odd_tables(spark):
