@@ -52,8 +52,17 @@ def text_coder(path: str, pattern: str) -> TextCoder:
     return TextCoder(path, pattern)
 
 
+#: Visible signs below U+0130: their own normal form, and each has one lower-case sign.
+_PLAIN = re.compile("[!-~\u00a1-\u012f]+").fullmatch
+#: The split of the tokenizer for such signs in lower case: endings, letters, single numbers, all else.
+_PRE_TOKEN = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u012f]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]"
+    "|[!-/:-@\\[-`{-~\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7]+"
+)
+
+
 class WordCoder:
-    """Packed ids of many plain words at once by a tokenizer file with word ends.
+    """Packed ids of many plain parts at once by a tokenizer file with word ends.
 
     Tokens that end a word are lower than all merges, so in rank form the sign for the end
     joins the last byte before anything else happens, as in the tokenizer.
@@ -65,15 +74,22 @@ class WordCoder:
             core = word.removesuffix(_WORD_END) or word
             if all(c in letters for c in core):
                 ranks[bytes(letters[c] for c in core) + (_END if core != word else b"")] = i
+        self.special = tuple(t.content for t in model.get_added_tokens_decoder().values())
         self.fast = tiktoken.Encoding("words", pat_str="[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
         self.ends = np.zeros(max(ranks.values()) + 1, bool)
         self.ends[[i for token, i in ranks.items() if len(token) > 1 and token.endswith(_END)]] = True
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        """One entry per word; words must not be empty or hold the sign for the end."""
-        if not words:
+    def plain(self, part: str) -> bool:
+        """Whether ``encode`` takes this part of a text."""
+        return _PLAIN(part) is not None and not any(s in part for s in self.special)
+
+    def encode(self, parts: list[str]) -> list[bytes]:
+        """One entry per plain part, which may be a word with signs around it."""
+        if not parts:
             return []
-        ids = self.fast.encode_to_numpy("\0".join(words) + "\0")
+        marked = _PRE_TOKEN.sub("\\g<0>\0", "\x01".join(parts).lower())
+        words = np.cumsum([part.count("\0") for part in marked.split("\x01")])
+        ids = self.fast.encode_to_numpy(marked.replace("\x01", ""))
         packed = ids.astype("<u4", copy=False).tobytes()
-        cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+        cuts = [0, *(4 * (np.flatnonzero(self.ends[ids])[words - 1] + 1)).tolist()]
         return [packed[a:b] for a, b in zip(cuts, cuts[1:])]

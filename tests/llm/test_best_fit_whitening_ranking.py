@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from adjudica.llm import bestfit, ranked, ranking, whitening
+from adjudica.llm import bestfit, packing, ranked, ranking, whitening
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -113,9 +113,17 @@ def test_bulk_ids_equal_the_tokenizer():
     for text in texts:
         assert coder.encode(text) == array("I", model.encode(text, add_special_tokens=False).ids).tobytes()
     model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    words = ["".join(source.choices("abcdefghijklmnopqrstuvwxyzéñüßøÿ", k=source.randint(1, 25))) for _ in range(3000)]
-    found = ranked.WordCoder(model).encode(words)
-    assert found == [array("I", e.ids).tobytes() for e in model.encode_batch_fast(words, add_special_tokens=False)]
+    coder = ranked.WordCoder(model)
+    parts = ["".join(source.choices("abcdeXYZéÑüßøÿªµº²¼0123.,!'stmd<|>_-\\[`×÷¿Įį", k=source.randint(1, 25))) for _ in range(20_000)]
+    parts += ["don't", "IT'S", "x'LL", "<|end", "a<|endoftext|>b"]
+    plain = [p for p in parts if coder.plain(p)]
+    assert len(plain) == len(parts) - 1 and not any(map(coder.plain, ("", "a b", "中", "İ", "e\u0301", "\x85", "a\xa0b", "\x00", "\x01")))
+    assert coder.encode(plain) == [array("I", e.ids).tobytes() for e in model.encode_batch_fast(plain, add_special_tokens=False)]
+    every = [chr(c) for c in range(33, 0x130) if coder.plain(chr(c))]
+    assert coder.encode(every) == [array("I", e.ids).tobytes() for e in model.encode_batch_fast(every, add_special_tokens=False)]
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["".join(source.choices("abXé. ,'\n\t\x1c\x1f\x85\xa0\u2003\u0301中0", k=source.randint(0, 40))) for _ in range(3000)]
+    assert encoder.encode(texts) == [array("I", e.ids).tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def whitened_by_hand(vectors, components, weights=None):

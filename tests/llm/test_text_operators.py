@@ -1,6 +1,7 @@
 """Tokenizer, packing, quality and personal-data operators on small tables and hard texts."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -88,7 +89,7 @@ def test_packing_keeps_every_token_once(spark):
 
 
 def test_squares_rule_takes_the_level_of_least_sum():
-    packer = packing.SquaresPacker(10, 100)
+    packer = packing.SquaresPacker(10)
     source = np.random.default_rng(0)
     for _ in range(300):
         length = int(source.integers(1, 10))
@@ -101,7 +102,22 @@ def test_squares_rule_takes_the_level_of_least_sum():
                 after[level + length] += 1
             best[int(level)] = int((after**2).sum())
         assert best[packer.level_for(length)] == min(best.values())
-        list(packer.put((0, 0, length, b"\0\0\0\0" * length)))
+        list(packer.put(packing.Window([(0, 0, length, b"\0\0\0\0" * length)])))
+
+
+def test_open_windows_are_packed_on_by_the_rule(spark):
+    """Pieces of several tasks share windows, and few of them are cut anew."""
+    source = np.random.default_rng(4)
+    texts = [" ".join(["word"] * int(source.integers(1, 60))) for _ in range(2000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    rows = packing.pack_documents(df, WORDS, size=64).collect()
+    check_pieces(rows, {i: [2653] * (len(t.split())) + [2] for i, t in enumerate(texts)}, 64)
+    pieces = Counter(r["doc_id"] for r in rows)
+    cut = sum(n > 1 for n in pieces.values())
+    assert cut < 0.2 * len(texts)
+    packer = packing.SquaresPacker(10, 2)
+    windows = [packing.Window([(k, 0, n, b"\0\0\0\0" * n)]) for k, n in enumerate((9, 8, 7))]
+    assert [w for window in windows for w in packer.put(window)] == [windows[0]]  # the fullest leaves
 
 
 def test_quality_separates_and_defines_hard_cases(spark):
