@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import decisions as D
-from .skew import exact_percentiles, hashed_rank
+from .skew import HOT_ROWS, exact_percentiles, hashed_rank, in_ranges
 
 
 def abs_error(actual: str, predicted: str) -> Column:
@@ -94,34 +94,32 @@ def label_precision(df: DataFrame, actual: str, predicted: str, labels: Sequence
     )
 
 
-def auc(df: DataFrame, actual: str, score: str, bins: int = 1000) -> DataFrame:
+def auc(df: DataFrame, actual: str, score: str, per: int = HOT_ROWS) -> DataFrame:
     """Area under the ROC curve, ties counting half.
 
-    Equal scores are counted together, then ranked by value bins: positives in a bin beat
-    all negatives of the bins below, and only scores of one bin are sorted together.
+    Equal scores are counted together, then placed in ranges of the real order: positives
+    in a range beat all negatives of the ranges below, and only scores of one range are
+    sorted together.
     """
     scores = (
         df.filter(F.col(score).isNotNull())
         .groupBy(F.col(score).cast("double").alias("_v"))
         .agg(F.sum(F.when(F.col(actual) == 1, 1).otherwise(0)).alias("_p"),
              F.sum(F.when(F.col(actual) == 1, 0).otherwise(1)).alias("_n"))
+        .withColumn("_one", F.lit(1))
     )
-    ends = scores.agg(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high"))).scalar()
-    low, width = F.col("_ends.low"), F.col("_ends.high") - F.col("_ends.low")
-    place = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("_v") - low) / width * bins)))
-    binned = (
-        scores.withColumn("_ends", ends).withColumn("_bin", F.coalesce(place, F.lit(0)).cast("int")).drop("_ends")
-    )
-    # At most `bins` rows, so ordering them together is safe.
-    below = Window.partitionBy("_one").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    sized = scores.withColumn("_size", scores.agg(F.count(F.lit(1))).scalar())
+    ranged = in_ranges(sized, ["_one"], "_v", "_size", "_range", per)
+    # As many rows as ranges, so ordering them together is safe.
+    below = Window.partitionBy("_one").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        binned.groupBy("_bin").agg(F.sum("_n").alias("_bn")).withColumn("_one", F.lit(1))
-        .select("_bin", F.coalesce(F.sum("_bn").over(below), F.lit(0)).alias("_below"))
+        ranged.groupBy("_one", "_range").agg(F.sum("_n").alias("_held"))
+        .select("_range", F.coalesce(F.sum("_held").over(below), F.lit(0)).alias("_below"))
     )
-    inside = Window.partitionBy("_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     wins = F.col("_p") * (F.col("_below") + F.coalesce(F.sum("_n").over(inside), F.lit(0)) + F.col("_n") / 2.0)
     return (
-        binned.join(totals, "_bin").withColumn("_wins", wins)
+        ranged.join(F.broadcast(totals), "_range").withColumn("_wins", wins)
         .agg(F.try_divide(F.sum("_wins"), F.sum("_p").cast("double") * F.sum("_n")).alias("auc"))
     )
 

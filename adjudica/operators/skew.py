@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 # Keys that may be broadcast.
 HOT_KEYS = 10_000
-BINS = 4096
+# Cuts of one group into ranges, at most, and ranges per HOT_ROWS rows of it.
+CUTS, FINENESS = 4096, 8
+# Times that a selection narrows its ranges: each divides what is ordered by up to CUTS.
+NARROWINGS = 2
 
 
 def join_null_safe(
@@ -44,6 +47,30 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return counted.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys)
 
 
+def in_ranges(
+    rows: DataFrame, group: Sequence[str], value: str, size: str, out: str, per: int = HOT_ROWS, salt: int = 0
+) -> DataFrame:
+    """``rows`` with the number ``out`` of the range of ``value`` that a row falls in, within its group.
+
+    ``size`` holds the rows of the group. The cuts are the values whose hash is a multiple
+    of a step, so they are an even sample of the distinct values whatever these are, and a
+    repeated task finds the same. A range has about ``per / FINENESS`` rows, and fewer than
+    ``per`` but for one case in thousands, up to ``CUTS`` ranges a group. Cuts take
+    8 * FINENESS bytes per ``per`` rows in total, which bounds what is broadcast.
+    """
+    ranges = F.least(F.lit(CUTS), F.ceil(F.col(size) * FINENESS / max(per, 1)))
+    step = F.greatest(F.lit(1), F.floor(F.col(size) / ranges)).cast("long")
+    chosen = rows.filter(F.pmod(F.xxhash64(value, F.lit(salt)), step) == 0)
+    cuts = chosen.groupBy(*group).agg(F.sort_array(F.collect_set(value)).alias("_cuts"))
+
+    def search(at: Column, width: Column) -> Column:
+        return F.when(F.get("_cuts", at + width - 1) <= F.col(value), at + width).otherwise(at)
+
+    widths = F.array(*[F.lit(2**k) for k in reversed(range(CUTS.bit_length()))])
+    cut = join_null_safe(rows, cuts, group, "left", bounded=True)
+    return cut.withColumn(out, F.aggregate(widths, F.lit(0), search)).drop("_cuts")
+
+
 def running_total_before(
     df: DataFrame,
     keys: Sequence[str],
@@ -52,15 +79,13 @@ def running_total_before(
     value: str,
     out: str,
     hot_rows: int = HOT_ROWS,
-    block: int | None = None,
 ) -> DataFrame:
     """Sum of ``value`` over the earlier rows of the same ``keys``, ordered by ``day`` then ``tie``.
 
     Day sums are aggregated first, so the window over a key's history sees one row per
-    day. Rows of one day are ordered by the integer ``tie``; days with more than
-    ``hot_rows`` rows are cut into blocks of consecutive ties in the same way.
+    day. Rows of one day are ordered by ``tie``; a day with more than ``hot_rows`` rows is
+    cut into ranges of the real order, whose sums are added up in the same way.
     """
-    block = block or hot_rows
     dated = [*keys, day]
     amount = F.coalesce(F.col(value), F.lit(0.0))
     history = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
@@ -76,17 +101,17 @@ def running_total_before(
         out, F.col("_before") + F.coalesce(F.sum(amount).over(in_day), F.lit(0.0))
     )
 
-    hot = rows.filter(F.col("_n") > hot_rows).withColumn("_block", F.floor(F.col(tie) / F.lit(block)))
-    blocked = [*dated, "_block"]
-    over_blocks = Window.partitionBy(*dated).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        hot.groupBy(*blocked)
+    hot = in_ranges(rows.filter(F.col("_n") > hot_rows), dated, tie, "_n", "_range", hot_rows)
+    ranged = [*dated, "_range"]
+    over_ranges = Window.partitionBy(*dated).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (
+        hot.groupBy(*ranged)
         .agg(F.sum(amount).alias("_sum"))
-        .select(*blocked, F.coalesce(F.sum("_sum").over(over_blocks), F.lit(0.0)).alias("_in_day"))
+        .select(*ranged, F.coalesce(F.sum("_sum").over(over_ranges), F.lit(0.0)).alias("_in_day"))
     )
-    in_block = Window.partitionBy(*blocked).orderBy(tie).rowsBetween(Window.unboundedPreceding, -1)
-    hot = join_null_safe(hot, blocks, blocked).withColumn(
-        out, F.col("_before") + F.col("_in_day") + F.coalesce(F.sum(amount).over(in_block), F.lit(0.0))
+    in_range = Window.partitionBy(*ranged).orderBy(tie).rowsBetween(Window.unboundedPreceding, -1)
+    hot = join_null_safe(hot, ranges, ranged).withColumn(
+        out, F.col("_before") + F.col("_in_day") + F.coalesce(F.sum(amount).over(in_range), F.lit(0.0))
     )
     columns = [*df.columns, out]
     return cold.select(*columns).unionByName(hot.select(*columns))
@@ -104,21 +129,20 @@ def exact_percentiles(
     outs: Sequence[str],
     weight: str | None = None,
     hot_rows: int = HOT_ROWS,
-    bins: int = BINS,
 ) -> DataFrame:
     """Exact linear-interpolated percentiles per group; ``weight`` counts repeated rows.
 
     Ordinary groups use the built-in ``percentile``, which holds a group's distinct
     values in one buffer. Groups above ``hot_rows`` rows are resolved by rank: values are
-    counted, a histogram finds the bins that hold the wanted ranks, and only those bins
-    are ordered. With no keys the whole table is one group and takes the second way.
-    Null values do not count; a group without any value gives no row.
+    counted, ranges of the real order are narrowed to those that hold the wanted ranks, and
+    only what is left is ordered. With no keys the whole table is one group and takes the
+    second way. Null values do not count; a group without any value gives no row.
     """
     rows = df.filter(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("_w")
     )
     if not keys:
-        return _percentiles_by_rank(rows, keys, quantiles, outs, bins)
+        return _percentiles_by_rank(rows, keys, quantiles, outs, hot_rows)
     hot = hot_keys(rows, keys, hot_rows)
     probs = F.array(*[F.lit(float(q)) for q in quantiles])
     cold = (
@@ -128,55 +152,58 @@ def exact_percentiles(
         .select(*keys, *[F.col("_p")[i].alias(o) for i, o in enumerate(outs)])
     )
     heavy = join_null_safe(rows, hot, keys, "left_semi", bounded=True)
-    ranked = _percentiles_by_rank(heavy, keys, quantiles, outs, bins)
+    ranked = _percentiles_by_rank(heavy, keys, quantiles, outs, hot_rows)
     return cold.unionByName(ranked)
 
 
+def _holds(first: str, size: str, ranks: Sequence[Column]) -> Column:
+    """Whether one of the ranks lies among the ``size`` places from ``first``."""
+    return reduce(lambda a, b: a | b, [(r >= F.col(first)) & (r < F.col(first) + F.col(size)) for r in ranks])
+
+
+def narrowed(rows: DataFrame, group: Sequence[str], ranks: Sequence[Column], per: int, level: int) -> DataFrame:
+    """The counted values (``_v``, ``_c``) in those ranges of a group that hold one of the ranks.
+
+    ``_first`` is the place of the group's first value and ``_size`` its distinct values;
+    both become those of the range, whose number is the new column ``_range<level>``.
+    """
+    name = f"_range{level}"
+    inner = [*group, name]
+    placed = in_ranges(rows, group, "_v", "_size", name, per, salt=level)
+    before = Window.partitionBy(*group).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = (
+        placed.groupBy(*inner, "_n", "_first")
+        .agg(F.sum("_c").alias("_held"), F.count(F.lit(1)).alias("_size"))
+        .withColumn("_first", F.col("_first") + F.coalesce(F.sum("_held").over(before), F.lit(0)))
+        .filter(_holds("_first", "_held", ranks))
+        .select(*inner, "_first", "_size")
+    )
+    # One range per rank and group at most.
+    return join_null_safe(placed.drop("_first", "_size"), wanted, inner, bounded=True)
+
+
 def _percentiles_by_rank(
-    rows: DataFrame, keys: Sequence[str], quantiles: Sequence[float], outs: Sequence[str], bins: int
+    rows: DataFrame, keys: Sequence[str], quantiles: Sequence[float], outs: Sequence[str], per: int
 ) -> DataFrame:
-    keys = list(keys)
+    # Without keys one constant stands for the single group.
+    group = list(keys) or ["_all"]
     counts = rows.groupBy(*keys, "_v").agg(F.sum("_w").alias("_c"))
-    span = F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.sum("_c").alias("n")).alias("_s")
-    if keys:
-        spanned = join_null_safe(counts, counts.groupBy(*keys).agg(span), keys)
-    else:
-        spanned = counts.withColumn("_s", counts.agg(span).scalar())
-    low, width = F.col("_s.lo"), F.col("_s.hi") - F.col("_s.lo")
-    bin_no = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("_v") - low) / width * bins)))
-    # Without keys one constant stands for the single group; it only ever meets `bins` rows.
-    group = keys or ["_all"]
-    binned = spanned.select(
-        *keys,
-        *([] if keys else [F.lit(0).alias("_all")]),
-        "_v",
-        "_c",
-        F.col("_s.n").alias("_n"),
-        F.coalesce(bin_no, F.lit(0)).alias("_bin"),
-    )
+    counts = counts if keys else counts.withColumn("_all", F.lit(0))
+    totals = counts.groupBy(*group).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_size"))
+    left = join_null_safe(counts, totals, group, bounded=True).withColumn("_first", F.lit(0).cast("long"))
 
     def position(q: float) -> Column:
         return F.lit(float(q)) * (F.col("_n") - 1)
 
     ranks = [f(position(q)) for q in quantiles for f in (F.floor, F.ceil)]
-
-    def holds(first: str, size: str, rank: Column) -> Column:
-        return (rank >= F.col(first)) & (rank < F.col(first) + F.col(size))
-
-    over_bins = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    wanted = (
-        binned.groupBy(*group, "_bin", "_n")
-        .agg(F.sum("_c").alias("_bc"))
-        .withColumn("_first", F.coalesce(F.sum("_bc").over(over_bins), F.lit(0)))
-        .filter(reduce(lambda a, b: a | b, [holds("_first", "_bc", r) for r in ranks]))
-        .select(*group, "_bin", "_first")
-    )
-    in_bin = Window.partitionBy(*group, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = join_null_safe(binned, wanted, [*group, "_bin"]).withColumn(
-        "_at", F.col("_first") + F.coalesce(F.sum("_c").over(in_bin), F.lit(0))
-    )
+    ranges: list[str] = []
+    for level in range(NARROWINGS):
+        left = narrowed(left, [*group, *ranges], ranks, per, level)
+        ranges.append(f"_range{level}")
+    inside = Window.partitionBy(*group, *ranges).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = left.withColumn("_at", F.col("_first") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
     picks = placed.groupBy(*group, "_n").agg(
-        *[F.max(F.when(holds("_at", "_c", r), F.col("_v"))).alias(f"_r{i}") for i, r in enumerate(ranks)]
+        *[F.max(F.when(_holds("_at", "_c", [r]), F.col("_v"))).alias(f"_r{i}") for i, r in enumerate(ranks)]
     )
     result = [
         _interpolate(F.col(f"_r{2 * i}"), F.col(f"_r{2 * i + 1}"), position(q) - F.floor(position(q))).alias(o)

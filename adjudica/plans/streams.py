@@ -12,6 +12,7 @@ from ..streaming import claims as S
 from .common import r
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
+LATE = "1 hour"  # the streams' allowance for late events
 
 
 def instants(spark, sf_dir):
@@ -42,9 +43,9 @@ def claims_last_hour(spark, sf_dir):
 )
 def claims_last_hour_stream(spark, sf_dir):
     """Sliding one-hour windows from the stream, with those that it still holds open."""
-    closed = S.drain(S.claims_last_hour(S.event_stream(spark, sf_dir), "user_id"), "claims-last-hour")
+    closed = S.drained(S.claims_last_hour(S.event_stream(spark, sf_dir), "user_id"), "claims-last-hour")
     whole = S.claims_last_hour(instants(spark, sf_dir), "user_id")
-    windows = S.with_open_windows(closed, whole, ["user_id", "window_start"])
+    windows = S.with_open_windows(closed, whole, "window_start", "window_end", LATE)
     return windows.select("user_id", stamp("window_start"), "n_claims")
 
 
@@ -62,9 +63,9 @@ def stream_drift(spark, sf_dir):
         M.events(spark, sf_dir).filter(F.col("ts") < F.lit("2024-01-08 00:00:00").cast("timestamp"))
         .groupBy("event_type").agg(F.avg("value").alias("base_mean"))
     )
-    closed = S.drain(S.stream_drift(S.event_stream(spark, sf_dir), base, "event_type", "value", 0.2), "stream-drift")
+    closed = S.drained(S.stream_drift(S.event_stream(spark, sf_dir), base, "event_type", "value", 0.2), "stream-drift")
     whole = S.stream_drift(instants(spark, sf_dir), base, "event_type", "value", 0.2)
-    daily = S.with_open_windows(closed, whole, ["event_type", "day"])
+    daily = S.with_open_windows(closed, whole, "day", "day_end", LATE)
     return daily.select(
         "event_type", F.date_format("day", "yyyy-MM-dd").alias("day"), r("live_mean", 6).alias("live_mean"),
         r("base_mean", 6).alias("base_mean"), r("relative_move", 6).alias("relative_move"), "drifted",
@@ -78,7 +79,8 @@ def stream_drift(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """One event per member, type and day."""
     days = S.event_stream(spark, sf_dir).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    kept = S.drain(S.stream_dedup(days, ["user_id", "event_type", "day"], "event_id"), "stream-dedup")
+    with S.state_store(spark, S.ROCKSDB):
+        kept = S.drain(S.stream_dedup(days, ["user_id", "event_type", "day"], "event_id"), "stream-dedup")
     return kept.select("user_id", "event_type", "day")
 
 
@@ -128,7 +130,7 @@ def member_session(spark, sf_dir):
 @query("member_session_stream", SESSIONS)
 def member_session_stream(spark, sf_dir):
     """Sessions from the stream, with those that it still holds open."""
-    closed = S.drain(S.member_sessions(S.event_stream(spark, sf_dir), "user_id"), "member-sessions")
+    closed = S.drained(S.member_sessions(S.event_stream(spark, sf_dir), "user_id"), "member-sessions")
     whole = W.member_sessions(instants(spark, sf_dir), "user_id", "ts")
-    sessions = S.with_open_windows(closed, whole, ["user_id", "session_start"])
+    sessions = S.with_open_windows(closed, whole, "session_start", "session_end", LATE)
     return sessions.select("user_id", stamp("session_start"), stamp("session_end"), "n_events")

@@ -6,7 +6,11 @@ append output: a row appears when it can no longer change.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +18,8 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources.tables import SCHEMAS, is_folder, path_exists
 
-DEDUP_SALTS = 16
+DEDUP_SLICES = 256
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def event_stream(spark: SparkSession, data_dir: str, table: str = "events", files_per_batch: int = 1000) -> DataFrame:
@@ -49,7 +54,7 @@ def stream_drift(
         events.withWatermark(ts, late)
         .groupBy(key, F.window(ts, "1 day").alias("w"))
         .agg(F.avg(value).alias("live_mean"))
-        .select(key, F.col("w.start").alias("day"), "live_mean")
+        .select(key, F.col("w.start").alias("day"), F.col("w.end").alias("day_end"), "live_mean")
     )
     move = F.try_divide(F.abs(F.col("live_mean") - F.col("base_mean")), F.col("base_mean"))
     return (
@@ -60,17 +65,20 @@ def stream_drift(
 
 
 def stream_dedup(
-    events: DataFrame, signature: Sequence[str], spread: str, ts: str = "ts", keep_for: str = "40 days"
+    events: DataFrame, signature: Sequence[str], spread: str, ts: str = "ts", keep_for: str = "25 hours",
+    slices: int = DEDUP_SLICES,
 ) -> DataFrame:
     """First event of each signature within the watermark.
 
-    Copies are first dropped within hash slices of the ``spread`` column, so a very
-    frequent signature reaches the final step at most once per slice.
+    ``keep_for`` is how long a signature is remembered, and how late an event may be: for a
+    signature that holds the day, a day and the lateness. Copies are first dropped within
+    hash slices of the ``spread`` column, so a very frequent signature reaches the final
+    step at most once per slice.
     """
     hashed = events.withWatermark(ts, keep_for).withColumn(
         "claim_hash", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in signature]))
     )
-    sliced = hashed.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(DEDUP_SALTS)))
+    sliced = hashed.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(slices)))
     thinned = sliced.dropDuplicatesWithinWatermark(["claim_hash", "_slice"]).drop("_slice")
     return thinned.dropDuplicatesWithinWatermark(["claim_hash"])
 
@@ -85,8 +93,29 @@ def member_sessions(events: DataFrame, key: str, ts: str = "ts", gap: str = "30
     )
 
 
-def drain(stream: DataFrame, name: str, out: str | None = None, state: str | None = None) -> DataFrame:
-    """Run a stream over all data present and return what it has written.
+@contextmanager
+def state_store(spark: SparkSession, provider: str) -> Iterator[None]:
+    """Streams started inside keep their state in this provider; the setting is put back afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, provider)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+@dataclass(frozen=True)
+class Drained:
+    """What a drained stream has written, its last watermark (``None`` if it saw no event), and the rows of state it holds."""
+
+    rows: DataFrame
+    watermark: datetime | None
+    state_rows: int
+
+
+def drained(stream: DataFrame, name: str, out: str | None = None, state: str | None = None) -> Drained:
+    """Run a stream over all data present.
 
     ``out`` and ``state`` are the output and checkpoint folders; a job that is started
     again with the same two goes on where it stopped. Without them a run has its own.
@@ -102,19 +131,33 @@ def drain(stream: DataFrame, name: str, out: str | None = None, state: str | Non
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    last = json.loads(query.lastProgress.json) if query.lastProgress else {}
+    told = last.get("eventTime", {}).get("watermark")
+    watermark = datetime.fromisoformat(told.replace("Z", "+00:00")) if told else None
+    if watermark is not None and watermark.timestamp() <= 0:  # where a stream starts
+        watermark = None
+    held = sum(part.get("numRowsTotal", 0) for part in last.get("stateOperators", []))
+    return Drained(spark.read.schema(stream.schema).parquet(out), watermark, held)
+
+
+def drain(stream: DataFrame, name: str, out: str | None = None, state: str | None = None) -> DataFrame:
+    """The rows that :func:`drained` has written."""
+    return drained(stream, name, out, state).rows
 
 
-def with_open_windows(closed: DataFrame, whole: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Windows that a drained stream has closed, and those it still holds open.
+def with_open_windows(done: Drained, whole: DataFrame, start: str, end: str, late: str) -> DataFrame:
+    """The windows that a drained stream has closed, and those it still holds open.
 
-    ``whole`` is the batch form over the stored events; it supplies the windows behind the
-    watermark, recognised by ``keys``.
+    ``whole`` is the batch form over the stored events. Of it come only the windows that the
+    stream must still hold: they end after its watermark and start no later than the last
+    event it saw (the watermark and ``late``). What the stream had to close itself, or never
+    saw, is not made up for.
     """
-    # Not an anti-join: that would be pushed below the session aggregate, where windows are not merged yet.
-    done = closed.select(*keys, F.lit(True).alias("_closed"))
-    still_open = whole.select(closed.columns).join(done, list(keys), "left").filter(F.col("_closed").isNull())
-    return closed.unionByName(still_open.select(closed.columns))
+    if done.watermark is None:
+        return done.rows
+    mark = F.lit(done.watermark).cast("timestamp")
+    held = (F.col(end) > mark) & (F.col(start) <= mark + F.expr(f"INTERVAL {late}"))
+    return done.rows.unionByName(whole.select(done.rows.columns).filter(held))
 
 
 def stream_triage(

@@ -43,11 +43,11 @@ def frame(spark, claims):
     return spark.createDataFrame(claims, SCHEMA).repartition(3)
 
 
-@pytest.mark.parametrize("hot_rows, block", [(1000, None), (20, 37), (1, 1)])
-def test_running_total(frame, claims, hot_rows, block):
+@pytest.mark.parametrize("hot_rows", [1000, 20, 1])
+def test_running_total(frame, claims, hot_rows):
     got = K.running_total_before(
         frame, ["patient_key"], "max_serviced_date", "claim_request_bundle_id", "payer_share_amount", "spent",
-        hot_rows, block,
+        hot_rows,
     ).toPandas().set_index("claim_request_bundle_id")["spent"].to_dict()
     ordered = claims.sort_values(["patient_key", "max_serviced_date", "claim_request_bundle_id"])
     want = ordered.groupby("patient_key")["payer_share_amount"].cumsum() - ordered["payer_share_amount"]
@@ -61,15 +61,44 @@ def test_running_total_keeps_null_days_and_keys(spark):
     assert got == {1: 0.0, 2: 5.0, 3: 0.0, 4: 0.0}
 
 
-@pytest.mark.parametrize("hot_rows, bins", [(10_000, 64), (30, 4), (0, 64), (0, 1)])
-def test_exact_percentiles(frame, claims, hot_rows, bins):
+@pytest.mark.parametrize("hot_rows", [10_000, 30, 1])
+def test_exact_percentiles(frame, claims, hot_rows):
     got = K.exact_percentiles(
-        frame, ["patient_key"], "payer_share_amount", [0.25, 0.5, 0.9], ["a", "b", "c"], hot_rows=hot_rows, bins=bins
+        frame, ["patient_key"], "payer_share_amount", [0.25, 0.5, 0.9], ["a", "b", "c"], hot_rows=hot_rows
     ).toPandas().set_index("patient_key").sort_index()
     want = claims.groupby("patient_key")["payer_share_amount"].quantile([0.25, 0.5, 0.9]).unstack()
     np.testing.assert_allclose(got[["a", "b", "c"]], want, rtol=1e-9)
 
 
+@pytest.mark.parametrize("values", ["outlier", "clustered"])
+def test_selection_orders_few_values_whatever_their_spread(spark, values):
+    """200,000 values, one of them 1e12 or nearly all in one narrow place."""
+    number = F.col("id").cast("double")
+    one = F.when(F.col("id") == 7, 1e12).otherwise(F.pmod(F.xxhash64("id"), F.lit(10**15)) / 1e9)
+    dense = F.when(F.col("id") < 5, number * 1e6).otherwise(F.lit(0.5) + number / 1e9)
+    rows = spark.range(200_000).select((one if values == "outlier" else dense).alias("_v"), F.lit(1).alias("_c"), F.lit(0).alias("g"))
+    sized = rows.withColumns({"_n": F.lit(200_000), "_size": F.lit(200_000), "_first": F.lit(0)})
+    per = 4000
+    ranges = K.in_ranges(sized, ["g"], "_v", "_size", "part", per)
+    assert ranges.groupBy("part").count().agg(F.max("count")).first()[0] < per
+    left = K.narrowed(K.narrowed(sized, ["g"], [F.lit(50_000)], per, 0), ["g", "_range0"], [F.lit(50_000)], per, 1)
+    assert left.count() < per
+    want = rows.toPandas()["_v"].quantile([0.25, 0.9])
+    got = K.exact_percentiles(rows, [], "_v", [0.25, 0.9], ["a", "b"], hot_rows=per).first()
+    assert tuple(got) == pytest.approx(tuple(want))
+
+
+def test_running_total_of_one_hot_day_with_hashed_ids(spark):
+    rows = spark.range(60_000).select(
+        F.lit(1).alias("k"), F.lit(DAY0).alias("d"), F.xxhash64("id").alias("id"), (F.col("id") % 100).cast("double").alias("v")
+    )
+    counted = rows.withColumn("n", F.lit(60_000))
+    per = 2000
+    assert K.in_ranges(counted, ["k", "d"], "id", "n", "part", per).groupBy("part").count().agg(F.max("count")).first()[0] < per
+    got = K.running_total_before(rows, ["k"], "d", "id", "v", "s", per).toPandas().sort_values("id")
+    assert (got["s"] == got["v"].cumsum() - got["v"]).all()
+
+
 def test_exact_percentiles_weights_and_whole_table(spark, frame, claims):
     rows = [(1, 1.0, 3), (1, 9.0, 1), (1, None, 5), (2, 4.0, 2)]
     df = spark.createDataFrame(rows, "k bigint, v double, w bigint")
@@ -181,7 +210,7 @@ def test_claims_without_a_date_count_nothing(spark):
 def test_hot_null_key_is_split_too(spark):
     rows = [(None, float(i)) for i in range(50)] + [(1, 3.0)]
     df = spark.createDataFrame(rows, "k bigint, v double")
-    got = {r["k"]: r["q"] for r in K.exact_percentiles(df, ["k"], "v", [0.5], ["q"], hot_rows=10, bins=4).collect()}
+    got = {r["k"]: r["q"] for r in K.exact_percentiles(df, ["k"], "v", [0.5], ["q"], hot_rows=10).collect()}
     assert got == {None: 24.5, 1: 3.0}
 
 

@@ -92,13 +92,39 @@ def test_triage_logs_every_event_once(spark, tmp_path, rows):
     assert log.filter("final_decision = 'AUTO_APPROVED'").count() == 60
 
 
-def test_open_windows_complete_the_closed_ones(spark, tmp_path, rows):
-    stream = source(spark, tmp_path, [rows])
-    closed = S.drain(S.claims_last_hour(stream, "user_id"), "t-open")
+def completed(spark, tmp_path, rows, seen, name):
+    """The windows of a stream over ``seen``, completed from the batch form over ``rows``."""
+    done = S.drained(S.claims_last_hour(source(spark, tmp_path, [seen]), "user_id"), name)
     whole = S.claims_last_hour(spark.createDataFrame(rows, SCHEMA), "user_id")
-    got = S.with_open_windows(closed, whole, ["user_id", "window_start"])
-    assert closed.count() < got.count()
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+    got = S.with_open_windows(done, whole, "window_start", "window_end", "1 hour")
+    return done, sorted(map(tuple, got.collect())), sorted(map(tuple, whole.collect()))
+
+
+def test_open_windows_complete_the_closed_ones(spark, tmp_path, rows):
+    done, got, want = completed(spark, tmp_path, rows, rows, "t-open")
+    assert 0 < done.rows.count() < len(got) and got == want
+
+
+@pytest.mark.parametrize("kept", [0, 60])
+def test_windows_of_an_emptied_or_cut_stream_are_not_made_up_for(spark, tmp_path, rows, kept):
+    seen = rows[:kept] or [(0, None, 1, "a", 1.0)]
+    done, got, want = completed(spark, tmp_path, rows, seen, f"t-cut-{kept}")
+    assert got != want and set(got) < set(want) | set(map(tuple, done.rows.collect()))
+    assert (done.watermark is None) == (kept == 0)
+
+
+def test_dedup_forgets_what_is_past(spark, tmp_path):
+    """One signature per member and day over 30 days: the state holds the last days only."""
+    batches = [[(100 * d + i, at(1440 * d + i), i, "a", 1.0) for i in range(20)] * 2 for d in range(30)]
+    held = []
+    with S.state_store(spark, S.ROCKSDB):
+        for last in (3, 30):
+            stream = source(spark, tmp_path / str(last), batches[:last]).withColumn("day", F.to_date("ts"))
+            done = S.drained(S.stream_dedup(stream, ["user_id", "day"], "event_id", slices=4), f"t-forget-{last}")
+            assert done.rows.count() == 20 * last
+            held.append(done.state_rows)
+    assert held[1] <= held[0] <= 2 * 20 * 3
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != S.ROCKSDB
 
 
 @pytest.mark.parametrize("parts", [1, 3])
