@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.skew import exact_percentiles
+from ..sources.files import stored
 
 EULER = 0.5772156649015329
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, size int"
@@ -116,18 +117,17 @@ def draw_samples(df: DataFrame, key: str, rows: int, trees: int, sample: int, se
     return copies if share >= 1.0 else copies.filter(uniform(F.lit("tree"), F.col("tree"), F.col(key)) < share)
 
 
-def fit_forest(
-    df: DataFrame,
-    key: str,
-    features: Sequence[str],
-    contamination: float,
-    trees: int = 100,
-    sample: int = 256,
-    seed: int = 42,
+def _filled(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``df`` with its features as numbers, 0 where they are missing."""
+    return df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) if c in features else F.col(c) for c in df.columns])
+
+
+def grow_forest(
+    df: DataFrame, key: str, features: Sequence[str], trees: int = 100, sample: int = 256, seed: int = 42
 ) -> IsolationForest:
-    """Fit on ``df``; the offset makes the given share of its rows score below 0."""
+    """A forest without an offset yet."""
     names = list(features)
-    data = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names])
+    data = _filled(df.select(key, *names), names)
     rows = max(data.count(), 1)
     psi = min(sample, rows)
     max_depth = max(1, ceil(log2(max(psi, 2))))
@@ -142,17 +142,37 @@ def fit_forest(
 
     drawn = draw_samples(data, key, rows, trees, psi, seed)
     # The node table has at most 2 * rows_per_sample - 1 nodes per tree.
-    nodes = drawn.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
-    forest = IsolationForest(names, nodes, psi)
-    cut = exact_percentiles(forest.score(data, "_s").select("_s"), [], "_s", [contamination], ["_cut"]).first()
-    forest.offset = float(cut["_cut"]) if cut else 0.0
+    return IsolationForest(names, drawn.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas(), psi)
+
+
+def _cut(scores: DataFrame, score: str, contamination: float) -> float:
+    cut = exact_percentiles(scores.select(score), [], score, [contamination], ["_cut"]).first()
+    return float(cut["_cut"]) if cut else 0.0
+
+
+def fit_forest(
+    df: DataFrame, key: str, features: Sequence[str], contamination: float, trees: int = 100, sample: int = 256, seed: int = 42
+) -> IsolationForest:
+    """Fit on ``df``; the offset makes the given share of its rows score below 0."""
+    forest = grow_forest(df, key, features, trees, sample, seed)
+    forest.offset = _cut(forest.score(_filled(df.select(*features), features), "_s"), "_s", contamination)
     return forest
 
 
+def fit_scores(
+    df: DataFrame, key: str, features: Sequence[str], contamination: float, out: str = "anomaly_score", seed: int = 42
+) -> tuple[IsolationForest, DataFrame]:
+    """The forest fitted on ``df`` and the scores of these rows, each of which Python sees once.
+
+    The scores are written to the scratch folder; the cut is selected from what is stored
+    there and taken off.
+    """
+    forest = grow_forest(df, key, features, seed=seed)
+    raw = stored(df.sparkSession, forest.score(_filled(df, features), out), "forest-scores")
+    forest.offset = _cut(raw, out, contamination)
+    return forest, raw.withColumn(out, F.col(out) - F.lit(forest.offset))
+
+
 def forest_scores(df: DataFrame, forest: IsolationForest, out: str = "anomaly_score") -> DataFrame:
     """Score any table that has the forest's features, also one it was not fitted on."""
-    filled = [
-        F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) if c in forest.features else F.col(c)
-        for c in df.columns
-    ]
-    return forest.score(df.select(*filled), out)
+    return forest.score(_filled(df, forest.features), out)

@@ -29,6 +29,11 @@ def ytd_spend(header: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return running_total_before(dated, [MEMBER, "_year"], DATE, CLAIM, AMOUNT, "ytd_spend", hot_rows).drop("_year")
 
 
+def amount_step(unit: float = 0.01, amount: str = AMOUNT) -> Column:
+    """Whole units in an amount: what a duplicate signature holds of it."""
+    return F.floor(F.col(amount) / F.lit(unit))
+
+
 def signature_hash(signature: Sequence[str]) -> Column:
     """md5 of the signature columns; null parts are skipped."""
     return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in signature]))

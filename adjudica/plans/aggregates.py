@@ -13,7 +13,7 @@ from ..operators import windows as W
 from ..registry import query
 from ..sources import claims_model as M
 from .common import day_text, r
-from .joins import FLAT
+from .joins import AMOUNT_UNIT, FLAT, SIGNATURE
 from .rules import FLAGS_CTE, TRIAGE_CTE, labelled_claims, triaged_lines
 from .scans import WEIGHTS_SQL
 from .views import using
@@ -369,16 +369,16 @@ def member_profitability(spark, sf_dir):
     "provider_duplicate_ratio",
     using(
         "line",
-        """, d AS (SELECT *, DENSE_RANK() OVER (PARTITION BY provider_license_key, max_serviced_date
-        ORDER BY claim_request_bundle_id) > 1 AS dup FROM line)
+        f""", d AS (SELECT *, DENSE_RANK() OVER (PARTITION BY provider_license_key, max_serviced_date,
+        FLOOR(payer_share_amount / {AMOUNT_UNIT}) ORDER BY claim_request_bundle_id) > 1 AS dup FROM line)
         SELECT provider_license_key, ROUND(AVG(CASE WHEN dup THEN 1.0 ELSE 0.0 END), 6) AS duplicate_ratio
         FROM d GROUP BY 1""",
     ),
 )
 def provider_duplicate_ratio(spark, sf_dir):
-    """Share of a provider's lines billed on a day already billed by an earlier claim."""
-    lines = M.claim_line(spark, sf_dir).select(C.CLAIM, C.PROVIDER, C.DATE)
-    marked = W.duplicate_claims(lines, [C.PROVIDER, C.DATE], [C.CLAIM])
+    """Share of a provider's lines whose date and amount an earlier claim of the provider has already."""
+    lines = M.claim_line(spark, sf_dir).select(C.CLAIM, C.PROVIDER, C.DATE, W.amount_step(AMOUNT_UNIT).alias("amount_units"))
+    marked = W.duplicate_claims(lines, SIGNATURE, [C.CLAIM])
     return marked.groupBy(C.PROVIDER).agg(r(X.share(F.col("is_duplicate_suspect") == 1), 6).alias("duplicate_ratio"))
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.files import load_artifact, read_abt, save_artifact, write_abt
 from ..session import scratch_path
+from ..sources.files import load_artifact, save_artifact, stored
 
 
 def r(column: Column | str, digits: int = 6) -> Column:
@@ -17,13 +17,6 @@ def day_text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """The table written once to the shared scratch folder, for work that reads it several times."""
-    path = scratch_path(spark, name)
-    write_abt(df, path)
-    return read_abt(spark, path, df.schema)
-
-
 def through_json(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """The table after a trip through a JSON artifact file."""
     path = scratch_path(spark, name)

@@ -171,11 +171,15 @@ def abt_onboarding(spark, sf_dir):
 
 
 LIMITS_SQL = ", ".join(f"('{plan}', {limit}::DOUBLE)" for plan, limit in M.PLAN_LIMITS.items())
-FINANCIAL_CTE = f""", running AS (SELECT *, SUM(payer_share_amount) OVER (PARTITION BY patient_key,
+#: Amounts of one claim signature differ by less than this.
+AMOUNT_UNIT = 20_000.0
+BILLING_CTE = """, billing AS (SELECT claim_request_bundle_id, provider_license_key FROM (SELECT *, ROW_NUMBER() OVER
+    (PARTITION BY claim_request_bundle_id ORDER BY line_no, provider_license_key) AS rn FROM line) WHERE rn = 1)"""
+FINANCIAL_CTE = f"""{BILLING_CTE}, running AS (SELECT *, SUM(payer_share_amount) OVER (PARTITION BY patient_key,
     YEAR(max_serviced_date) ORDER BY max_serviced_date, claim_request_bundle_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS spent,
-    ROW_NUMBER() OVER (PARTITION BY patient_key, max_serviced_date ORDER BY claim_request_bundle_id) AS rn
-    FROM header),
+    ROW_NUMBER() OVER (PARTITION BY max_serviced_date, FLOOR(payer_share_amount / {AMOUNT_UNIT}), provider_license_key
+    ORDER BY claim_request_bundle_id) AS rn FROM header LEFT JOIN billing USING (claim_request_bundle_id)),
     limits(plan, plan_limit) AS (VALUES {LIMITS_SQL}),
     financial AS (SELECT r.claim_request_bundle_id, r.patient_key, p.classname AS plan_id,
     r.payer_share_amount AS claim_amount, COALESCE(spent, 0.0) AS ytd_spend, COALESCE(plan_limit, 10000.0) AS lim,
@@ -187,14 +191,23 @@ def plan_limits(spark):
     return spark.createDataFrame(list(M.PLAN_LIMITS.items()), "plan_id string, plan_limit double")
 
 
+def billed_header(spark, sf_dir):
+    """Claims with the provider of their first line and the whole units of their amount."""
+    first = F.min(F.struct("line_no", C.PROVIDER))[C.PROVIDER].alias(C.PROVIDER)
+    billing = M.claim_line(spark, sf_dir).groupBy(C.CLAIM).agg(first)
+    return M.claim_header(spark, sf_dir).join(billing, C.CLAIM, "left").withColumn("amount_units", W.amount_step(AMOUNT_UNIT))
+
+
+SIGNATURE = [C.DATE, "amount_units", C.PROVIDER]
+
+
 def financial_table(spark, sf_dir):
-    """Claims with the member's plan, spend so far this year, and repeats of an earlier claim."""
+    """Claims with the member's plan, their provider, spend so far this year, and repeats of date, amount and provider."""
     plans = M.policy(spark, sf_dir).select(C.MEMBER, F.col("classname").alias("plan_id"))
-    header = M.claim_header(spark, sf_dir)
-    signature, order = [C.MEMBER, C.DATE], [C.DATE, C.CLAIM]
+    header, order = billed_header(spark, sf_dir), [C.DATE, C.CLAIM]
     # Both side tables come from the stored header, so the running total is not computed twice.
-    repeated = W.repeated_signatures(header, signature, order)
-    marked = W.mark_duplicates(W.ytd_spend(header), repeated, signature, order)
+    repeated = W.repeated_signatures(header, SIGNATURE, order)
+    marked = W.mark_duplicates(W.ytd_spend(header), repeated, SIGNATURE, order)
     return marked.join(plans, C.MEMBER, "left").withColumn("claim_amount", F.col(C.AMOUNT))
 
 
@@ -213,19 +226,15 @@ def provider_master(spark, sf_dir):
 
 CLAIM_TIER_CTE = (
     TIER_CTE
-    + """, billing AS (SELECT claim_request_bundle_id, provider_license_key FROM (SELECT *, ROW_NUMBER() OVER
-    (PARTITION BY claim_request_bundle_id ORDER BY line_no, provider_license_key) AS rn FROM line) WHERE rn = 1),
-    claim_tier AS (SELECT claim_request_bundle_id, provider_license_key, COALESCE(tier, 2) AS provider_network_tier
+    + """, claim_tier AS (SELECT claim_request_bundle_id, provider_license_key, COALESCE(tier, 2) AS provider_network_tier
     FROM billing LEFT JOIN tiers USING (provider_license_key))"""
 )
 
 
 def with_claim_tier(spark, sf_dir, claims):
-    """Claims with the provider of their first line and its network tier; 2 where either is unknown."""
-    first = F.min(F.struct("line_no", C.PROVIDER))[C.PROVIDER].alias(C.PROVIDER)
-    billing = M.claim_line(spark, sf_dir).groupBy(C.CLAIM).agg(first)
-    tiers = billing.join(provider_master(spark, sf_dir), C.PROVIDER, "left").select(C.CLAIM, C.PROVIDER, "tier")
-    return claims.join(tiers, C.CLAIM, "left").withColumn("provider_network_tier", X.network_tier("tier")).drop("tier")
+    """Billed claims with the network tier of their provider; 2 where either is unknown."""
+    tiers = provider_master(spark, sf_dir).select(C.PROVIDER, "tier")
+    return claims.join(tiers, C.PROVIDER, "left").withColumn("provider_network_tier", X.network_tier("tier")).drop("tier")
 
 
 @query(

@@ -31,7 +31,7 @@ def stored_provider_features(spark, sf_dir):
 
 
 def _scored(df, key, features, contamination, k):
-    scores = I.forest_scores(df, I.fit_forest(df, key, features, contamination))
+    _, scores = I.fit_scores(df, key, features, contamination)
     return P.top_k(scores.withColumn("anomaly_score", r("anomaly_score", 6)), "anomaly_score", key, k)
 
 
@@ -39,8 +39,7 @@ def _scored(df, key, features, contamination, k):
 def isolation_forest_score(spark, sf_dir):
     """Anomaly score of every provider."""
     features = stored_provider_features(spark, sf_dir)
-    forest = I.fit_forest(features, C.PROVIDER, PROVIDER_FEATURES, 0.05)
-    return I.forest_scores(features, forest)
+    return I.fit_scores(features, C.PROVIDER, PROVIDER_FEATURES, 0.05)[1]
 
 
 @query("isolation_forest_claims")
@@ -313,8 +312,8 @@ def churn_drivers(spark, sf_dir):
 def fwa_model(spark, sf_dir):
     """Classifier over provider features, taught by the lowest quarter of the forest scores."""
     features = stored_provider_features(spark, sf_dir)
-    scores = I.forest_scores(features, I.fit_forest(features, C.PROVIDER, PROVIDER_FEATURES, 0.05))
-    labelled = E.quantile_label(stored(spark, scores, "provider-scores"), "anomaly_score")
+    _, scores = I.fit_scores(features, C.PROVIDER, PROVIDER_FEATURES, 0.05)
+    labelled = E.quantile_label(scores, "anomaly_score")
     return _binary(spark, labelled, C.PROVIDER, PROVIDER_FEATURES, "is_fraud", "fwa-training")
 
 

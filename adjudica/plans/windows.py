@@ -14,6 +14,7 @@ from ..registry import query
 from ..sources import claims_model as M
 from .aggregates import FWA_CTE, HIGH_COST, MEMBER_LINES, member_lines
 from .common import day_text, r
+from .joins import AMOUNT_UNIT, BILLING_CTE, SIGNATURE, billed_header
 from .views import using
 
 
@@ -57,15 +58,16 @@ def ytd_spend(spark, sf_dir):
 @query(
     "duplicate_claims",
     using(
-        "header",
-        """SELECT claim_request_bundle_id, CAST(CASE WHEN ROW_NUMBER() OVER (PARTITION BY patient_key,
-        max_serviced_date ORDER BY claim_request_bundle_id) > 1 THEN 1 ELSE 0 END AS INTEGER)
-        AS is_duplicate_suspect FROM header""",
+        "header line",
+        BILLING_CTE
+        + f""" SELECT claim_request_bundle_id, CAST(CASE WHEN ROW_NUMBER() OVER (PARTITION BY max_serviced_date,
+        FLOOR(payer_share_amount / {AMOUNT_UNIT}), provider_license_key ORDER BY claim_request_bundle_id) > 1 THEN 1 ELSE 0
+        END AS INTEGER) AS is_duplicate_suspect FROM header LEFT JOIN billing USING (claim_request_bundle_id)""",
     ),
 )
 def duplicate_claims(spark, sf_dir):
-    """Repeats of an earlier claim of the same member and day."""
-    marked = W.duplicate_claims(M.claim_header(spark, sf_dir), [C.MEMBER, C.DATE], [C.DATE, C.CLAIM])
+    """Repeats of an earlier claim with the same date, amount and provider."""
+    marked = W.duplicate_claims(billed_header(spark, sf_dir), SIGNATURE, [C.DATE, C.CLAIM])
     return marked.select(C.CLAIM, "is_duplicate_suspect")
 
 
@@ -73,16 +75,16 @@ def duplicate_claims(spark, sf_dir):
     "duplicate_lines",
     using(
         "line",
-        """SELECT provider_license_key, CAST(max_serviced_date AS VARCHAR) AS max_serviced_date, COUNT(*) AS n_lines,
+        f"""SELECT provider_license_key, CAST(max_serviced_date AS VARCHAR) AS max_serviced_date, COUNT(*) AS n_lines,
         COUNT(*) - COUNT(*) FILTER (WHERE claim_request_bundle_id = first) AS n_suspect FROM (SELECT *,
-        MIN(claim_request_bundle_id) OVER (PARTITION BY provider_license_key, max_serviced_date) AS first FROM line)
-        GROUP BY 1, 2""",
+        MIN(claim_request_bundle_id) OVER (PARTITION BY provider_license_key, max_serviced_date,
+        FLOOR(payer_share_amount / {AMOUNT_UNIT})) AS first FROM line) GROUP BY 1, 2""",
     ),
 )
 def duplicate_lines(spark, sf_dir):
-    """Suspect lines per provider and day: billed by a later claim than the day's first."""
-    lines = M.claim_line(spark, sf_dir).select(C.CLAIM, C.PROVIDER, C.DATE)
-    marked = W.duplicate_claims(lines, [C.PROVIDER, C.DATE], [C.CLAIM])
+    """Suspect lines per provider and day: a claim before has the same date, amount and provider."""
+    lines = M.claim_line(spark, sf_dir).select(C.CLAIM, C.PROVIDER, C.DATE, W.amount_step(AMOUNT_UNIT).alias("amount_units"))
+    marked = W.duplicate_claims(lines, SIGNATURE, [C.CLAIM])
     return marked.groupBy(C.PROVIDER, day_text(C.DATE).alias(C.DATE)).agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("is_duplicate_suspect").alias("n_suspect")
     )
