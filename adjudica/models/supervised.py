@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from .attribution import ensemble_leaves, with_contributions
 
 log = logging.getLogger(__name__)
 
@@ -89,28 +90,17 @@ def batch_score(df: DataFrame, champion: PipelineModel, challenger: PipelineMode
     return scored.withColumn("challenger_prediction", F.lit(-1.0))
 
 
-def churn_drivers(df: DataFrame, features: Sequence[str], target: str, top: int = 3) -> DataFrame:
-    """Churn probability and the features that move it most per row.
+def churn_drivers(df: DataFrame, features: Sequence[str], target: str, top: int = 3, rounds: int = ROUNDS) -> DataFrame:
+    """Churn probability by boosted trees and the features that move it most per row, strongest first.
 
-    The contribution of a feature to a linear model is its coefficient times the
-    distance from the mean.
+    ``contributions`` holds what each feature adds to the margin, in the order of ``features``.
     """
     names = list(features)
-    stages = [VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep"),
-              LogisticRegression(labelCol=target, maxIter=50, regParam=0.01)]
-    model = Pipeline(stages=stages).fit(df)
-    weights = [float(w) for w in model.stages[-1].coefficients]
-    means = df.agg(*[F.avg(c).alias(c) for c in names]).first()
+    model = fit_binary(df, names, target, rounds)
+    scored = model.transform(df).select(*df.columns, vector_to_array("probability")[1].alias("predicted_churn"))
+    shared = with_contributions(scored, names, ensemble_leaves(df, model.stages[-1]))
     parts = F.array(
-        *[
-            F.struct(
-                (-F.abs(F.lit(w) * (F.col(c) - F.lit(float(means[c]))))).alias("size"), F.lit(c).alias("name")
-            )
-            for c, w in zip(names, weights)
-        ]
+        *[F.struct((-F.abs(F.col("contributions")[i])).alias("size"), F.lit(c).alias("name")) for i, c in enumerate(names)]
     )
     strongest = F.transform(F.slice(F.array_sort(parts), 1, top), lambda p: p["name"])
-    probability = vector_to_array("probability")[1]
-    return model.transform(df).select(
-        *df.columns, probability.alias("predicted_churn"), strongest.alias("top_churn_drivers")
-    )
+    return shared.withColumn("top_churn_drivers", strongest)

@@ -271,7 +271,8 @@ def _binary(spark, table, key, features, target, name):
 
 
 CHURN_FEATURES = [
-    "out_of_pocket_ratio", "premium_increase_percentage", "pre_auth_denial_rate", "manual_adjudication_rate",
+    "out_of_pocket_ratio", "premium_increase_percentage", "pre_auth_denial_rate", "policy_duration_days",
+    "manual_adjudication_rate",
 ]
 
 
@@ -285,10 +286,12 @@ def churn_training(spark, sf_dir):
             "premium_increase_percentage"
         )
     )
+    # The first claim stands for the start of the policy, which the policy table does not hold.
+    start = M.claim_header(spark, sf_dir).groupBy(C.MEMBER).agg(F.min(C.DATE).alias("_start"))
     drawn = X.hashed_uniform(C.MEMBER, "churn") < F.col("churn_probability")
-    return churn_table(spark, sf_dir).withColumn("did_churn", X.flag(drawn)).join(latest, C.MEMBER, "left").na.fill(
-        0, ["premium_increase_percentage"]
-    )
+    table = churn_table(spark, sf_dir).withColumn("did_churn", X.flag(drawn)).join(latest, C.MEMBER, "left").join(start, C.MEMBER, "left")
+    days = F.datediff("policyexpirydate", "_start")
+    return table.withColumn("policy_duration_days", days).na.fill(0, ["premium_increase_percentage", "policy_duration_days"])
 
 
 @query("churn_model")
@@ -296,16 +299,22 @@ def churn_model(spark, sf_dir):
     return _binary(spark, churn_training(spark, sf_dir), C.MEMBER, CHURN_FEATURES, "did_churn", "churn-training")
 
 
+def driven_members(spark, sf_dir):
+    columns = churn_training(spark, sf_dir).select(C.MEMBER, *CHURN_FEATURES, "did_churn")
+    ranked = S.churn_drivers(stored(spark, columns, "churn-training"), CHURN_FEATURES, "did_churn")
+    return ranked.select(C.MEMBER, "predicted_churn", F.array_join("top_churn_drivers", "|").alias("top_churn_drivers"))
+
+
 @query("churn_drivers")
 def churn_drivers(spark, sf_dir):
     """Members with their churn probability and its three strongest drivers."""
-    table = stored(
-        spark, churn_training(spark, sf_dir).select(C.MEMBER, *CHURN_FEATURES, "did_churn"), "churn-training"
-    )
-    ranked = S.churn_drivers(table, CHURN_FEATURES, "did_churn")
-    return ranked.select(
-        C.MEMBER, "predicted_churn", F.array_join("top_churn_drivers", "|").alias("top_churn_drivers")
-    )
+    return driven_members(spark, sf_dir)
+
+
+@query("retention_worklist")
+def retention_worklist(spark, sf_dir):
+    """All members by predicted churn, highest first (a range-partitioned sort), with their drivers."""
+    return driven_members(spark, sf_dir).orderBy(F.desc("predicted_churn"), C.MEMBER)
 
 
 @query("fwa_model")

@@ -303,14 +303,14 @@ def churn_target_prob(spark, sf_dir):
 
 
 @query(
-    "retention_worklist",
+    "retention_worklist_rates",
     using(
         "header policy",
         CHURN_CTE + " SELECT patient_key, churn_probability FROM churn ORDER BY churn_probability DESC, patient_key",
     ),
 )
-def retention_worklist(spark, sf_dir):
-    """All members by churn probability, highest first (a range-partitioned sort)."""
+def retention_worklist_rates(spark, sf_dir):
+    """All members by the rate of the target formula, highest first (a range-partitioned sort)."""
     return churn_table(spark, sf_dir).select(C.MEMBER, "churn_probability").orderBy(
         F.desc("churn_probability"), C.MEMBER
     )

@@ -1,6 +1,8 @@
 """Invariants of the model operators."""
 
 import inspect
+import itertools
+import math
 
 import numpy as np
 import pandas as pd
@@ -8,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adjudica.functions import decisions as D
+from adjudica.models import attribution as B
 from adjudica.models import forest as I
 from adjudica.models import supervised as S
 from adjudica.models import tiers as T
@@ -169,3 +172,67 @@ def test_every_new_provider_is_scored_by_a_forest_that_has_not_seen_it(spark, mo
     got = [r[0] for r in Q.score_new_providers(spark, "").select("provider_license_key").collect()]
     assert sorted(got, key=str) == sorted([r[0] for r in rows], key=str)
     assert len(seen) == 2 and not seen[0] & seen[1] and seen[0] | seen[1] == set(got)
+
+
+def expected(nodes, row, known, at=0):
+    """The value of a tree for a row when only ``known`` features are."""
+    node = nodes[at]
+    if node["leftChild"] < 0:
+        return node["prediction"]
+    sides = [node["leftChild"], node["rightChild"]]
+    feature, threshold = node["split"]["featureIndex"], node["split"]["leftCategoriesOrThreshold"][0]
+    if feature in known:
+        return expected(nodes, row, known, sides[0] if row[feature] <= threshold else sides[1])
+    counts = [nodes[s]["rawCount"] for s in sides]
+    return sum(n * expected(nodes, row, known, s) for n, s in zip(counts, sides)) / sum(counts)
+
+
+def test_contributions_equal_shapley_values_over_all_subsets():
+    def inner(feature, threshold, left, right, n):
+        return {"leftChild": left, "rightChild": right, "rawCount": n, "prediction": 0.0, "split": {"featureIndex": feature, "leftCategoriesOrThreshold": [threshold]}}
+
+    def leaf(value, n):
+        return {"leftChild": -1, "rightChild": -1, "rawCount": n, "prediction": value, "split": None}
+
+    nodes = {
+        0: inner(0, 0.5, 1, 2, 100), 1: inner(1, 0.3, 3, 4, 60), 2: inner(0, 0.8, 5, 6, 40), 3: leaf(-1.0, 20),
+        4: inner(2, 0.1, 7, 8, 40), 5: leaf(2.0, 30), 6: leaf(5.0, 10), 7: leaf(0.5, 15), 8: leaf(3.0, 25),
+    }
+    leaves = B.leaves_of(nodes, 1.0)
+    rows = np.random.default_rng(0).uniform(0, 1, (20, 4))
+    rows[0, 1] = np.nan
+    got = B.contributions(leaves, rows)
+    for row, parts in zip(rows, got):
+        for feature in range(4):
+            others = [f for f in range(4) if f != feature]
+            want = 0.0
+            for size in range(4):
+                for chosen in itertools.combinations(others, size):
+                    share = math.factorial(size) * math.factorial(3 - size) / math.factorial(4)
+                    want += share * (expected(nodes, row, {*chosen, feature}) - expected(nodes, row, set(chosen)))
+            assert parts[feature] == pytest.approx(want)
+        assert B.base_value(leaves) + parts.sum() == pytest.approx(expected(nodes, row, {0, 1, 2, 3}))
+    assert (got[:, 3] == 0).all()
+
+
+def test_drivers_sum_to_the_margin_of_the_fitted_trees(spark):
+    rows = [(i, i % 10 / 10, (i * 7) % 13 / 13, 1.0, int(i % 10 > 6)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k bigint, a double, b double, flat double, y int").withColumn("b", F.when(F.col("k") != 5, F.col("b")))
+    got = S.churn_drivers(df, ["a", "b", "flat"], "y", top=2, rounds=4)
+    model = S.fit_binary(df, ["a", "b", "flat"], "y", 4)
+    base = B.base_value(B.ensemble_leaves(df, model.stages[-1]))
+    for r in got.collect():
+        margin = base + sum(r["contributions"])
+        assert r["predicted_churn"] == pytest.approx(1 / (1 + math.exp(-2 * margin)))
+        assert r["top_churn_drivers"][0] == "a" and len(r["top_churn_drivers"]) == 2
+
+
+def test_scored_once_equals_fit_then_score(spark):
+    df = spark.range(400).select(F.col("id").alias("k"), F.rand(3).alias("a"), F.when(F.col("id") == 7, 9.0).otherwise(F.rand(4)).alias("b"))
+    df = spark.createDataFrame(df.toPandas())
+    forest, scores = I.fit_scores(df, "k", ["a", "b"], 0.05)
+    again = I.fit_forest(df, "k", ["a", "b"], 0.05)
+    assert forest.offset == pytest.approx(again.offset)
+    got = {r["k"]: r["anomaly_score"] for r in scores.collect()}
+    assert got == pytest.approx({r["k"]: r["anomaly_score"] for r in I.forest_scores(df, again).collect()})
+    assert sum(s < 0 for s in got.values()) == 20 and min(got, key=got.get) == 7
