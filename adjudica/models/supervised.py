@@ -93,9 +93,11 @@ def batch_score(df: DataFrame, champion: PipelineModel, challenger: PipelineMode
 def churn_drivers(df: DataFrame, features: Sequence[str], target: str, top: int = 3, rounds: int = ROUNDS) -> DataFrame:
     """Churn probability by boosted trees and the features that move it most per row, strongest first.
 
-    ``contributions`` holds what each feature adds to the margin, in the order of ``features``.
+    ``contributions`` holds what each feature adds to the margin, in the order of
+    ``features``. A missing feature counts as 0.
     """
     names = list(features)
+    df = df.na.fill(0, names)
     model = fit_binary(df, names, target, rounds)
     scored = model.transform(df).select(*df.columns, vector_to_array("probability")[1].alias("predicted_churn"))
     shared = with_contributions(scored, names, ensemble_leaves(df, model.stages[-1]))

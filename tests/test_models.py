@@ -219,7 +219,7 @@ def test_drivers_sum_to_the_margin_of_the_fitted_trees(spark):
     rows = [(i, i % 10 / 10, (i * 7) % 13 / 13, 1.0, int(i % 10 > 6)) for i in range(300)]
     df = spark.createDataFrame(rows, "k bigint, a double, b double, flat double, y int").withColumn("b", F.when(F.col("k") != 5, F.col("b")))
     got = S.churn_drivers(df, ["a", "b", "flat"], "y", top=2, rounds=4)
-    model = S.fit_binary(df, ["a", "b", "flat"], "y", 4)
+    model = S.fit_binary(df.na.fill(0), ["a", "b", "flat"], "y", 4)
     base = B.base_value(B.ensemble_leaves(df, model.stages[-1]))
     for r in got.collect():
         margin = base + sum(r["contributions"])
