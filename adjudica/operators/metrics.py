@@ -106,14 +106,13 @@ def auc(df: DataFrame, actual: str, score: str, per: int = HOT_ROWS) -> DataFram
         .groupBy(F.col(score).cast("double").alias("_v"))
         .agg(F.sum(F.when(F.col(actual) == 1, 1).otherwise(0)).alias("_p"),
              F.sum(F.when(F.col(actual) == 1, 0).otherwise(1)).alias("_n"))
-        .withColumn("_one", F.lit(1))
     )
     sized = scores.withColumn("_size", scores.agg(F.count(F.lit(1))).scalar())
-    ranged = in_ranges(sized, ["_one"], "_v", "_size", "_range", per)
+    ranged = in_ranges(sized, [], "_v", "_size", "_range", per)
     # As many rows as ranges, so ordering them together is safe.
     below = Window.partitionBy("_one").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        ranged.groupBy("_one", "_range").agg(F.sum("_n").alias("_held"))
+        ranged.groupBy("_range").agg(F.sum("_n").alias("_held")).withColumn("_one", F.lit(1))
         .select("_range", F.coalesce(F.sum("_held").over(below), F.lit(0)).alias("_below"))
     )
     inside = Window.partitionBy("_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)

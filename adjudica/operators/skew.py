@@ -53,7 +53,7 @@ def in_ranges(
 ) -> DataFrame:
     """``rows`` with the number ``out`` of the range of ``value`` that a row falls in, within its group.
 
-    ``size`` holds the rows of the group. The cuts are the values whose hash is a multiple
+    Without ``group`` all rows are one. ``size`` holds the rows of the group. The cuts are the values whose hash is a multiple
     of a step, so they are an even sample of the distinct values whatever these are, and a
     repeated task finds the same. A range has about ``per / FINENESS`` rows, and fewer than
     ``per`` but for one case in thousands, up to ``CUTS`` ranges a group. Cuts take
@@ -62,13 +62,16 @@ def in_ranges(
     ranges = F.least(F.lit(CUTS), F.ceil(F.col(size) * FINENESS / max(per, 1)))
     step = F.greatest(F.lit(1), F.floor(F.col(size) / ranges)).cast("long")
     chosen = rows.filter(F.pmod(F.xxhash64(value, F.lit(salt)), step) == 0)
-    cuts = chosen.groupBy(*group).agg(F.sort_array(F.collect_set(value)).alias("_cuts"))
+    found = F.sort_array(F.collect_set(value)).alias("_cuts")
 
     def search(at: Column, width: Column) -> Column:
         return F.when(F.get("_cuts", at + width - 1) <= F.col(value), at + width).otherwise(at)
 
     widths = F.array(*[F.lit(2**k) for k in reversed(range(CUTS.bit_length()))])
-    cut = join_null_safe(rows, cuts, group, "left", bounded=True)
+    if group:
+        cut = join_null_safe(rows, chosen.groupBy(*group).agg(found), group, "left", bounded=True)
+    else:
+        cut = rows.withColumn("_cuts", chosen.agg(found).scalar())
     return cut.withColumn(out, F.aggregate(widths, F.lit(0), search)).drop("_cuts")
 
 
@@ -186,12 +189,16 @@ def narrowed(rows: DataFrame, group: Sequence[str], ranks: Sequence[Column], per
 def _percentiles_by_rank(
     rows: DataFrame, keys: Sequence[str], quantiles: Sequence[float], outs: Sequence[str], per: int
 ) -> DataFrame:
-    # Without keys one constant stands for the single group.
-    group = list(keys) or ["_all"]
-    counts = rows.groupBy(*keys, "_v").agg(F.sum("_w").alias("_c"))
-    counts = counts if keys else counts.withColumn("_all", F.lit(0))
-    totals = counts.groupBy(*group).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_size"))
-    left = join_null_safe(counts, totals, group, bounded=True).withColumn("_first", F.lit(0).cast("long"))
+    group = list(keys)
+    counts = rows.groupBy(*group, "_v").agg(F.sum("_w").alias("_c"))
+    size = F.struct(F.sum("_c").alias("n"), F.count(F.lit(1)).alias("distinct")).alias("_s")
+    if group:
+        left = join_null_safe(counts, counts.groupBy(*group).agg(size), group, bounded=True)
+    else:
+        left = counts.withColumn("_s", counts.agg(size).scalar())
+    left = left.select(
+        *group, "_v", "_c", F.col("_s.n").alias("_n"), F.col("_s.distinct").alias("_size"), F.lit(0).cast("long").alias("_first")
+    )
 
     def position(q: float) -> Column:
         return F.lit(float(q)) * (F.col("_n") - 1)
