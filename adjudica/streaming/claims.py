@@ -156,7 +156,9 @@ def with_open_windows(done: Drained, whole: DataFrame, start: str, end: str, lat
     if done.watermark is None:
         return done.rows
     mark = F.lit(done.watermark).cast("timestamp")
-    held = (F.col(end) > mark) & (F.col(start) <= mark + F.expr(f"INTERVAL {late}"))
+    # Watermarks are cut to milliseconds, events are not.
+    last = mark + F.expr(f"INTERVAL {late}") + F.expr("INTERVAL 1 MILLISECOND")
+    held = (F.col(end) > mark) & (F.col(start) < last)
     return done.rows.unionByName(whole.select(done.rows.columns).filter(held))
 
 
