@@ -207,7 +207,8 @@ def test_sets_beyond_the_bound_are_made_again(monkeypatch):
     texts = ["a b c d e f g h i j k", "a b c d e f g h i j", "x y z", "a b c d e f g h i k"]
     sets = near.Sets([near.zstandard.compress(t.encode()) for t in texts], 2)
     rule = near.Similarity(words=2)
-    assert sets.linked(0, [1, 2, 3], rule).tolist() == [True, False, True] and len(sets.known) < 3
+    # 9 of 10 shingles; none; 8 of 11.
+    assert sets.linked(0, [1, 2, 3], rule).tolist() == [True, False, False] and len(sets.known) < 3
     assert sets.linked(2, [0, 1], rule).tolist() == [False, False]
 
 
