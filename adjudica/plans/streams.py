@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import decisions as D
+from ..models import supervised
 from ..operators import windows as W
 from ..registry import query
+from ..session import scratch_path
 from ..sources import claims_model as M
 from ..streaming import claims as S
+from ..streaming import requests as R
 from .common import r
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -24,11 +27,11 @@ def stamp(column):
     return F.date_format(F.col(column), STAMP).alias(column)
 
 
-@query(
-    "claims_last_hour",
-    """SELECT event_id, COUNT(*) OVER (PARTITION BY user_id ORDER BY CAST(FLOOR(EPOCH(ts)) AS BIGINT)
-    RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS claims_in_last_hour FROM events""",
-)
+LAST_HOUR = """SELECT event_id, COUNT(*) OVER (PARTITION BY user_id ORDER BY CAST(FLOOR(EPOCH(ts)) AS BIGINT)
+    RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS claims_in_last_hour FROM events"""
+
+
+@query("claims_last_hour", LAST_HOUR)
 def claims_last_hour(spark, sf_dir):
     """Each event with its member's events of the last hour."""
     counted = W.trailing_seconds_count(M.events(spark, sf_dir), "user_id", "ts", 3600)
@@ -113,6 +116,50 @@ def stream_triage(spark, sf_dir):
     return log.drop("batch_id")
 
 
+@query("claims_last_hour_state", LAST_HOUR)
+def claims_last_hour_state(spark, sf_dir):
+    """Each event with its member's events of the last hour, from keyed state as the events arrive."""
+    events = S.event_stream(spark, sf_dir).select("event_id", "user_id", "ts")
+    with S.state_store(spark, S.ROCKSDB):
+        counted = S.drain(R.trailing_counts(events, "user_id"), "claims-last-hour-state")
+    return counted.select("event_id", "claims_in_last_hour")
+
+
+REQUEST_FEATURES = ["value", "k", "claims_in_last_hour"]
+
+
+def requests_of(events):
+    """What a request brings along: its value and the number in its JSON body."""
+    return events.select("event_id", "user_id", "ts", "value", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+def fit_triage(spark, sf_dir):
+    """Folder of a fitted triage forest.
+
+    Past decisions are not in the tables: a rule stands in for them, which denies from the
+    third request within an hour on.
+    """
+    counted = W.trailing_seconds_count(requests_of(instants(spark, sf_dir)), "user_id", "ts", 3600)
+    past = F.when((F.col("k") < 50) & (F.col("claims_in_last_hour") < 3), D.APPROVE).when(
+        F.col("k") < 80, D.DENY
+    ).otherwise(D.PEND)
+    train, _ = supervised.hash_split(counted.withColumn("decided", past), "user_id")
+    path = scratch_path(spark, "triage-model")
+    supervised.fit_multiclass(train, REQUEST_FEATURES, "decided").write().save(path)
+    return path
+
+
+@query("stream_triage_model")
+def stream_triage_model(spark, sf_dir):
+    """Every request scored by the stored forest on its state, decided and appended to the log."""
+    decide = R.scorer(fit_triage(spark, sf_dir), 0.8, 0.6, ["event_id", "user_id", "claims_in_last_hour"])
+    schema = DECISIONS.replace("user_id bigint,", "user_id bigint, claims_in_last_hour bigint,")
+    with S.state_store(spark, S.ROCKSDB):
+        requests = R.trailing_counts(requests_of(S.event_stream(spark, sf_dir)), "user_id")
+        log = S.stream_triage(requests, decide, "stream-triage-model", schema)
+    return log.drop("batch_id")
+
+
 SESSIONS = """WITH g AS (SELECT user_id, ts, CASE WHEN LAG(ts) OVER w IS NULL OR ts - LAG(ts) OVER w >= INTERVAL 30
     MINUTES THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
     n AS (SELECT *, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g),

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from adjudica.functions import decisions as D
+from adjudica.models import supervised
 from adjudica.operators import windows as W
 from adjudica.streaming import claims as S
+from adjudica.streaming import requests as R
 
 BASE = dt.datetime(2024, 1, 1)
 SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
@@ -144,3 +146,57 @@ def test_restart_goes_on_where_it_stopped(spark, tmp_path):
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(place)
         got = S.drain(spark.readStream.schema(SCHEMA).parquet(place), "t-restart", out, state)
     assert sorted(r["event_id"] for r in got.collect()) == list(range(20))
+
+
+def counted_by_batch(spark, rows):
+    return W.trailing_seconds_count(spark.createDataFrame(rows, SCHEMA), "user_id", "ts", 3600)
+
+
+def test_counts_by_state_equal_batch_and_state_is_dropped(spark, tmp_path, rows):
+    parts = [rows[i : i + 30] for i in range(0, 120, 30)]
+    with S.state_store(spark, S.ROCKSDB):
+        stream = R.trailing_counts(source(spark, tmp_path, parts), "user_id", bucket=7200)
+        done = S.drained(stream, "t-counts")
+    got = done.rows.select("event_id", "claims_in_last_hour")
+    batch = counted_by_batch(spark, rows).select("event_id", "claims_in_last_hour")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+    # 21 stretches were open in all; those before the watermark, an hour before the last event, are gone.
+    assert 0 < done.state_rows <= 6
+
+
+def test_counts_cross_the_end_of_a_bucket_and_repeat_within_a_second(spark, tmp_path):
+    minutes = [59, 59, 60, 61, 118, 119, 120, 121, 180]
+    rows = [(i, at(m), 1, "a", 1.0) for i, m in enumerate(minutes)] + [(99, at(60), None, "a", 1.0)]
+    with S.state_store(spark, S.ROCKSDB):
+        got = S.drain(R.trailing_counts(source(spark, tmp_path, [rows]), "user_id", bucket=3600), "t-edges")
+    counts = {row["event_id"]: row["claims_in_last_hour"] for row in got.collect()}
+    whole = {row["event_id"]: row["claims_in_last_hour"] for row in counted_by_batch(spark, rows).collect()}
+    assert counts == whole
+    assert counts[5] == 6 and counts[99] == 1  # an hour holds both of its ends
+
+
+def test_a_bucket_shorter_than_the_counted_time_is_refused(spark, tmp_path, rows):
+    with pytest.raises(ValueError):
+        R.trailing_counts(source(spark, tmp_path, [rows]), "user_id", bucket=60)
+
+
+def test_decisions_by_the_stored_model_equal_batch_after_stop_and_restart(spark, tmp_path, rows):
+    decided = F.when(F.col("claims_in_last_hour") < 3, D.APPROVE).when(F.col("value") < 60, D.DENY).otherwise(D.PEND)
+    known = counted_by_batch(spark, rows).withColumn("decided", decided)
+    features, model = ["value", "claims_in_last_hour"], str(tmp_path / "model")
+    supervised.fit_multiclass(known, features, "decided", trees=5).write().save(model)
+    decide = R.scorer(model, 0.8, 0.6, ["event_id"])
+    schema = "event_id bigint, champion_prediction string, champion_confidence double, final_decision string"
+    out, state = str(tmp_path / "log"), str(tmp_path / "state")
+
+    def run(batches):
+        with S.state_store(spark, S.ROCKSDB):
+            counted = R.trailing_counts(source(spark, tmp_path, batches), "user_id", bucket=7200)
+            return S.stream_triage(counted, decide, "t-model", schema, out, state).drop("batch_id")
+
+    assert run([rows[:50]]).count() == 50
+    spark.createDataFrame(rows[50:], SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in/part=1"))
+    got = run([])
+    batch = decide(counted_by_batch(spark, rows))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+    assert {row["final_decision"] for row in batch.collect()} >= {"AUTO_APPROVED", "AUTO_DENIED"}
