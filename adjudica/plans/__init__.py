@@ -8,7 +8,7 @@ from ..registry import CHECK_SQL, QUERIES, Query
 
 MODULES = (
     "scans", "rules", "joins", "aggregates", "windows", "features", "evaluation", "semistructured", "streams",
-    "models", "public_features",
+    "models", "public_features", "rule_lists",
 )
 
 

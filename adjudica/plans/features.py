@@ -15,6 +15,7 @@ from .aggregates import MEMBER_LINES, member_lines
 from .common import r
 from .joins import COST_WEIGHTS, FLAT, FREQ_WEIGHTS, LEARNED_CTE, LEARNED_SQL, MEMBER_CONDITIONS, RISK_SQL, STAGE_CTE
 from .joins import FINANCIAL_CTE, TIER_CTE, financial_table, learned_risk, plan_limits, provider_master
+from .rule_lists import INDICATION, mined_pairs, mined_sql
 from .views import using
 
 WEIGHT_ROWS = ", ".join(
@@ -565,19 +566,18 @@ def chronic_mismatch(spark, sf_dir):
 @query(
     "service_type_consistency",
     using(
-        "item service",
-        """, allowed AS (SELECT DISTINCT activity_type AS a, principal_diagnosis_code AS d FROM service
-        WHERE list_price < 930)
-        SELECT claim_request_bundle_id, line_no, service_key, CAST(CASE WHEN activity_type NOT IN ('PROMO', 'LARGE')
-        OR a IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS is_consistent FROM item
-        LEFT JOIN allowed ON a = activity_type AND d = principal_diagnosis_code""",
+        "item",
+        mined_sql("mined", "activity_type", "principal_diagnosis_code", INDICATION)
+        + """ SELECT claim_request_bundle_id, line_no, service_key, CAST(CASE WHEN activity_type NOT IN ('PROMO', 'LARGE')
+        OR mined.n_claims IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS is_consistent
+        FROM item LEFT JOIN mined USING (activity_type, principal_diagnosis_code)""",
     ),
 )
 def service_type_consistency(spark, sf_dir):
-    """Medication and device items must carry a diagnosis they are indicated for."""
-    allowed = M.service(spark, sf_dir).filter("list_price < 930").select(
-        "activity_type", C.DIAGNOSIS
-    ).distinct().withColumn("_indicated", F.lit(1))
+    """Medication and device items must carry a diagnosis that the claims show them indicated for."""
+    allowed = mined_pairs(spark, sf_dir, "activity_type", C.DIAGNOSIS, INDICATION).select(
+        "activity_type", C.DIAGNOSIS, F.lit(1).alias("_indicated")
+    )
     items = M.claim_item(spark, sf_dir).join(allowed, ["activity_type", C.DIAGNOSIS], "left")
     consistent = ~F.col("activity_type").isin(M.MEDICATION, M.IMAGING) | F.col("_indicated").isNotNull()
     return items.select(C.CLAIM, "line_no", "service_key", X.flag(consistent).alias("is_consistent"))

@@ -10,6 +10,7 @@ from ..operators import semistructured as J
 from ..registry import query
 from ..sources import claims_model as M
 from .features import GENDER_RULES
+from .rule_lists import STANDARD_OF_CARE, mined_pairs, mined_sql
 from .views import using
 
 JSON_CTE = """, texts AS (SELECT patient_key, CASE WHEN patient_key % 11 = 0 THEN '{"name": broken'
@@ -101,11 +102,11 @@ def flatten_claim_items(spark, sf_dir):
 @query(
     "real_claim_features",
     using(
-        "header item patient service",
+        "header item patient",
         JSON_CTE
         + DUMP_CTE
-        + """, pairs AS (SELECT DISTINCT principal_diagnosis_code AS d, procedure_code AS p FROM service
-        WHERE list_price < 990),
+        + mined_sql("mined", "principal_diagnosis_code", "procedure_code", STANDARD_OF_CARE)
+        + """, pairs AS (SELECT principal_diagnosis_code AS d, procedure_code AS p FROM mined),
         x AS (SELECT f.claim_id, type, code, CASE gender WHEN 'Male' THEN 'M' WHEN 'Female' THEN 'F' END AS g,
         pairs.d IS NOT NULL AS allowed FROM flat f JOIN header h ON CAST(h.claim_request_bundle_id AS VARCHAR) = claim_id
         JOIN users USING (patient_key) LEFT JOIN pairs ON pairs.d = diagnosis AND pairs.p = code),
@@ -121,9 +122,9 @@ def real_claim_features(spark, sf_dir):
     items = J.flatten_claim_items(claim_dump(spark, sf_dir))
     users = J.user_json_features(user_texts(spark, sf_dir), "user_json").select(C.MEMBER, "gender")
     owner = M.claim_header(spark, sf_dir).select(F.col(C.CLAIM).cast("string").alias("claim_id"), C.MEMBER)
-    pairs = M.service(spark, sf_dir).filter("list_price < 990").select(
+    pairs = mined_pairs(spark, sf_dir, C.DIAGNOSIS, "procedure_code", STANDARD_OF_CARE).select(
         F.col(C.DIAGNOSIS).alias("diagnosis"), F.col("procedure_code").alias("code"), F.lit(True).alias("_allowed")
-    ).distinct()
+    )
     rules = spark.createDataFrame(list(GENDER_RULES.items()), "code string, allowed_genders array<string>")
     joined = (
         items.join(owner, "claim_id").join(users, C.MEMBER)

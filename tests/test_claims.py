@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from adjudica.operators import association as A
 from adjudica.operators import claims as C
 from adjudica.operators import history as H
 from adjudica.operators import providers as P
@@ -176,3 +177,28 @@ def test_flatten_claim_items(spark):
     rows = [("1", "S1", "10.5", "M1", None), ("2", None, None, "M2", "bad"), ("3", None, "1", None, "1")]
     got = [tuple(r) for r in J.flatten_claim_items(spark.createDataFrame(rows, schema)).collect()]
     assert got == [("1", "Service", "S1", None, 10.5), ("1", "Medication", "M1", None, 0.0), ("2", "Medication", "M2", None, None)]
+
+
+def test_mined_pairs_equal_counting_claims(spark):
+    lines = [
+        (1, "D1", "P1"), (1, "D1", "P1"), (1, "D2", "P2"), (2, "D1", "P1"), (2, "D1", "P2"), (3, "D2", "P2"),
+        (4, "D1", None), (5, None, "P1"), (6, "D3", "P1"), (6, "D3", "P3"), (7, "D2", "P1"),
+    ]
+    claims = {}
+    for claim, given, then in lines:
+        if given and then:
+            claims.setdefault(claim, set()).add((given, then))
+    pairs = {pair for held in claims.values() for pair in held}
+    expected = {}
+    for given, then in pairs:
+        n = sum((given, then) in held for held in claims.values())
+        with_given = sum(any(g == given for g, _ in held) for held in claims.values())
+        with_then = sum(any(t == then for _, t in held) for held in claims.values())
+        expected[given, then] = (n, n / with_given, n / with_given * len(claims) / with_then)
+    table = spark.createDataFrame(lines, "claim int, g string, t string")
+    every = A.mine_pairs(table, "claim", "g", "t", min_support=1, min_lift=0.0).collect()
+    assert {(r["g"], r["t"]): (r["n_claims"], r["confidence"], r["lift"]) for r in every} == expected
+    some = A.mine_pairs(table, "claim", "g", "t", min_support=2, min_confidence=0.6, min_lift=1.2).collect()
+    kept = {pair for pair, (n, share, lift) in expected.items() if n >= 2 and share >= 0.6 and lift >= 1.2}
+    assert {(r["g"], r["t"]) for r in some} == kept and kept
+    assert A.mine_pairs(table.filter("claim > 99"), "claim", "g", "t").count() == 0
