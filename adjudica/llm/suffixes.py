@@ -8,7 +8,8 @@ are settled by their hashes alone. Where different segments share an anchor, the
 follow: the suffixes at the anchors, and the prefixes before them read backwards, are
 sorted by a mergesort whose comparisons find the common extension of two suffixes by
 binary search over prefix polynomial hashes. Two windows are equal if they extend far
-enough to both sides; the bytes are compared before anything is removed.
+enough to both sides. The order of the suffixes is verified on the bytes; a group in which
+hashes collide is sorted by its bytes.
 
 Anchors that very many documents share are found on a sample beforehand and go by window
 instead of by segment, so that no group holds all of them. The sample only routes.
@@ -19,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -229,7 +231,10 @@ class Suffixes:
 
     def before(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether suffix i sorts before suffix j; equal ones by number."""
-        same = self.common(i, j)
+        return self._less(i, j, self.common(i, j))
+
+    def _less(self, i: np.ndarray, j: np.ndarray, same: np.ndarray) -> np.ndarray:
+        """:meth:`before` for suffixes with ``same`` bytes in common."""
         end_i, end_j = same == self.size[i], same == self.size[j]
         last = len(self.data) - 1
         left, right = self.data[np.minimum(self.start[i] + same, last)], self.data[np.minimum(self.start[j] + same, last)]
@@ -269,6 +274,41 @@ class Suffixes:
             width *= 2
         return order
 
+    def checked(self, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix order and the bytes each suffix has in common with the one before it, verified byte by byte.
+
+        If every neighbour follows its predecessor by the bytes themselves, the whole order is
+        right, whatever the hashes said on the way. Groups in which it is not (hashes collided)
+        are sorted by their bytes.
+        """
+        order = self.sorted(group)
+        near = np.zeros(len(order), np.int64)
+        near[1:] = self.common(order[:-1], order[1:])
+        at = np.flatnonzero(group[1:] == group[:-1])
+        i, j, same = order[at], order[at + 1], near[at + 1]
+        right = self._less(i, j, same) & _equal_bytes(self.data, self.start[i], self.start[j], same)
+        for number in np.unique(group[at[~right]]):
+            low, high = np.searchsorted(group, [number, number + 1])
+            strings = [self.data[a : a + n].tobytes() for a, n in zip(self.start[low:high], self.size[low:high])]
+            found = sorted(range(high - low), key=strings.__getitem__)
+            order[low:high] = low + np.array(found)
+            near[low + 1 : high] = [len(commonprefix([strings[a], strings[b]])) for a, b in zip(found, found[1:])]
+        return order, near
+
+
+def _equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes at a and b are equal, compared in blocks of a few megabytes."""
+    out, ends, at = np.ones(len(a), bool), np.cumsum(size), 0
+    while at < len(a):
+        done = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, done + CHUNK, "right")))
+        n = size[at:upto]
+        owner = np.repeat(np.arange(at, upto), n)
+        step = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        out[owner[data[a[owner] + step] != data[b[owner] + step]]] = False
+        at = upto
+    return out
+
 
 def _classes(order: np.ndarray, group: np.ndarray, near: np.ndarray, least: int) -> np.ndarray:
     """Class numbers of suffixes whose first ``least`` bytes are equal."""
@@ -291,12 +331,7 @@ def repeated_windows(rows: np.ndarray, data: np.ndarray, place: np.ndarray, leng
     anchor = place + off
     right = Suffixes(data, anchor, n - 1 + length - off)
     left = Suffixes(np.ascontiguousarray(data[::-1]), len(data) - anchor, off)
-    sides = []
-    for side in (right, left):
-        found = side.sorted(group)
-        near = np.zeros(len(found), np.int64)
-        near[1:] = side.common(found[:-1], found[1:])
-        sides.append((found, near))
+    sides = [side.checked(group) for side in (right, left)]
     out = []
     for before in range(int(off.max(initial=-1)) + 1):
         has = np.flatnonzero((before <= off) & (before > off - n))
@@ -306,8 +341,6 @@ def repeated_windows(rows: np.ndarray, data: np.ndarray, place: np.ndarray, leng
         key += _classes(sides[1][0], group, sides[1][1], before)[has]
         _, first, which = np.unique(key, return_index=True, return_inverse=True)
         again = has[np.arange(len(has)) != first[which]]
-        model = has[first[which]][np.arange(len(has)) != first[which]]
-        again = again[_same_bytes(data, anchor[again] - before, anchor[model] - before, length)]
         # A segment can repeat a window of its own document only at another start, so marks are per row.
         mark = np.empty(len(again), MARK)
         mark["uid"], mark["n"] = rows["uid"][again], 1
@@ -316,18 +349,6 @@ def repeated_windows(rows: np.ndarray, data: np.ndarray, place: np.ndarray, leng
     return np.concatenate(out) if out else np.empty(0, MARK)
 
 
-def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
-    """Windows at a and b compared byte by byte; a difference means that hashes collided."""
-    out = np.ones(len(a), bool)
-    steps = np.arange(length)
-    for at in range(0, len(a), 65536):
-        part = slice(at, at + 65536)
-        out[part] = (data[a[part, None] + steps] == data[b[part, None] + steps]).all(axis=1)
-    if not out.all():
-        raise ArithmeticError("prefix hashes collide; choose other seeds")
-    return out
-
-
 # --- the jobs ----------------------------------------------------------------------------
 
 

@@ -112,6 +112,49 @@ def test_suffix_sort_equals_sorted():
     assert order.tolist() == sorted(range(120), key=key.__getitem__)
 
 
+@pytest.mark.parametrize("collide", [False, True])
+def test_colliding_hashes_are_settled_by_bytes(monkeypatch, collide):
+    """With a and b of equal hash every comparison may go wrong; the order and the repeats stay right."""
+    source = np.random.default_rng(4)
+    if collide:
+        weak = suffixes.Polynomial(1)
+        weak.value = weak.value.copy()
+        weak.value[ord("b")] = weak.value[ord("a")]
+        monkeypatch.setattr(suffixes, "_polynomials", lambda: (weak, weak))
+    data = source.choice(np.frombuffer(b"aabbc", np.uint8), 600)
+    start, group = np.sort(source.integers(0, 550, 200)), np.sort(source.integers(0, 9, 200))
+    size = np.minimum(source.integers(0, 40, 200), 600 - start)
+    order, near = suffixes.Suffixes(data, start, size).checked(group)
+    strings = [data[a : a + n].tobytes() for a, n in zip(start, size)]
+    assert order.tolist() == sorted(range(200), key=lambda i: (group[i], strings[i], i))
+    for k in range(1, 200):
+        if group[k] == group[k - 1]:
+            x, y = strings[order[k - 1]], strings[order[k]]
+            assert near[k] == next((m for m, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+
+    length, anchor = 40, 20
+    shared = [source.choice(np.frombuffer(b"ab", np.uint8), 20).tobytes() for _ in range(3)]
+    sides = [source.choice(np.frombuffer(b"ab", np.uint8), 20).tobytes() for _ in range(4)]
+    rows, pieces = [], []
+    for uid in range(60):
+        h = int(source.integers(0, 3))
+        cuts = [bytearray(sides[int(source.integers(0, 4))]) for _ in range(2)]
+        for cut in cuts:
+            cut[int(source.integers(0, 20))] = ord("a")
+        rows.append((h, uid, 0, length - anchor + 1, length - anchor))
+        pieces.append(bytes(cuts[0]) + shared[h] + bytes(cuts[1]))
+    rows, flat = np.array(rows, suffixes.REQUEST), np.frombuffer(b"".join(pieces), np.uint8)
+    marks = suffixes.repeated_windows(rows, flat, np.arange(60) * 60, length)
+    seen, want = set(), set()
+    for uid, piece in enumerate(pieces):
+        for at in range(21):
+            window = (rows["h"][uid], at, piece[at : at + length])
+            if window in seen:
+                want.add((uid, at))
+            seen.add(window)
+    assert {(int(m["uid"]), int(m["start"])) for m in marks} == want and want
+
+
 def brute_components(texts, words, per_cent):
     sets = {}
     for i, t in texts.items():
