@@ -23,6 +23,7 @@ from .base import Memo, byte_letters, id_and_text, one_thread, text_slices, text
 from .bpe import merge_bytes, units_of
 
 PAIRS = 1_000_000
+SHORT = 3  # characters of the longest contraction
 
 
 @lru_cache(maxsize=2)
@@ -46,6 +47,8 @@ class PrefixCounter:
         self.width = max(self.tokens) + 2
         self.pairs: dict[int, bool] = {}
         self.memo = Memo()
+        self.space = regex.compile(r"\s+")
+        self.blank = self.space.fullmatch
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether encoding the bytes of both tokens gives just these; ``left`` -1 is the start."""
@@ -130,26 +133,66 @@ class PrefixCounter:
     def fits(self, units: list[str], ends: list[int], limit: int) -> int:
         """Bytes of the longest prefix, ending between characters, that holds at most ``limit`` tokens.
 
-        Counts grow along unit ends, so the unit that crosses the limit is found by bisection
-        and the cut inside it from its prefix counts.
+        Counts grow along unit ends, so the unit that crosses the limit is found by bisection.
+        What a cut may change reaches back over white space to the last unit with another
+        character, and forward to the next: only these units are looked at, at every cut.
         """
         k = bisect_right(ends, limit)
-        done = sum(len(u.encode()) for u in units[:k])
+        first, last = k, k + 1
+        while first > 0 and all(map(self.blank, units[first:k])):
+            first -= 1
+        while last < len(units) and all(map(self.blank, units[k + 1 : last])):
+            last += 1
+        done = sum(len(u.encode()) for u in units[:first])
         if k == len(units):
-            return done
-        left = limit - (ends[k - 1] if k else 0)
-        if self.special is not None and self.special.fullmatch(units[k]):
-            return done
-        best = inside = spent = 0
-        for piece in self.pieces(units[k]):
-            raw = piece.encode()
-            counts = self.prefix_counts(raw)
-            for i in range(1, len(raw) + 1):
-                if spent + counts[i] <= left and (i == len(raw) or raw[i] & 0xC0 != 0x80):
-                    best = inside + i
-            spent += counts[-1]
-            inside += len(raw)
-        return done + best
+            return done + sum(len(u.encode()) for u in units[first:])
+        left = limit - (ends[first - 1] if first else 0)
+        return done + max((cut for cut, count in self.cuts("".join(units[first:last])) if count <= left), default=0)
+
+    def cuts(self, text: str) -> Iterator[tuple[int, int]]:
+        """``(bytes, tokens)`` of every prefix that ends between characters, as texts of their own.
+
+        A cut within a pre-token leaves those before it as they are and counts as that
+        pre-token's prefix; white space at the end is one pre-token; the beginning of a short
+        pre-token (a contraction) or of a special string is split anew.
+        """
+        at = tokens = 0  # bytes and tokens before the segment
+        before, before_tokens = "", 0  # ordinary text since the last special string
+        for segment, own in self.segments(text):
+            if own:
+                for n in range(1, len(segment)):
+                    cut = segment[:n]
+                    yield at + len(cut.encode()), before_tokens + self.size(before + cut)
+                at, tokens = at + len(segment.encode()), tokens + 1
+                yield at, tokens
+                before, before_tokens = "", tokens
+                continue
+            before, before_tokens = segment, tokens
+            place = run_end = 0  # characters
+            for piece in self.pieces(segment):
+                if place >= run_end and (run := self.space.match(segment, place)):
+                    run_end = run.end()
+                    raw = run.group().encode()
+                    yield from self._inside(raw, at, tokens, self.prefix_counts(raw))
+                raw = piece.encode()
+                counts = self.prefix_counts(raw)
+                known = max(0, run_end - place)
+                if len(piece) <= SHORT:
+                    for n in range(known + 1, len(piece) + 1):
+                        yield at + len(piece[:n].encode()), tokens + self.size(piece[:n])
+                elif known < len(piece):
+                    yield from self._inside(raw, at, tokens, counts, len(piece[:known].encode()))
+                place, at, tokens = place + len(piece), at + len(raw), tokens + counts[-1]
+
+    @staticmethod
+    def _inside(raw: bytes, at: int, tokens: int, counts: list[int], known: int = 0) -> Iterator[tuple[int, int]]:
+        for i in range(known + 1, len(raw) + 1):
+            if i == len(raw) or raw[i] & 0xC0 != 0x80:
+                yield at + i, tokens + counts[i]
+
+    def size(self, text: str) -> int:
+        """Tokens of a text without special strings."""
+        return sum(self.prefix_counts(piece.encode())[-1] for piece in self.pieces(text))
 
 
 @lru_cache(maxsize=2)
@@ -167,8 +210,8 @@ def count_tokens(
 ) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit, fit_bytes`` per row.
 
-    ``fit_bytes`` is the length of the longest prefix of at most ``limit`` tokens, where a
-    cut inside a unit is counted from that unit's own prefixes. Null and empty texts have no
+    ``fit_bytes`` is the length of the longest prefix, ending between characters, that the
+    tokenizer would give at most ``limit`` tokens as a text of its own. Null and empty texts have no
     tokens, null ids stay null, repeated rows each give a row, other columns are not read.
     Narrow: no shuffle; memory is bounded by 4 MB of text (a row at least) and the memos.
     """

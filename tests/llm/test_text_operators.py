@@ -1,5 +1,6 @@
 """Tokenizer, packing, quality and personal-data operators on small tables and hard texts."""
 
+import random
 import zlib
 from collections import Counter
 
@@ -64,6 +65,24 @@ def test_counts_equal_the_library_at_every_cut(docs):
         assert [got[len(piece[:k].encode())] for k in whole] == [size(piece[:k]) for k in whole]
 
 
+def test_longest_prefix_within_a_limit_equals_the_library():
+    """Every cut of texts full of white space, contractions, joined signs and special strings."""
+    model, count, source = Tokenizer.from_file(GPT), counts.counter(GPT, P.PATTERN), random.Random(7)
+    parts = [
+        " ", "  ", "\n", "\n\n", " \t", "a", "they're", "don't", "'", "'v", "!", "!!!", "<|endoftext|>", "<|endo", "é", "日本",
+        "12", "antidisestablishment", "=" * 9, " " * 15, "\x1c", "\x85", "🎉", " the", "\u3000",
+    ]
+    size = lambda t: len(model.encode(t, add_special_tokens=False).ids)
+    for _ in range(400):
+        text = "".join(source.choices(parts, k=source.randint(1, 9)))
+        (units, ends), = count.running([text])
+        sizes = [size(text[:n]) for n in range(len(text) + 1)]
+        assert ends[-1] == sizes[-1]
+        for limit in range(0, sizes[-1] + 1):
+            longest = max(n for n, held in enumerate(sizes) if held <= limit)
+            assert count.fits(units, ends, limit) == len(text[:longest].encode()), (text, limit)
+
+
 def check_pieces(rows, docs_ids, size):
     for doc, ids in docs_ids.items():
         at = 0
