@@ -1,6 +1,7 @@
 """Tokenizer, packing, quality and personal-data operators on small tables and hard texts."""
 
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -170,6 +171,60 @@ def test_rules_keep_the_limits():
     assert pii.base_spans("x" * 200_000 + "@" + "1" * 200_000) == []
 
 
+def spans_by_patterns(text):
+    """The four rules as their patterns state them."""
+    digits = lambda found: [int(c) for c in found if c.isdigit()]
+
+    def luhn(numbers):
+        doubled = [sum(divmod(2 * d, 10)) if k % 2 else d for k, d in enumerate(reversed(numbers))]
+        return sum(doubled) % 10 == 0
+
+    rules = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda t: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda t: max(map(int, t.split("."))) <= 255),
+        (r"[0-9]([\x20-]?[0-9])+", lambda t: 16 <= len(digits(t)) <= 19 and luhn(digits(t))),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: 8 <= len(digits(t)) <= 15),
+    ]
+    return [(k, m.start(), m.end()) for k, (rule, holds) in enumerate(rules) for m in re.finditer(rule, text) if holds(m.group())]
+
+
+def test_rules_equal_their_patterns_on_random_texts():
+    source, found = random.Random(11), [0] * 4
+    parts = [
+        "a", "b.c", "@", "@", ".", "-", " ", "+", "+1", "(", ")", "0", "7", "12", "255", "256", "007", "1.2.3", "4111111111111111",
+        "4111 1111-1111 1111", "555-3824", "%", "\n", "é", "٣", "x@y.z", "1.2.3.4", "  ", "--", "+49 30 1234567",
+    ]
+    for _ in range(20_000):
+        text = "".join(source.choices(parts, k=source.randint(1, 14)))
+        want = spans_by_patterns(text)
+        assert pii.base_spans(text) == want, text
+        for kind, _, _ in want:
+            found[kind] += 1
+    assert min(found) > 200
+
+
+@pytest.mark.parametrize("shrink, ridge", [(0.0, 0.1), (0.3, 0.01), (1.0, 0.001)])
+def test_discriminant_equals_densities_by_inverse_and_determinant(shrink, ridge):
+    source = np.random.default_rng(8)
+    values = source.normal(size=(120, 6)) @ source.normal(size=(6, 6)) + 3
+    labels = (values[:, 0] + source.normal(size=120) > 3).astype(int)
+    model = quality._densities(values, labels, shrink, ridge)
+    low, high = np.quantile(values, [0.001, 0.999], axis=0)
+    x = np.minimum(np.maximum(values, low), high)
+    x = (x - x.mean(axis=0)) / x.std(axis=0)
+    own = {k: np.cov(x[labels == k], rowvar=False, bias=True) for k in (0, 1)}
+    pooled = sum((labels == k).mean() * own[k] for k in (0, 1))
+    log_density = {}
+    for k in (0, 1):
+        covariance = (1 - shrink) * own[k] + shrink * pooled
+        covariance = (1 - ridge) * covariance + ridge * (covariance.trace() / 6 + 1e-6) * np.eye(6)
+        away = x - x[labels == k].mean(axis=0)
+        distance = np.einsum("ij,jk,ik->i", away, np.linalg.inv(covariance), away)
+        prior = ((labels == k).sum() + 1) / (len(labels) + 2)
+        log_density[k] = np.log(prior) - 0.5 * np.log(np.linalg.det(covariance)) - 0.5 * distance
+    assert np.allclose(model.difference(values), log_density[1] - log_density[0], rtol=1e-8, atol=1e-8)
+
+
 def test_gradients_of_the_tagger():
     source = np.random.default_rng(3)
     model = pii.Tagger.fresh()
