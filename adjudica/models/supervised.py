@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -73,13 +75,52 @@ def probabilities(model: PipelineModel, df: DataFrame, out: str = "probabilities
     return scored.withColumn(out, vector_to_array("probability")).select(*df.columns, out)
 
 
-def batch_score(df: DataFrame, champion: PipelineModel, challenger: PipelineModel | None) -> DataFrame:
+Scorer = Callable[[pd.DataFrame], Sequence[float]]
+FAILED = -1.0
+
+
+def guarded(score: Scorer) -> Scorer:
+    """The scorer with ``FAILED`` for the rows it raises on, found by halving the batch.
+
+    A scorer that fails on every row is called at most twice per row.
+    """
+
+    def attempt(rows: pd.DataFrame) -> np.ndarray:
+        try:
+            found = np.asarray(score(rows), float)
+            if found.shape == (len(rows),):
+                return found
+            log.warning("the scorer gave %s values for %d rows", found.shape, len(rows))
+            return np.full(len(rows), FAILED)
+        except Exception:  # whatever a scorer of others may raise
+            if len(rows) <= 1:
+                log.warning("the scorer failed on a row", exc_info=True)
+                return np.full(len(rows), FAILED)
+            half = len(rows) // 2
+            return np.concatenate([attempt(rows.iloc[:half]), attempt(rows.iloc[half:])])
+
+    return attempt
+
+
+def batch_score(
+    df: DataFrame, champion: PipelineModel, challenger: PipelineModel | Scorer | None
+) -> DataFrame:
     """Champion and challenger predictions on every row.
 
     Without a challenger, or with one that cannot be applied to these rows, its column is
-    -1: the champion's answer never depends on it.
+    -1: the champion's answer never depends on it. A challenger that is a function of pandas
+    batches may also fail inside a task: only the rows it raises on get -1.
     """
     scored = champion.transform(df).select(*df.columns, F.col("prediction").alias("champion_prediction"))
+    if challenger is not None and not isinstance(challenger, PipelineModel):
+        safe = guarded(challenger)
+
+        @F.pandas_udf("double")
+        def run(rows: pd.DataFrame) -> pd.Series:
+            return pd.Series(safe(rows))
+
+        columns = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+        return scored.withColumn("challenger_prediction", run(columns))
     if challenger is not None:
         try:
             return challenger.transform(scored).select(
@@ -87,7 +128,7 @@ def batch_score(df: DataFrame, champion: PipelineModel, challenger: PipelineMode
             )
         except (AnalysisException, IllegalArgumentException):
             log.warning("the challenger cannot score this table", exc_info=True)
-    return scored.withColumn("challenger_prediction", F.lit(-1.0))
+    return scored.withColumn("challenger_prediction", F.lit(FAILED))
 
 
 def churn_drivers(df: DataFrame, features: Sequence[str], target: str, top: int = 3, rounds: int = ROUNDS) -> DataFrame:

@@ -131,6 +131,33 @@ def test_batch_score_and_missing_challenger(labelled):
     assert {r[0] for r in alone.select("challenger_prediction").distinct().collect()} == {-1.0}
 
 
+def test_a_challenger_that_raises_on_some_rows_loses_only_these(labelled):
+    model = S.fit_cost_model(labelled, ["x", "z"], ["g"], "cost", rounds=3)
+
+    def challenger(rows):
+        if (rows["id"] % 50 == 7).any():
+            raise ZeroDivisionError("a row it cannot score")
+        return rows["id"] * 2.0
+
+    got = S.batch_score(labelled.repartition(3), model, challenger).select("id", "champion_prediction", "challenger_prediction").collect()
+    assert {r["id"]: r["challenger_prediction"] for r in got} == {i: -1.0 if i % 50 == 7 else 2.0 * i for i in range(400)}
+    alone = S.batch_score(labelled, model, None)
+    assert {r["id"]: r["champion_prediction"] for r in got} == {r["id"]: r["champion_prediction"] for r in alone.collect()}
+
+
+def test_a_guarded_scorer_fails_whole_or_in_part():
+    calls = []
+
+    def broken(rows):
+        calls.append(len(rows))
+        raise ValueError
+
+    rows = pd.DataFrame({"x": range(8)})
+    assert S.guarded(broken)(rows).tolist() == [-1.0] * 8 and len(calls) == 15
+    assert S.guarded(lambda rows: [1.0])(rows).tolist() == [-1.0] * 8  # too few values
+    assert S.guarded(lambda rows: [])(rows.iloc[:0]).tolist() == []
+
+
 def test_churn_drivers_name_the_moving_feature(labelled):
     got = S.churn_drivers(labelled, ["x", "z"], "y", top=1)
     extreme = got.filter("x = 9").select("top_churn_drivers").distinct().collect()
