@@ -184,7 +184,11 @@ def encode_documents(
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` with the ``decoded`` bytes; null ids decode to nothing."""
+    """``doc_id, n_tokens, ids`` with the ``decoded`` bytes; null or empty ids decode to nothing.
+
+    Rows come out as they came in, repeated ones too and those with a null ``doc_id``; long
+    rows are decoded whole, other columns are not read, an empty table gives no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(ranks_path, pattern)

@@ -217,7 +217,13 @@ def score_documents(
 
 
 def keep_good(docs: DataFrame, model: Discriminant, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose score reaches ``threshold``, with all their columns."""
+    """The rows of ``docs`` whose score reaches ``threshold``, with all their columns.
+
+    Null and empty texts have the score of an empty text, null ids do not matter, a score
+    equal to ``threshold`` stays, and repeated rows stay or go together. Texts of any length
+    are scored whole. An empty table gives an empty one; other columns pass through whatever
+    their names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text_col):

@@ -363,3 +363,40 @@ def test_pipeline_on_the_small_tables(spark):
     ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
     packed = {r["doc_id"] for r in corpus_pipeline.run(spark, data).select("doc_id").distinct().collect()}
     assert packed == ids and 0 < len(ids) < docs.count()
+
+
+def test_pipeline_stages_take_odd_tables(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows, clashing columns, an empty table."""
+    import corpus_pipeline
+
+    copy = "The river rose in the night and the people of the town went up to the old church on the hill. " * 3
+    rows = [
+        (1, copy, "en"), (2, copy, "en"), (2, copy, "en"), (3, copy + "They stayed.", None), (4, None, None), (5, "", "en"),
+        (6, "  \n ", "en"), (None, "a row without an id, but with a text of some length. " * 5, None), (None, None, None),
+        (7, "word " * 60_000, "en"), (8, "write to ann@example.org or 10.0.0.1", "en"),
+    ]
+    clashing = ["_gone", "row", "digest", "doc", "chars", "kept", "score", "component_id", "n_shingles", "ids", "start"]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").select(
+        "doc_id", "text", "lang", F.char_length("text").cast("long").alias("n_chars"), *[F.lit(c).alias(c) for c in clashing]
+    )
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 9)] + [(None, None, None)], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("quality_classifier", "exact_dedup", "near_dedup", "personal_data"):
+        out = stages[name](spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        assert stages[name](spark, docs.limit(0), str(tmp_path)).count() == 0, name
+        if name == "exact_dedup":
+            found = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out.select("doc_id").collect())
+            # One of the equal copies, one of all texts without a letter: the one with the most characters.
+            assert found == [(False, 1), (False, 3), (False, 6), (False, 7), (False, 8), (True, 0)]
+        if name == "near_dedup":
+            kept = [r["doc_id"] for r in out.select("doc_id").collect()]
+            assert sorted(i for i in kept if i is not None) == [1, 4, 5, 6, 7, 8] and kept.count(None) == 2
+        if name == "personal_data":
+            texts = {r["doc_id"]: r["text"] for r in out.collect() if r["doc_id"]}
+            assert texts[4] is None and texts[5] == "" and "ann@" not in texts[8] and "10.0.0.1" not in texts[8]
+            assert texts[7] == "word " * 60_000
+    packed = stages["packing"](spark, docs, str(tmp_path))
+    assert packed.agg(F.countDistinct("doc_id")).first()[0] == 8
+    assert stages["packing"](spark, docs.limit(0), str(tmp_path)).count() == 0
