@@ -2,6 +2,10 @@
 
 Every stage works on all rows that its predecessor kept. All but the last return the
 columns of ``documents``; the last returns the pieces of the packed windows.
+
+Every stage takes nulls in any column, empty and very long texts (always whole), repeated
+rows, an empty table (the result is empty) and further columns of any name, which pass
+through unread up to packing.
 """
 
 from __future__ import annotations
@@ -23,27 +27,44 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learnt from the labels that are not held out, does not reject."""
+    """Documents that the classifier, learnt from the labels that are not held out, does not reject.
+
+    Null and empty texts score alike and go or stay together; a score at the threshold stays.
+    """
     return quality.keep_good(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts.
+
+    The one with the most characters stays, then the smallest id. Null, empty and blank texts
+    are one group; of rows that repeat id and text one stays.
+    """
     return drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each component of near copies: five-word shingles, similarity 0.8 or more.
+
+    The smallest id stays. Null ids and texts without words stay; rows that repeat an id stay
+    or go together.
+    """
     return drop_near_copies(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by the name of its kind; ``n_chars`` follows the text."""
+    """Personal data replaced by the name of its kind; ``n_chars`` follows the text.
+
+    Null texts stay null, with a null ``n_chars``.
+    """
     return pii.redact(docs, pii.learn(docs)).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Windows of 4096 tokens: one row per piece with its ids."""
+    """Windows of 4096 tokens: one row per piece with its ids.
+
+    Null and empty texts are one end token each; repeated rows are packed each for itself.
+    """
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
