@@ -175,10 +175,19 @@ def trailing_seconds_count(
     return join_null_safe(stamped, counted, [key, "_s"]).drop("_s")
 
 
+def session_bounds(ts: str, gap: str) -> list[Column]:
+    """First event of a session, and the end of the gap after its last one, as aggregates.
+
+    The fields of ``session_window`` are the same instants, but a filter on those of a grouped
+    table is pushed below the grouping, where it drops single events and so cuts sessions.
+    """
+    return [F.min(ts).alias("session_start"), (F.max(ts) + F.expr(f"INTERVAL {gap}")).alias("session_end")]
+
+
 def member_sessions(events: DataFrame, key: str, ts: str, gap: str = "30 minutes") -> DataFrame:
     """Episodes of activity per member: a new one starts after a pause of at least ``gap``."""
     return (
         events.groupBy(key, F.session_window(ts, gap).alias("_w"))
-        .agg(F.count(F.lit(1)).alias("n_events"))
-        .select(key, F.col("_w.start").alias("session_start"), F.col("_w.end").alias("session_end"), "n_events")
+        .agg(*session_bounds(ts, gap), F.count(F.lit(1)).alias("n_events"))
+        .select(key, "session_start", "session_end", "n_events")
     )

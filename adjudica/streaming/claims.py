@@ -15,6 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.windows import session_bounds
 from ..session import scratch_path
 from ..sources.tables import SCHEMAS, is_folder, path_exists
 
@@ -88,8 +89,8 @@ def member_sessions(events: DataFrame, key: str, ts: str = "ts", gap: str = "30
     return (
         events.withWatermark(ts, late)
         .groupBy(key, F.session_window(ts, gap).alias("w"))
-        .agg(F.count(F.lit(1)).alias("n_events"))
-        .select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n_events")
+        .agg(*session_bounds(ts, gap), F.count(F.lit(1)).alias("n_events"))
+        .select(key, "session_start", "session_end", "n_events")
     )
 
 

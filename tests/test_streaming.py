@@ -73,6 +73,18 @@ def test_sessions_equal_batch(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == want[:3]
 
 
+def test_sessions_over_the_watermark_are_whole(spark, tmp_path):
+    """The watermark stands at minute 100: a session held open keeps its events whose own gap ended before."""
+    rows = [(i, at(m), u, "a", 1.0) for i, (m, u) in enumerate([(60, 1), (75, 1), (0, 2), (20, 2), (65, 2), (160, 3)])]
+    done = S.drained(S.member_sessions(source(spark, tmp_path, [rows]), "user_id"), "t-over")
+    whole = W.member_sessions(spark.createDataFrame(rows, SCHEMA), "user_id", "ts")
+    got = S.with_open_windows(done, whole, "session_start", "session_end", "1 hour")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+    assert (1, at(60), at(105), 2) in set(map(tuple, got.collect()))
+    after = whole.filter(F.col("session_start") >= F.lit(at(10)))
+    assert (2, at(20), at(50), 1) not in set(map(tuple, after.collect()))
+
+
 def test_drift_marks_days(spark, tmp_path):
     rows = [(i, at(60 * i), 1, "a", 10.0 if i < 24 else 20.0) for i in range(80)]
     base = spark.createDataFrame([("a", 10.0)], "event_type string, base_mean double")
