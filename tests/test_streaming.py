@@ -187,6 +187,20 @@ def test_counts_cross_the_end_of_a_bucket_and_repeat_within_a_second(spark, tmp_
     assert counts[5] == 6 and counts[99] == 1  # an hour holds both of its ends
 
 
+def test_counts_by_state_call_python_per_slice_not_per_key(spark, tmp_path):
+    """Many keys, one of them null, over two micro-batches: the state has one value and one timer a slice and day."""
+    rows = [(i, at(i % 500), 2**53 + i % 301 if i % 301 else None, "a", 1.0) for i in range(1500)]
+    rows.sort(key=lambda row: row[1])
+    with S.state_store(spark, S.ROCKSDB):
+        stream = R.trailing_counts(source(spark, tmp_path, [rows[:700], rows[700:]]), "user_id", slices=4)
+        done = S.drained(stream, "t-slices")
+    columns = ["event_id", "user_id", "claims_in_last_hour"]
+    assert {tuple(r) for r in done.rows.select(columns).collect()} == {
+        tuple(r) for r in counted_by_batch(spark, rows).select(columns).collect()
+    }
+    assert 0 < done.state_rows <= 3 * (4 + 1)  # value and timer with its index, of four slices and the null
+
+
 def test_a_bucket_shorter_than_the_counted_time_is_refused(spark, tmp_path, rows):
     with pytest.raises(ValueError):
         R.trailing_counts(source(spark, tmp_path, [rows]), "user_id", bucket=60)
