@@ -163,3 +163,13 @@ def test_no_python_udf_in_any_expression(spark):
         X.condition_risk_score("c", DEFINITIONS, COST, FREQ), X.list_iqr("a"), F.size("c")
     )._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
+
+
+def test_list_features_name_their_list_once(spark):
+    """List functions do not share equal parts: what the expression names often is computed as often."""
+    for made, column, times in (
+        (X.list_iqr("some_costs"), "some_costs", 1),
+        (X.visit_gap_std("some_dates"), "some_dates", 1),
+        (X.cost_trend_slope("some_dates", "some_costs"), "some_dates", 2),  # the list, and its size
+    ):
+        assert str(made).count(column) == times
