@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..sources.files import stored
 from .attribution import ensemble_leaves, with_contributions
 
 log = logging.getLogger(__name__)
@@ -24,6 +25,19 @@ log = logging.getLogger(__name__)
 COST_ROUNDS, ROUNDS, TREES = 150, 100, 100  # as in the surveyed configurations; onboarding prices take ROUNDS
 
 
+ROWS_PER_TASK = 100_000
+
+
+def dealt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns a fit reads, in even parts: one a core where there are rows for it, and never over ``ROWS_PER_TASK`` rows.
+
+    A fit keeps its rows in the parts it gets (a forest with the bags of all its trees beside
+    them), so parts that a shuffle has merged would grow with the table and leave cores idle.
+    """
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return df.select(*dict.fromkeys(columns)).repartition(max(min(cores, rows // 5_000), -(-rows // ROWS_PER_TASK), 1))
+
+
 def hash_split(df: DataFrame, key: str, train_percent: int = 70) -> tuple[DataFrame, DataFrame]:
     train = X.hashed_percent(key) < train_percent
     return df.filter(train), df.filter(~train)
@@ -48,8 +62,14 @@ def fit_cost_model(
 
 
 def fit_binary(df: DataFrame, numeric: Sequence[str], target: str, rounds: int = ROUNDS, depth: int = 3) -> PipelineModel:
-    trees = GBTClassifier(labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=42)
-    return Pipeline(stages=[*assemble(numeric), trees]).fit(df)
+    """Boosted trees over the distinct rows of features and target, weighted by how often they occur.
+
+    A tree sees of its rows just the sums per bin, so copies of a row say no more than its weight.
+    """
+    distinct = df.groupBy(*dict.fromkeys([*numeric, target])).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
+    trees = GBTClassifier(labelCol=target, weightCol="_weight", maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=42)
+    folded = stored(df.sparkSession, distinct, "distinct-rows")
+    return Pipeline(stages=[*assemble(numeric), trees]).fit(dealt(folded, folded.columns))
 
 
 def fit_multiclass(

@@ -263,3 +263,25 @@ def test_scored_once_equals_fit_then_score(spark):
     got = {r["k"]: r["anomaly_score"] for r in scores.collect()}
     assert got == pytest.approx({r["k"]: r["anomaly_score"] for r in I.forest_scores(df, again).collect()})
     assert sum(s < 0 for s in got.values()) == 20 and min(got, key=got.get) == 7
+
+
+def test_boosting_reads_each_distinct_row_once(spark, monkeypatch):
+    """A row of features and target that occurs often is one weighted row, and the model is that of all rows."""
+    rows = spark.range(6000).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("b"))
+    rows = rows.withColumn("y", (F.col("a") * 2 + F.col("b") > 6).cast("int"))
+    read, deal = [], S.dealt
+    monkeypatch.setattr(S, "dealt", lambda df, columns: read.append(df.count()) or deal(df, columns))
+    model = S.fit_binary(rows, ["a", "b"], "y", rounds=3)
+    assert read == [14]
+    plain = S.GBTClassifier(labelCol="y", maxIter=3, maxDepth=3, stepSize=0.1, seed=42)
+    want = S.Pipeline(stages=[*S.assemble(["a", "b"]), plain]).fit(rows)
+    got = [[round(r["probabilities"][1], 9) for r in S.probabilities(m, rows.limit(14)).collect()] for m in (model, want)]
+    assert got[0] == got[1]
+
+
+def test_rows_of_a_fit_are_dealt_out_evenly(spark, monkeypatch):
+    monkeypatch.setattr(S, "ROWS_PER_TASK", 1000)
+    merged = spark.range(20_500).coalesce(1).withColumn("other", F.lit(1))
+    parts = S.dealt(merged, ["id"]).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(parts) == 21 and max(p["count"] for p in parts) <= 1000
+    assert sum(p["count"] for p in parts) == 20_500
