@@ -78,7 +78,7 @@ def fit_multiclass(
     """Random forest over a string target; class order is alphabetical."""
     index = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc")
     forest = RandomForestClassifier(labelCol="label", numTrees=trees, maxDepth=depth, seed=42)
-    return Pipeline(stages=[index, *assemble(numeric), forest]).fit(df)
+    return Pipeline(stages=[index, *assemble(numeric), forest]).fit(dealt(df, [*numeric, target]))
 
 
 def classes_of(model: PipelineModel) -> list[str]:
