@@ -12,7 +12,7 @@ from ..session import scratch_path
 from ..sources import claims_model as M
 from ..streaming import claims as S
 from ..streaming import requests as R
-from .common import r
+from .common import r, stored
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 LATE = "1 hour"  # the streams' allowance for late events
@@ -144,6 +144,7 @@ def fit_triage(spark, sf_dir):
         F.col("k") < 80, D.DENY
     ).otherwise(D.PEND)
     train, _ = supervised.hash_split(counted.withColumn("decided", past), "user_id")
+    train = stored(spark, train.select(*REQUEST_FEATURES, "decided"), "triage-training")
     path = scratch_path(spark, "triage-model")
     supervised.fit_multiclass(train, REQUEST_FEATURES, "decided").write().save(path)
     return path
