@@ -58,7 +58,7 @@ def fit_cost_model(
     trees = GBTRegressor(
         labelCol=target, lossType="absolute", maxIter=rounds, maxDepth=depth, maxBins=max(64, *(n + 2 for n in sizes), 0), seed=42
     )
-    return Pipeline(stages=[*assemble(numeric, categories), trees]).fit(df)
+    return Pipeline(stages=[*assemble(numeric, categories), trees]).fit(dealt(df, [*numeric, *categories, target]))
 
 
 def fit_binary(df: DataFrame, numeric: Sequence[str], target: str, rounds: int = ROUNDS, depth: int = 3) -> PipelineModel:
