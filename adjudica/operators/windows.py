@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from .claims import AMOUNT, CLAIM, DATE, MEMBER, PROVIDER
-from .skew import HOT_ROWS, join_null_safe, running_total_before
+from .skew import HOT_ROWS, dealt, join_null_safe, running_total_before
 
 
 def premium_increase(premiums: DataFrame, year: str = "year", premium: str = "premium") -> DataFrame:
@@ -119,17 +119,20 @@ def unique_providers(claims: DataFrame, days: int | None = None) -> DataFrame:
     )
 
 
-def rolling_unique_providers(claims: DataFrame, days: int = 30) -> DataFrame:
+def rolling_unique_providers(claims: DataFrame, days: int = 30, parts: int | None = None) -> DataFrame:
     """Distinct providers a member saw in the last ``days`` days, per member and visit day.
 
     A visit makes its provider count from that day until ``days`` days later or the next
     visit to the same provider, whichever is first. These spans never overlap per
     provider, so the count is the running sum of span starts and ends: no list or set
     of providers is held for a day.
+
+    ``parts`` says in how many parts the claims are dealt out, and twice as many for the starts
+    and ends. However many claims a key has, a part orders one row per member, provider and day,
+    then one per member and day.
     """
-    visits = (
-        claims.filter(F.col(DATE).isNotNull() & F.col(PROVIDER).isNotNull()).select(MEMBER, PROVIDER, DATE).distinct()
-    )
+    dated = claims.filter(F.col(DATE).isNotNull() & F.col(PROVIDER).isNotNull()).select(MEMBER, PROVIDER, DATE)
+    visits = dealt(dated, parts, MEMBER, PROVIDER).distinct()
     following = F.lead(DATE).over(Window.partitionBy(MEMBER, PROVIDER).orderBy(DATE))
     expiry = F.date_add(F.col(DATE), days + 1)
     spans = visits.withColumn("_end", F.least(F.coalesce(following, expiry), expiry))
@@ -142,10 +145,14 @@ def rolling_unique_providers(claims: DataFrame, days: int = 30) -> DataFrame:
             )
         ),
     )
-    daily = steps.groupBy(MEMBER, DATE).agg(F.sum("_step").alias("_step"), F.max("_visit").alias("_visit"))
+    more = parts and 2 * parts
+    # A day of a member has at most one start and one end per provider, so these need no sums before they move.
+    daily = dealt(steps, more, MEMBER, DATE).groupBy(MEMBER, DATE).agg(
+        F.sum("_step").alias("_step"), F.max("_visit").alias("_visit")
+    )
     running = Window.partitionBy(MEMBER).orderBy(DATE).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        daily.withColumn(f"unique_providers_{days}d", F.sum("_step").over(running))
+        dealt(daily, more, MEMBER).withColumn(f"unique_providers_{days}d", F.sum("_step").over(running))
         .filter(F.col("_visit") == 1)
         .select(MEMBER, DATE, f"unique_providers_{days}d")
     )

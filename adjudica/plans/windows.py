@@ -10,6 +10,7 @@ from ..operators import claims as C
 from ..operators import metrics as E
 from ..operators import providers as P
 from ..operators import windows as W
+from ..operators.skew import part_count
 from ..registry import query
 from ..sources import claims_model as M
 from .aggregates import FWA_CTE, HIGH_COST, MEMBER_LINES, member_lines
@@ -149,7 +150,8 @@ def unique_providers_30d(spark, sf_dir):
 )
 def unique_providers_rolling(spark, sf_dir):
     """Distinct providers in the 30 days up to each visit day."""
-    rolled = W.rolling_unique_providers(member_lines(spark, sf_dir), 30)
+    parts = part_count(M.claim_line(spark, sf_dir))
+    rolled = W.rolling_unique_providers(member_lines(spark, sf_dir, parts), 30, parts)
     return rolled.select(C.MEMBER, day_text(C.DATE).alias(C.DATE), "unique_providers_30d")
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from adjudica.operators import history as H
 from adjudica.operators import skew as K
 from adjudica.operators import windows as W
+from adjudica.plans import all_queries
 
 DAY0 = dt.date(2023, 1, 1)
 
@@ -243,3 +245,32 @@ def test_history_statistics_in_both_grains(spark, frame, claims, grain):
         assert gaps[member] == pytest.approx(np.std(np.diff(days)))
         x = np.array([(d - DAY0).days for d in own["max_serviced_date"]])
         assert slope[member] == pytest.approx(np.polyfit(x, costs, 1)[0], abs=1e-6)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_rolling_unique_providers_dealt_out(frame, parts):
+    want = sorted(W.rolling_unique_providers(frame, 30).collect())
+    # The same claim twice, and claims without a day or a provider, change nothing.
+    odd = frame.unionByName(frame).unionByName(frame.withColumn("max_serviced_date", F.lit(None).cast("date")))
+    odd = odd.unionByName(frame.withColumn("provider_license_key", F.lit(None).cast("bigint")))
+    dealt = W.rolling_unique_providers(odd, 30, parts)
+    assert sorted(dealt.collect()) == want
+    assert dealt.rdd.getNumPartitions() == 2 * parts
+
+
+def test_parts_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(K, "ROWS_PER_PART", 100)
+    monkeypatch.setattr(K, "ROWS_PER_CORE", 10)
+    assert [K.part_count(spark.range(n)) for n in (0, 5, 25, 400, 401, 4000)] == [1, 1, 2, 4, 5, 40]
+
+
+SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_rolling_providers_query_has_parts_by_its_rows(spark, monkeypatch):
+    """The session has 4 shuffle partitions; 6,000 lines in parts of 500 take 12, and 24 for starts and ends."""
+    monkeypatch.setattr(K, "ROWS_PER_PART", 500)
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    got = all_queries()["unique_providers_rolling"](spark, SF)
+    assert got.rdd.getNumPartitions() == 2 * -(-lines // 500)
