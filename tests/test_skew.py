@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import os
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -274,3 +275,49 @@ def test_rolling_providers_query_has_parts_by_its_rows(spark, monkeypatch):
     lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
     got = all_queries()["unique_providers_rolling"](spark, SF)
     assert got.rdd.getNumPartitions() == 2 * -(-lines // 500)
+
+
+@pytest.fixture(scope="module")
+def odd_history(spark, frame):
+    """Items and care team with nulls, repeats, claims without an owner and claims without either."""
+    ids = frame.select("claim_request_bundle_id", "provider_license_key").filter("claim_request_bundle_id % 9 > 0")
+    ids = ids.unionByName(ids.filter("claim_request_bundle_id % 4 = 0")).unionByName(ids.withColumn("claim_request_bundle_id", F.lit(-1).cast("bigint")))
+    code = F.when(F.col("provider_license_key") > 1, F.concat(F.lit("E"), F.col("claim_request_bundle_id") % 7))
+    items = ids.select("claim_request_bundle_id", code.alias("principal_diagnosis_code"))
+    name = F.when(F.col("provider_license_key") != 3, F.concat(F.lit("S"), F.col("provider_license_key") % 3))
+    license_ = F.when(F.col("provider_license_key") != 2, F.col("provider_license_key")).alias("practitioner_license")
+    return items, ids.select("claim_request_bundle_id", license_, name.alias("practice_desc"))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_history_lists_move_a_value_to_its_claim_once(frame, odd_history):
+    def plain(df):
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    items, team = odd_history
+    got = H.history_lists(frame, items, team, 7)
+    assert plain(got) == plain(H.history_lists(frame, items, team))
+    assert "hashpartitioning(claim_request_bundle_id" in plan_of(got)
+    assert not re.search(r"hashpartitioning\(claim_request_bundle_id#\d+L, value", plan_of(got))
+    want = {}
+    owner = {r[0]: r[1] for r in frame.select("claim_request_bundle_id", "patient_key").collect()}
+    for rows, kinds in ((items, ("diagnosis",)), (team, ("provider", "specialty"))):
+        for r in rows.collect():
+            for kind, value in zip(kinds, r[1:]):
+                if r[0] in owner and value is not None:
+                    key = (owner[r[0]], kind, str(value))
+                    want[key] = want.get(key, 0) + 1
+    lists = got.filter("kind != 'visit'").collect()
+    assert {(r["patient_key"], r["kind"], r["value"]): r["multiplicity"] for r in lists} == want
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+@pytest.mark.parametrize("name", ["abt_renewal_history"])
+def test_history_queries_have_parts_by_their_rows(spark, monkeypatch, name):
+    monkeypatch.setattr(K, "ROWS_PER_PART", 500)
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    plan = plan_of(all_queries()[name](spark, SF))
+    assert re.search(rf"hashpartitioning\(claim_request_bundle_id#\d+L, {-(-lines // 500)}\), REPARTITION_BY_NUM", plan)
