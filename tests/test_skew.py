@@ -314,8 +314,15 @@ def test_history_lists_move_a_value_to_its_claim_once(frame, odd_history):
     assert {(r["patient_key"], r["kind"], r["value"]): r["multiplicity"] for r in lists} == want
 
 
+@pytest.mark.parametrize("grain", ["claim", "flattened"])
+def test_member_history_dealt_out(frame, odd_history, grain):
+    items, team = odd_history
+    got, want = (H.member_history(frame, items, team, grain, parts).toPandas().set_index("patient_key").sort_index() for parts in (7, None))
+    pd.testing.assert_frame_equal(got, want)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
-@pytest.mark.parametrize("name", ["abt_renewal_history"])
+@pytest.mark.parametrize("name", ["abt_renewal_history", "abt_renewal"])
 def test_history_queries_have_parts_by_their_rows(spark, monkeypatch, name):
     monkeypatch.setattr(K, "ROWS_PER_PART", 500)
     lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
