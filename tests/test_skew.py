@@ -322,7 +322,7 @@ def test_member_history_dealt_out(frame, odd_history, grain):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
-@pytest.mark.parametrize("name", ["abt_renewal_history", "abt_renewal", "member_history"])
+@pytest.mark.parametrize("name", ["abt_renewal_history", "abt_renewal", "member_history", "member_history_flattened"])
 def test_history_queries_have_parts_by_their_rows(spark, monkeypatch, name):
     monkeypatch.setattr(K, "ROWS_PER_PART", 500)
     lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
