@@ -5,6 +5,7 @@ import hashlib
 import os
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from adjudica.operators import history as H
 from adjudica.operators import skew as K
 from adjudica.operators import windows as W
+from adjudica.operators.claims import claim_fanout
 from adjudica.plans import all_queries
 
 DAY0 = dt.date(2023, 1, 1)
@@ -321,6 +323,21 @@ def test_member_history_dealt_out(frame, odd_history, grain):
     pd.testing.assert_frame_equal(got, want)
 
 
+@pytest.mark.parametrize("parts", [7, None])
+def test_fanout_counts_items_and_team_in_one_grouping(frame, odd_history, parts):
+    """A task of the flattened counts holds one table of claims, not one of items and one of team."""
+    items, team = odd_history
+    team = team.filter("practitioner_license is null or practitioner_license % 2 = 1")
+    sizes = claim_fanout(frame, items, team, parts)
+    n_items, n_team = (Counter(r[0] for r in rows.select("claim_request_bundle_id").collect()) for rows in (items, team))
+    assert 0 in {n_items[r[0]] for r in frame.select("claim_request_bundle_id").collect()}
+    got = sizes.select("claim_request_bundle_id", "n_items", "n_team", "fanout").collect()
+    assert len(got) == frame.count()
+    assert all(tuple(r[1:]) == (n_items[r[0]], n_team[r[0]], max(n_items[r[0]], 1) * max(n_team[r[0]], 1)) for r in got)
+    plan = plan_of(sizes)
+    assert len(re.findall(r"HashAggregate\(keys=\[claim_request_bundle_id", plan)) == 2 and plan.count("Join") == 1
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 @pytest.mark.parametrize("name", ["abt_renewal_history", "abt_renewal", "member_history", "member_history_flattened"])
 def test_history_queries_have_parts_by_their_rows(spark, monkeypatch, name):
